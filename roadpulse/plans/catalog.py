@@ -31,20 +31,27 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def _round6(c):
+    snapped = F.round(c * F.lit(1e9)) / F.lit(1e9)
+    return F.round(snapped * F.lit(1e6)) / F.lit(1e6)
+
+
 def r6(df: DataFrame) -> DataFrame:
     """Round every double column to 6 decimals (comparison form).
 
-    Written as ``round(x * 1e6) / 1e6`` on both sides: the scaled product is
-    the same IEEE double in both engines and both round it half away from
-    zero, whereas ``round(x, 6)`` differs on exact half-way values."""
-    return df.select(*[(F.round(F.col(f.name) * F.lit(1e6)) / F.lit(1e6)).alias(f.name)
+    Both sides compute ``round(round(x * 1e9) / 1e9 * 1e6) / 1e6``: the
+    first step snaps the last-bit noise of a different summation order back
+    onto the decimal grid (the inputs have few decimals, so exact half-way
+    averages are common), the second rounds half away from zero on the same
+    IEEE double in both engines (``round(x, 6)`` differs between them)."""
+    return df.select(*[_round6(F.col(f.name)).alias(f.name)
                        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
 
 def R6(expr: str) -> str:
     """SQL twin of ``r6`` for one expression."""
-    return f"round(({expr}) * 1e6) / 1e6"
+    return f"round(round(({expr}) * 1e9) / 1e9 * 1e6) / 1e6"
 
 
 # ---------------------------------------------------------------------------
@@ -75,8 +82,8 @@ def _mean_sql(kind: str, monthly: bool = True, long: bool = False) -> str:
     period = f"{Y} AS year, {M} AS month" if monthly else f"{Y} AS year"
     return fx.with_views(f"""
 SELECT {period}, {expr} AS {name},
-       round((avg(speed)) * 1e6) / 1e6 AS avg_speed,
-       round((avg({SCORE_SQL})) * 1e6) / 1e6 AS avg_congestion_score
+       round(round((avg(speed)) * 1e9) / 1e9 * 1e6) / 1e6 AS avg_speed,
+       round(round((avg({SCORE_SQL})) * 1e9) / 1e9 * 1e6) / 1e6 AS avg_congestion_score
 FROM readings r JOIN segments s ON r.xd_id = s.xd
 GROUP BY ALL""", long=long)
 
@@ -117,7 +124,7 @@ def _all_means_sql(long: bool = False) -> str:
     for kind, (expr, name) in _KEY_SQL.items():
         sel = ", ".join(f"{expr if n == name else cols[n]} AS {n}" for n in cols)
         parts.append(f"""SELECT '{kind}' AS kind, {Y} AS year, {M} AS month, {sel},
-       round((avg(speed)) * 1e6) / 1e6 AS avg_speed, round((avg({SCORE_SQL})) * 1e6) / 1e6 AS avg_congestion_score
+       round(round((avg(speed)) * 1e9) / 1e9 * 1e6) / 1e6 AS avg_speed, round(round((avg({SCORE_SQL})) * 1e9) / 1e9 * 1e6) / 1e6 AS avg_congestion_score
 FROM readings r JOIN segments s ON r.xd_id = s.xd GROUP BY ALL""")
     return fx.with_views("\nUNION ALL\n".join(parts), long=long)
 
@@ -147,15 +154,15 @@ def _segment_means_sql(monthly=True) -> str:
 
 
 @register("segment_means", fx.with_views(
-    "SELECT year, month, xd_id, road_name, bearing, frc, round((avg_congestion) * 1e6) / 1e6 AS avg_congestion, "
-    "round((avg_speed) * 1e6) / 1e6 AS avg_speed FROM seg_means", long=True, extra=_segment_means_sql()))
+    "SELECT year, month, xd_id, road_name, bearing, frc, round(round((avg_congestion) * 1e9) / 1e9 * 1e6) / 1e6 AS avg_congestion, "
+    "round(round((avg_speed) * 1e9) / 1e9 * 1e6) / 1e6 AS avg_speed FROM seg_means", long=True, extra=_segment_means_sql()))
 def segment_means(spark, sf_dir):
     return r6(H.segment_means(_scored(spark, sf_dir, long=True), fx.segments(spark, sf_dir), H.MONTHLY))
 
 
 @register("top_segments_month", fx.with_views("""
 SELECT year, month, xd_id, road_name, bearing, frc,
-       round((avg_congestion) * 1e6) / 1e6 AS avg_congestion, round((avg_speed) * 1e6) / 1e6 AS avg_speed
+       round(round((avg_congestion) * 1e9) / 1e9 * 1e6) / 1e6 AS avg_congestion, round(round((avg_speed) * 1e9) / 1e9 * 1e6) / 1e6 AS avg_speed
 FROM (SELECT *, row_number() OVER (PARTITION BY year, month
                                    ORDER BY avg_congestion DESC NULLS LAST, xd_id) AS rn
       FROM seg_means) WHERE rn <= 20""", long=True, extra=_segment_means_sql()))
@@ -166,7 +173,7 @@ def top_segments_month(spark, sf_dir):
 
 @register("top_segments_year", fx.with_views("""
 SELECT year, xd_id, road_name, bearing, frc,
-       round((avg_congestion) * 1e6) / 1e6 AS avg_congestion, round((avg_speed) * 1e6) / 1e6 AS avg_speed
+       round(round((avg_congestion) * 1e9) / 1e9 * 1e6) / 1e6 AS avg_congestion, round(round((avg_speed) * 1e9) / 1e9 * 1e6) / 1e6 AS avg_speed
 FROM (SELECT *, row_number() OVER (PARTITION BY year
                                    ORDER BY avg_congestion DESC NULLS LAST, xd_id) AS rn
       FROM seg_means) WHERE rn <= 20""", long=True, extra=_segment_means_sql(monthly=False)))
@@ -177,7 +184,7 @@ def top_segments_year(spark, sf_dir):
 
 @register("top_segments_all_time", fx.with_views("""
 SELECT r.xd_id, s.road_name, s.bearing, s.frc,
-       round((avg({score})) * 1e6) / 1e6 AS avg_congestion, round((avg(speed)) * 1e6) / 1e6 AS avg_speed
+       round(round((avg({score})) * 1e9) / 1e9 * 1e6) / 1e6 AS avg_congestion, round(round((avg(speed)) * 1e9) / 1e9 * 1e6) / 1e6 AS avg_speed
 FROM readings r JOIN segments s ON r.xd_id = s.xd
 GROUP BY ALL
 ORDER BY avg({score}) DESC NULLS LAST, r.xd_id LIMIT 20""".format(score=SCORE_SQL), long=True))
@@ -196,7 +203,7 @@ CLEAN_WHERE = ("confidence_score >= 20 AND speed IS NOT NULL AND reference_speed
 
 @register("cleaned_readings", fx.with_views(f"""
 SELECT xd_id, measurement_tstamp, speed, reference_speed, confidence_score,
-       round(((reference_speed - speed) / reference_speed) * 1e6) / 1e6 AS congestion_score
+       round(round(((reference_speed - speed) / reference_speed) * 1e9) / 1e9 * 1e6) / 1e6 AS congestion_score
 FROM readings WHERE {CLEAN_WHERE}"""))
 def cleaned_readings(spark, sf_dir):
     return r6(clean(fx.readings(spark, sf_dir), 20.0))
@@ -204,9 +211,110 @@ def cleaned_readings(spark, sf_dir):
 
 @register("enriched_left", fx.with_views(f"""
 SELECT r.xd_id, measurement_tstamp, speed, reference_speed, confidence_score,
-       round(((reference_speed - speed) / reference_speed) * 1e6) / 1e6 AS congestion_score,
+       round(round(((reference_speed - speed) / reference_speed) * 1e9) / 1e9 * 1e6) / 1e6 AS congestion_score,
        road_name, frc, bearing, start_lat, start_long, end_lat, end_long
 FROM readings r LEFT JOIN segments s ON r.xd_id = s.xd
 WHERE {CLEAN_WHERE}"""))
 def enriched_left(spark, sf_dir):
     return r6(enrich(clean(fx.readings(spark, sf_dir), 20.0), fx.segments(spark, sf_dir), "left"))
+
+
+# ---------------------------------------------------------------------------
+# Sliding windows (60 / 10 minutes) over cleaned readings
+# ---------------------------------------------------------------------------
+
+from ..operators import snapshot as S  # noqa: E402
+from ..operators import windows as W  # noqa: E402
+
+WINDOW_CTES = f"""cleaned AS (
+  SELECT *, (reference_speed - speed) / reference_speed AS congestion_score
+  FROM readings WHERE {CLEAN_WHERE}),
+slotted AS (
+  SELECT *, time_bucket(INTERVAL '10 minutes', measurement_tstamp, TIMESTAMP '1970-01-01 00:00:00') AS b
+  FROM cleaned WHERE measurement_tstamp IS NOT NULL),
+win AS (
+  SELECT slotted.*, b - k * INTERVAL '10 minutes' AS window_start
+  FROM slotted, generate_series(0, 5) g(k))"""
+
+WIN_COLS = """window_start, window_start + INTERVAL '60 minutes' AS window_end,
+       CAST(year(window_start) AS INTEGER) AS year, CAST(month(window_start) AS INTEGER) AS month,
+       CAST(day(window_start) AS INTEGER) AS day"""
+
+SEG_WINDOWS_SQL = f"""seg_win AS (
+  SELECT xd_id, avg(speed) AS avg_speed, avg(congestion_score) AS avg_congestion,
+         count(*) AS reading_count, {WIN_COLS}
+  FROM win GROUP BY xd_id, window_start),
+seg_win_attr AS (
+  SELECT w.*, s.road_name, s.frc, s.bearing, s.start_lat, s.start_long, s.end_lat, s.end_long
+  FROM seg_win w LEFT JOIN segments s ON w.xd_id = s.xd)"""
+
+SEG_WIN_SELECT = f"""xd_id, {R6('avg_speed')} AS avg_speed, {R6('avg_congestion')} AS avg_congestion,
+       reading_count, window_start, window_end, year, month, day, road_name, frc, bearing,
+       {R6('start_lat')} AS start_lat, {R6('start_long')} AS start_long,
+       {R6('end_lat')} AS end_lat, {R6('end_long')} AS end_long"""
+
+
+def _cleaned(spark, sf_dir):
+    return clean(fx.readings(spark, sf_dir), 20.0)
+
+
+def _window_by_segment(spark, sf_dir):
+    return W.by_segment(_cleaned(spark, sf_dir), segments=fx.segments(spark, sf_dir))
+
+
+@register("window_by_segment", fx.with_views(
+    f"SELECT {SEG_WIN_SELECT} FROM seg_win_attr",
+    extra=WINDOW_CTES + ",\n" + SEG_WINDOWS_SQL))
+def window_by_segment(spark, sf_dir):
+    return r6(_window_by_segment(spark, sf_dir))
+
+
+ROAD_TYPE_WINDOW_SQL = fx.with_views(f"""
+SELECT s.frc, {R6('avg(speed)')} AS avg_speed, {R6('avg(congestion_score)')} AS avg_congestion,
+       count(*) AS reading_count, {WIN_COLS}
+FROM win LEFT JOIN segments s ON win.xd_id = s.xd
+GROUP BY s.frc, window_start""", extra=WINDOW_CTES)
+
+
+@register("window_by_road_type", ROAD_TYPE_WINDOW_SQL)
+def window_by_road_type(spark, sf_dir):
+    enriched = enrich(_cleaned(spark, sf_dir), fx.segments(spark, sf_dir), "left", attrs=["frc"])
+    return r6(W.by_road_type(enriched))
+
+
+@register("sliding_two_stage", ROAD_TYPE_WINDOW_SQL)
+def sliding_two_stage(spark, sf_dir):
+    enriched = enrich(_cleaned(spark, sf_dir), fx.segments(spark, sf_dir), "left", attrs=["frc"])
+    return r6(W.by_road_type_two_stage(enriched))
+
+
+NETWORK_SQL = fx.with_views(f"""
+SELECT count(DISTINCT xd_id) AS total_segments,
+       count(DISTINCT CASE WHEN congestion_score > 0.3e0 THEN xd_id END) AS congested_segments,
+       {R6("CASE WHEN count(DISTINCT xd_id) > 0 THEN count(DISTINCT CASE WHEN congestion_score > 0.3e0 THEN xd_id END) / count(DISTINCT xd_id) * 100.0e0 END")} AS pct_congested,
+       {WIN_COLS}
+FROM win GROUP BY window_start""", extra=WINDOW_CTES)
+
+
+@register("window_network_exact", NETWORK_SQL)
+def window_network_exact(spark, sf_dir):
+    return r6(W.network(_cleaned(spark, sf_dir), exact=True))
+
+
+@register("window_network_two_stage", NETWORK_SQL)
+def window_network_two_stage(spark, sf_dir):
+    return r6(W.network_exact_two_stage(_cleaned(spark, sf_dir)))
+
+
+@register("window_network_approx")
+def window_network_approx(spark, sf_dir):
+    """HyperLogLog++ estimate (the live KPI); no exact oracle."""
+    return r6(W.network(_cleaned(spark, sf_dir), exact=False))
+
+
+@register("latest_per_segment", fx.with_views(f"""
+SELECT {SEG_WIN_SELECT} FROM (
+  SELECT *, row_number() OVER (PARTITION BY xd_id ORDER BY window_start DESC) AS rn FROM seg_win_attr)
+WHERE rn = 1""", extra=WINDOW_CTES + ",\n" + SEG_WINDOWS_SQL))
+def latest_per_segment(spark, sf_dir):
+    return r6(S.latest(_window_by_segment(spark, sf_dir)))

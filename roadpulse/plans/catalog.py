@@ -318,3 +318,181 @@ SELECT {SEG_WIN_SELECT} FROM (
 WHERE rn = 1""", extra=WINDOW_CTES + ",\n" + SEG_WINDOWS_SQL))
 def latest_per_segment(spark, sf_dir):
     return r6(S.latest(_window_by_segment(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# Report tables
+# ---------------------------------------------------------------------------
+
+from ..operators import report as RP  # noqa: E402
+
+MONTH_LABEL_SQL = ("CASE month WHEN 1 THEN 'Jan' WHEN 2 THEN 'Feb' WHEN 3 THEN 'Mar' WHEN 4 THEN 'Apr' "
+                   "WHEN 5 THEN 'May' WHEN 6 THEN 'Jun' WHEN 7 THEN 'Jul' WHEN 8 THEN 'Aug' "
+                   "WHEN 9 THEN 'Sep' WHEN 10 THEN 'Oct' WHEN 11 THEN 'Nov' WHEN 12 THEN 'Dec' END")
+
+
+def _result_cte(kind: str, name: str = "res") -> str:
+    expr, key = _KEY_SQL[kind]
+    return f"""{name} AS (
+  SELECT {Y} AS year, {M} AS month, {expr} AS {key},
+         avg(speed) AS avg_speed, avg({SCORE_SQL}) AS avg_congestion_score
+  FROM readings r JOIN segments s ON r.xd_id = s.xd GROUP BY ALL)"""
+
+
+def _monthly_result(spark, sf_dir, kind, long):
+    return H.mean_by(_enriched_inner(spark, sf_dir, long=long), kind, H.MONTHLY)
+
+
+@register("month_pivot_direction", fx.with_views(f"""
+SELECT year, month, {', '.join(f"{R6(f'avg(avg_speed) FILTER (WHERE direction = {chr(39)}{d}{chr(39)})')} AS {d}" for d in RP.DOMAINS['direction'])},
+       {MONTH_LABEL_SQL} AS month_label
+FROM res GROUP BY year, month""", long=True, extra=_result_cte("by_direction")))
+def month_pivot_direction(spark, sf_dir):
+    res = _monthly_result(spark, sf_dir, "by_direction", long=True)
+    return r6(RP.month_pivot(res, "direction"))
+
+
+@register("month_pivot_road_type", fx.with_views(f"""
+SELECT year, month, {', '.join(f'{R6(f"avg(avg_speed) FILTER (WHERE road_type = {v})")} AS "{v}"' for v in RP.DOMAINS['road_type'])},
+       {MONTH_LABEL_SQL} AS month_label
+FROM res GROUP BY year, month""", long=True, extra=_result_cte("by_road_type")))
+def month_pivot_road_type(spark, sf_dir):
+    res = _monthly_result(spark, sf_dir, "by_road_type", long=True)
+    return r6(RP.month_pivot(res, "road_type"))
+
+
+@register("month_over_month", fx.with_views(f"""
+SELECT c.year, c.month, {MONTH_LABEL_SQL.replace('month', 'c.month').replace("CASE c.month", "CASE c.month")} AS month_label,
+       c.direction, {R6('c.avg_speed')} AS avg_speed, {R6('c.avg_speed - b.avg_speed')} AS mom_change
+FROM cells c JOIN prev p ON c.year = p.year AND c.month = p.month
+LEFT JOIN cells b ON b.year = p.prev_year AND b.month = p.prev_month AND b.direction = c.direction""",
+    long=True, extra=_result_cte("by_direction") + """,
+cells AS (SELECT year, month, direction, avg(avg_speed) AS avg_speed FROM res GROUP BY ALL),
+months AS (SELECT DISTINCT year, month FROM cells),
+prev AS (SELECT year, month, lag(year) OVER (ORDER BY year, month) AS prev_year,
+                lag(month) OVER (ORDER BY year, month) AS prev_month FROM months)"""))
+def month_over_month(spark, sf_dir):
+    res = _monthly_result(spark, sf_dir, "by_direction", long=True)
+    return r6(RP.month_over_month(res, "direction"))
+
+
+@register("hour_heatmap", fx.with_views(f"""
+SELECT year, month, {MONTH_LABEL_SQL} AS month_label,
+       {', '.join(f"{R6(f'avg(avg_congestion_score) FILTER (WHERE hour = {h})')} AS h{h:02d}" for h in range(24))}
+FROM res GROUP BY year, month""", extra=_result_cte("by_hour")))
+def hour_heatmap(spark, sf_dir):
+    return r6(RP.hour_heatmap(_monthly_result(spark, sf_dir, "by_hour", long=False)))
+
+
+@register("seasonality", fx.with_views(f"""
+SELECT year, month, {MONTH_LABEL_SQL} AS month_label,
+       CASE WHEN day_of_week IN (1, 7) THEN 'Weekend' ELSE 'Weekday' END AS day_type,
+       {R6('avg(avg_speed)')} AS avg_speed
+FROM res GROUP BY ALL""", long=True, extra=_result_cte("by_day_of_week")))
+def seasonality(spark, sf_dir):
+    return r6(RP.seasonality(_monthly_result(spark, sf_dir, "by_day_of_week", long=True)))
+
+
+@register("drilldown_hour", fx.with_views(f"""
+SELECT year, hour, {R6('avg(avg_speed)')} AS avg_speed FROM res WHERE month = 1 GROUP BY ALL""",
+                                          extra=_result_cte("by_hour")))
+def drilldown_hour(spark, sf_dir):
+    """Month drill-down (January: the month the readings cover)."""
+    return r6(RP.drilldown(_monthly_result(spark, sf_dir, "by_hour", long=False), "hour", month=1))
+
+
+@register("drilldown_road_type", fx.with_views(f"""
+SELECT year, road_type, {R6('avg(avg_speed)')} AS avg_speed FROM res GROUP BY ALL""",
+                                               long=True, extra=_result_cte("by_road_type")))
+def drilldown_road_type(spark, sf_dir):
+    """Year overview (no month selected) by road class."""
+    return r6(RP.drilldown(_monthly_result(spark, sf_dir, "by_road_type", long=True), "road_type"))
+
+
+@register("top_segments_year_summary", fx.with_views(f"""
+SELECT year, xd_id, road_name, frc, {R6('avg_congestion')} AS avg_congestion, {R6('avg_speed')} AS avg_speed
+FROM (SELECT *, row_number() OVER (PARTITION BY year ORDER BY avg_congestion DESC NULLS LAST, xd_id) AS rn2
+      FROM (SELECT year, xd_id, road_name, frc, avg(avg_congestion) AS avg_congestion, avg(avg_speed) AS avg_speed
+            FROM (SELECT *, row_number() OVER (PARTITION BY year, month
+                                                ORDER BY avg_congestion DESC NULLS LAST, xd_id) AS rn
+                  FROM seg_means) WHERE rn <= 20
+            GROUP BY ALL))
+WHERE rn2 <= 20""", long=True, extra=_segment_means_sql()))
+def top_segments_year_summary(spark, sf_dir):
+    means = H.segment_means(_scored(spark, sf_dir, long=True), fx.segments(spark, sf_dir), H.MONTHLY)
+    return r6(RP.year_summary(H.top_segments(means, 20, H.MONTHLY), 20))
+
+
+# Snapshot views (over the latest window per segment)
+
+SNAP_CTES = WINDOW_CTES + ",\n" + SEG_WINDOWS_SQL + r""",
+snap AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY xd_id ORDER BY window_start DESC) AS rn FROM seg_win_attr)
+  WHERE rn = 1),
+view AS (SELECT *,
+  CASE WHEN regexp_replace(coalesce(road_name, ''), '^\s+|\s+$', '', 'g') <> ''
+       THEN regexp_replace(coalesce(road_name, ''), '^\s+|\s+$', '', 'g')
+       ELSE 'Segment ' || CAST(xd_id AS VARCHAR) END AS display_name,
+  (start_lat + end_lat) / 2.0e0 AS mid_lat, (start_long + end_long) / 2.0e0 AS mid_long
+  FROM snap)"""
+
+
+def _snapshot_view(spark, sf_dir):
+    return RP.with_display(S.latest(_window_by_segment(spark, sf_dir)))
+
+
+@register("snapshot_display", fx.with_views(
+    f"SELECT xd_id, display_name, {R6('mid_lat')} AS mid_lat, {R6('mid_long')} AS mid_long FROM view",
+    extra=SNAP_CTES))
+def snapshot_display(spark, sf_dir):
+    return r6(_snapshot_view(spark, sf_dir).select("xd_id", "display_name", "mid_lat", "mid_long"))
+
+
+@register("distinct_road_names", fx.with_views("SELECT DISTINCT display_name FROM view", extra=SNAP_CTES))
+def distinct_road_names(spark, sf_dir):
+    return RP.display_names(_snapshot_view(spark, sf_dir))
+
+
+def _stats_sql(cond: str) -> str:
+    return fx.with_views(f"""
+SELECT count(*) AS total_segments, count(*) FILTER (WHERE {cond}) AS shown_segments,
+       {R6(f'avg(avg_congestion) FILTER (WHERE {cond})')} AS avg_congestion,
+       max(window_end) AS data_as_of, min(frc) AS frc_min, max(frc) AS frc_max,
+       {R6(f'avg(mid_lat) FILTER (WHERE {cond})')} AS center_lat,
+       {R6(f'avg(mid_long) FILTER (WHERE {cond})')} AS center_long
+FROM view""", extra=SNAP_CTES)
+
+
+@register("snapshot_stats", _stats_sql("frc IS NOT NULL"))
+def snapshot_stats(spark, sf_dir):
+    return r6(RP.snapshot_stats(_snapshot_view(spark, sf_dir)))
+
+
+@register("snapshot_stats_filtered", _stats_sql("frc BETWEEN 2 AND 4"))
+def snapshot_stats_filtered(spark, sf_dir):
+    """Map filters applied: road classes 2 to 4."""
+    return r6(RP.snapshot_stats(_snapshot_view(spark, sf_dir), frc_range=(2, 4)))
+
+
+MAP_SQL = fx.with_views(f"""
+SELECT xd_id,
+  CASE WHEN avg_congestion IS NULL OR isnan(avg_congestion) THEN 'missing'
+       WHEN avg_congestion < 0.15e0 THEN 'low' WHEN avg_congestion < 0.3e0 THEN 'moderate'
+       ELSE 'high' END AS congestion_level,
+  CASE WHEN avg_congestion IS NULL OR isnan(avg_congestion) THEN '#cccccc'
+       WHEN avg_congestion < 0.15e0 THEN '#16a34a' WHEN avg_congestion < 0.3e0 THEN '#facc15'
+       ELSE '#dc2626' END AS color,
+  CASE frc WHEN 1 THEN 6 WHEN 2 THEN 5 WHEN 3 THEN 5 WHEN 4 THEN 4 WHEN 5 THEN 3 ELSE 4 END AS weight,
+  {R6("start_long + CASE bearing WHEN 'E' THEN 0.00012e0 WHEN 'W' THEN -0.00012e0 ELSE 0.0e0 END")} AS lon0,
+  {R6("start_lat + CASE bearing WHEN 'N' THEN -0.00012e0 WHEN 'S' THEN 0.00012e0 ELSE 0.0e0 END")} AS lat0,
+  {R6("end_long + CASE bearing WHEN 'E' THEN 0.00012e0 WHEN 'W' THEN -0.00012e0 ELSE 0.0e0 END")} AS lon1,
+  {R6("end_lat + CASE bearing WHEN 'N' THEN -0.00012e0 WHEN 'S' THEN 0.00012e0 ELSE 0.0e0 END")} AS lat1,
+  display_name || ' · ' || coalesce(bearing, 'nan') || '-bound · Cong: ' ||
+    CASE WHEN avg_congestion IS NULL OR isnan(avg_congestion) THEN 'nan'
+         ELSE printf('%.2f', avg_congestion) END AS tooltip
+FROM view WHERE frc IS NOT NULL""", extra=SNAP_CTES)
+
+
+@register("map_features", MAP_SQL)
+def map_features(spark, sf_dir):
+    return r6(RP.map_features(_snapshot_view(spark, sf_dir)))

@@ -19,20 +19,21 @@ DEFAULT_MAX_BROADCAST_ROWS = 5_000_000
 _row_counts: dict[int, int] = {}
 
 
-def parse(raw: DataFrame, value_col: str = "value") -> DataFrame:
+def parse(raw: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode JSON messages (``value`` as bytes or text) into reading columns.
 
     Malformed JSON gives an all-NULL row (PERMISSIVE), a bad timestamp a NULL
     ``event_time``; the token ``NaN`` becomes NULL. ``event_time`` is a
     TIMESTAMP (watermarks need it), ``measurement_tstamp`` stays the text.
+    ``keep`` names source columns carried along (e.g. ``key``).
     """
     value = F.col(value_col)
     if isinstance(raw.schema[value_col].dataType, BinaryType):
         value = value.cast("string")
     data = F.from_json(value, MESSAGE, {"mode": "PERMISSIVE", "allowNonNumericNumbers": "true"})
-    parsed = raw.select(data.alias("data")).select("data.*")
+    parsed = raw.select(*keep, data.alias("data")).select(*keep, "data.*")
     return parsed.select(
-        "xd_id", "measurement_tstamp",
+        *keep, "xd_id", "measurement_tstamp",
         *[nan_to_null(m).alias(m) for m in MEASURES],
         F.try_to_timestamp(F.col("measurement_tstamp")).alias("event_time"),
     )

@@ -496,3 +496,103 @@ FROM view WHERE frc IS NOT NULL""", extra=SNAP_CTES)
 @register("map_features", MAP_SQL)
 def map_features(spark, sf_dir):
     return r6(RP.map_features(_snapshot_view(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# Message round trip; F14: non-finite -> NULL
+# ---------------------------------------------------------------------------
+
+from ..functions.scoring import null_out_non_finite  # noqa: E402
+from ..operators import prepare as PP  # noqa: E402
+from ..operators import replay as RY  # noqa: E402
+from ..operators.transform import parse  # noqa: E402
+
+READINGS_SELECT = (f"xd_id, measurement_tstamp, {R6('speed')} AS speed, "
+                   f"{R6('reference_speed')} AS reference_speed, {R6('confidence_score')} AS confidence_score")
+
+
+@register("parsed_messages", fx.with_views(
+    f"SELECT CAST(xd_id AS VARCHAR) AS key, {READINGS_SELECT} FROM readings"))
+def parsed_messages(spark, sf_dir):
+    """Readings -> JSON messages -> parsed readings (must give the rows back)."""
+    msgs = RY.to_messages(fx.readings(spark, sf_dir))
+    p = parse(msgs, keep=("key",))
+    return r6(p.select("key", "xd_id", F.col("event_time").cast("timestamp_ntz").alias("measurement_tstamp"),
+                       "speed", "reference_speed", "confidence_score"))
+
+
+@register("null_out_non_finite", fx.with_views(f"""
+SELECT xd_id, measurement_tstamp, {R6('speed')} AS speed, {R6('reference_speed')} AS reference_speed,
+       {R6('confidence_score')} AS confidence_score,
+       {R6('CASE WHEN isnan(x) OR isinf(x) THEN NULL ELSE x END')} AS congestion_score
+FROM (SELECT *, (reference_speed - speed) / NULLIF(reference_speed, 0) AS x FROM readings)"""))
+def null_out_non_finite_q(spark, sf_dir):
+    return r6(null_out_non_finite(score(fx.readings(spark, sf_dir))))
+
+
+# ---------------------------------------------------------------------------
+# Replay slices and time ranges
+# ---------------------------------------------------------------------------
+
+REPLAY_START = "2024-01-01 00:05:00"
+
+
+@register("replay_slices", fx.with_views(f"""
+SELECT {READINGS_SELECT},
+       greatest(time_bucket(INTERVAL '10 minutes', measurement_tstamp, TIMESTAMP '1970-01-01 00:00:00'),
+                TIMESTAMP '{REPLAY_START}') AS slice_start,
+       time_bucket(INTERVAL '10 minutes', measurement_tstamp, TIMESTAMP '1970-01-01 00:00:00')
+         + INTERVAL '10 minutes' AS slice_end
+FROM readings
+WHERE measurement_tstamp BETWEEN TIMESTAMP '{REPLAY_START}' AND TIMESTAMP '2024-12-31 23:59:59'"""))
+def replay_slices(spark, sf_dir):
+    """Replay from 00:05 on the first day to the end of that year, 10-minute slices."""
+    return r6(RY.slices(fx.readings(spark, sf_dir), REPLAY_START, None, 10))
+
+
+@register("time_range_clip", fx.with_views(f"""
+SELECT {READINGS_SELECT}, {Y} AS year, {M} AS month FROM readings
+WHERE measurement_tstamp >= TIMESTAMP '1996-03-15 00:00:00'
+  AND measurement_tstamp < TIMESTAMP '1998-07-01 00:00:00'""", long=True))
+def time_range_clip(spark, sf_dir):
+    """Half-open range read with the derived year/month partition predicate."""
+    df = PP.with_partitions(fx.readings_long(spark, sf_dir))
+    return r6(RY.time_range(df, "1996-03-15", "1998-07-01"))
+
+
+# ---------------------------------------------------------------------------
+# preparation
+# ---------------------------------------------------------------------------
+
+HIST = ("1995-01-01", "1999-12-31")
+REPLAY = ("2000-01-01", "2000-12-31")
+
+
+def _between(b):
+    return f"measurement_tstamp BETWEEN TIMESTAMP '{b[0]} 00:00:00' AND TIMESTAMP '{b[1]} 00:00:00'"
+
+
+@register("date_split", fx.with_views(f"""
+SELECT 'historical' AS split, {READINGS_SELECT} FROM readings WHERE {_between(HIST)}
+UNION ALL
+SELECT 'replay' AS split, {READINGS_SELECT} FROM readings WHERE {_between(REPLAY)}""", long=True))
+def date_split(spark, sf_dir):
+    parts = PP.date_split(fx.readings_long(spark, sf_dir), HIST, REPLAY)
+    return r6(parts["historical"].select(F.lit("historical").alias("split"), "*")
+              .unionByName(parts["replay"].select(F.lit("replay").alias("split"), "*")))
+
+
+@register("ingest_counts", fx.with_views(f"""
+SELECT count(*) AS total_rows, count(*) FILTER (WHERE {_between(HIST)}) AS historical_rows,
+       count(*) FILTER (WHERE {_between(REPLAY)}) AS replay_rows FROM readings""", long=True))
+def ingest_counts(spark, sf_dir):
+    return PP.ingest_counts(fx.readings_long(spark, sf_dir), HIST, REPLAY)
+
+
+@register("union_raw", fx.with_views(f"""
+SELECT {READINGS_SELECT}, {Y} AS year, {M} AS month FROM readings WHERE {_between(HIST)}
+UNION ALL
+SELECT {READINGS_SELECT}, {Y} AS year, {M} AS month FROM readings WHERE {_between(REPLAY)}""", long=True))
+def union_raw(spark, sf_dir):
+    parts = PP.date_split(fx.readings_long(spark, sf_dir), HIST, REPLAY)
+    return r6(PP.union_raw(parts["historical"], parts["replay"]))

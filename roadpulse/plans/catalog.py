@@ -596,3 +596,120 @@ SELECT {READINGS_SELECT}, {Y} AS year, {M} AS month FROM readings WHERE {_betwee
 def union_raw(spark, sf_dir):
     parts = PP.date_split(fx.readings_long(spark, sf_dir), HIST, REPLAY)
     return r6(PP.union_raw(parts["historical"], parts["replay"]))
+
+
+# ---------------------------------------------------------------------------
+# S1/S4/K5/K6/F19, run_historical: job plans end to end (intermediate files
+# go to the shared checkpoint folder)
+# ---------------------------------------------------------------------------
+
+from ..plans import batch as B  # noqa: E402
+from ..plans import prepare as PR  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import readers as RD  # noqa: E402
+
+_CSV_WRITE = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+              "quoteAll": "true", "ignoreLeadingWhiteSpace": "false",
+              "ignoreTrailingWhiteSpace": "false"}
+
+
+@register("csv_readings_roundtrip", fx.with_views(f"SELECT {READINGS_SELECT} FROM readings"))
+def csv_readings_roundtrip(spark, sf_dir):
+    """Readings written as CSV with extra columns in another order, read back
+    by header name (S1)."""
+    path = scratch_path(spark, "readings-csv")
+    r = fx.readings(spark, sf_dir)
+    (r.select(F.lit(0.5).alias("miles"), "confidence_score", "speed", "measurement_tstamp",
+              F.lit("x").alias("zip"), "reference_speed", "xd_id")
+     .write.options(**_CSV_WRITE).csv(path))
+    return r6(RD.read_readings_csv(spark, path))
+
+
+@register("csv_segments_roundtrip", fx.with_views(f"""
+SELECT xd, road_name, frc, bearing, {R6('start_lat')} AS start_lat, {R6('start_long')} AS start_long,
+       {R6('end_lat')} AS end_lat, {R6('end_long')} AS end_long FROM segments"""))
+def csv_segments_roundtrip(spark, sf_dir):
+    """Segment lookup as a headed CSV (original column names, extra columns,
+    one duplicated key) read back by name and de-duplicated (S4, P1)."""
+    path = scratch_path(spark, "segments-csv")
+    s = fx.segments(spark, sf_dir)
+    csv = s.select(F.lit(1.25).alias("miles"), F.col("road_name").alias("road-name"),
+                   F.col("end_lat").alias("end_latitude"), F.col("start_lat").alias("start_latitude"),
+                   F.col("start_long").alias("start_longitude"),
+                   F.col("end_long").alias("end_longitude"), "bearing", "frc", "xd")
+    dup = csv.where(F.col("xd") == F.lit(1))
+    csv.unionByName(dup).write.options(**_CSV_WRITE).csv(path)
+    return r6(RD.read_segments_csv(spark, path))
+
+
+INGEST_HIST = ("1996-01-01", "1998-12-31")
+INGEST_REPLAY = ("1999-01-01", "1999-06-30")
+
+
+def _ingested(spark, sf_dir):
+    """readings_long -> CSV -> ingest (split, partitioned, float32) ->
+    time-sorted compaction. Returns (counters, compacted historical root)."""
+    csv = scratch_path(spark, "raw-csv")
+    r = fx.readings_long(spark, sf_dir)
+    r.select("speed", "xd_id", F.lit("Davidson").alias("county"), "reference_speed",
+             "measurement_tstamp", "confidence_score").write.options(**_CSV_WRITE).csv(csv)
+    staged = scratch_path(spark, "staged")
+    counters = PR.ingest(spark, csv, staged, INGEST_HIST, INGEST_REPLAY)
+    compacted = scratch_path(spark, "raw")
+    PR.compact_raw(spark, f"{staged}/split=historical", compacted, max_records_per_file=20_000)
+    return counters, compacted
+
+
+F32 = "CAST(CAST({c} AS FLOAT) AS DOUBLE)"
+
+
+@register("ingest_compacted", fx.with_views(f"""
+SELECT xd_id, measurement_tstamp, {R6(F32.format(c='speed'))} AS speed,
+       {R6(F32.format(c='reference_speed'))} AS reference_speed,
+       {R6(F32.format(c='confidence_score'))} AS confidence_score, {Y} AS year, {M} AS month
+FROM readings WHERE {_between(INGEST_HIST)}""", long=True))
+def ingest_compacted(spark, sf_dir):
+    _, root = _ingested(spark, sf_dir)
+    return r6(RD.read_readings(spark, root))
+
+
+@register("historical_job_top_segments", fx.with_views(f"""
+SELECT year, month, xd_id, road_name, bearing, frc,
+       {R6('avg_congestion')} AS avg_congestion, {R6('avg_speed')} AS avg_speed
+FROM (SELECT *, row_number() OVER (PARTITION BY year, month
+                                   ORDER BY avg_congestion DESC NULLS LAST, xd_id) AS rn
+      FROM seg_means) WHERE rn <= 20 AND year = 1997""", long=True, extra=f"""seg_means AS (
+  SELECT {Y} AS year, {M} AS month, r.xd_id, s.road_name, s.bearing, s.frc,
+         avg({SCORE_SQL}) AS avg_congestion, avg(speed) AS avg_speed
+  FROM (SELECT xd_id, measurement_tstamp, {F32.format(c='speed')} AS speed,
+               {F32.format(c='reference_speed')} AS reference_speed FROM readings
+        WHERE {_between(INGEST_HIST)}) r JOIN segments s ON r.xd_id = s.xd
+  GROUP BY ALL)"""))
+def historical_job_top_segments(spark, sf_dir):
+    """CSV -> ingest -> compaction -> historical job (one scan, five results)
+    -> read back the 1997 worst segments."""
+    _, raw = _ingested(spark, sf_dir)
+    out = scratch_path(spark, "historical")
+    B.run_historical(spark, raw, fx.segments(spark, sf_dir), out)
+    return r6(RD.read_historical(spark, out, "top_segments", 1997)
+              .select("year", "month", "xd_id", "road_name", "bearing", "frc", "avg_congestion",
+                      "avg_speed"))
+
+
+@register("historical_job_by_hour_compacted", fx.with_views(f"""
+SELECT {HOUR} AS hour, {R6('avg(speed)')} AS avg_speed, {R6(f'avg({SCORE_SQL})')} AS avg_congestion_score,
+       {Y} AS year, {M} AS month
+FROM (SELECT xd_id, measurement_tstamp, {F32.format(c='speed')} AS speed,
+             {F32.format(c='reference_speed')} AS reference_speed FROM readings
+      WHERE {_between(INGEST_HIST)}) r JOIN segments s ON r.xd_id = s.xd
+WHERE year(measurement_tstamp) = 1998
+GROUP BY ALL""", long=True))
+def historical_job_by_hour_compacted(spark, sf_dir):
+    """Historical job, then the yearly compaction to a separate root (K7),
+    read back for 1998 (S11)."""
+    _, raw = _ingested(spark, sf_dir)
+    out = scratch_path(spark, "historical")
+    B.run_historical(spark, raw, fx.segments(spark, sf_dir), out)
+    compacted = scratch_path(spark, "historical-compacted")
+    B.compact_results(spark, out, compacted, 1998, kinds=["by_hour"])
+    return r6(RD.read_historical(spark, compacted, "by_hour", 1998))

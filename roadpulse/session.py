@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -62,7 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for job outputs
-    (stream sinks, stream checkpoints) that must survive executor loss."""
+    """A fresh sub-folder of the shared checkpoint folder for intermediate
+    job outputs (stream sources/sinks, stream checkpoints, round trips) that
+    must survive executor loss."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"

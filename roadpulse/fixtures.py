@@ -12,11 +12,28 @@ from pyspark.sql import functions as F
 
 from .operators.transform import prepare_segments
 
+# DataFrames are immutable plans: the stand-in views are built once per
+# session and folder (saves the file listing and footer reads per query).
+_views: dict = {}
 
+
+def _memo(fn):
+    def wrapper(spark: SparkSession, sf_dir: str, *args):
+        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args)
+        if key not in _views:
+            _views[key] = fn(spark, sf_dir, *args)
+        return _views[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
+@_memo
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@_memo
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
@@ -28,6 +45,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
@@ -46,6 +64,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_segments(raw)
 
 
+@_memo
 def readings_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(

@@ -97,22 +97,34 @@ def all_means(enriched: DataFrame, period: Sequence[str] = MONTHLY) -> dict[str,
 
 def all_means_long(enriched: DataFrame, period: Sequence[str] = MONTHLY) -> DataFrame:
     """The four means as one frame (``kind`` + the four key columns, NULL where
-    not grouped). The four branches read the same cube; Spark reuses its
-    exchange so the readings are scanned once."""
+    not grouped), from one aggregation of the readings."""
     return means_long(mean_cube(enriched, period), period)
 
 
 def means_long(cube: DataFrame, period: Sequence[str] = MONTHLY) -> DataFrame:
+    """Re-aggregate the cube into the four means with GROUPING SETS: the
+    expansion is x4 over the (small, calendar-bounded) cube, not over the
+    readings, and all four come out of one final aggregation."""
     names = [KEYS[k][0] for k in MEAN_KINDS]
-    out = None
-    for k in MEAN_KINDS:
-        one = from_cube(cube, k, period).select(
-            F.lit(k).alias("kind"), *period,
-            *[F.col(n) if n == KEYS[k][0] else F.lit(None).cast(_key_type(n)).alias(n)
-              for n in names],
-            "avg_speed", "avg_congestion_score")
-        out = one if out is None else out.unionByName(one)
-    return out
+    g = cube.groupingSets([[*period, n] for n in names], *period, *names).agg(
+        F.try_divide(F.sum("sum_speed"), F.sum("n_speed")).alias("avg_speed"),
+        F.try_divide(F.sum("sum_score"), F.sum("n_score")).alias("avg_congestion_score"),
+        F.grouping_id().alias("_gid"))
+    return g.select(_kind_of_gid(F.col("_gid")).alias("kind"), *period, *names,
+                    "avg_speed", "avg_congestion_score")
+
+
+def _kind_of_gid(gid: Column) -> Column:
+    """Kind of a grouping set from ``grouping_id()`` over (period, keys):
+    one bit per grouping column, the last column in the lowest bit, 1 when
+    not grouped. The period columns are in every set, so only the low
+    ``len(keys)`` bits vary."""
+    n = len(MEAN_KINDS)
+    kind = None
+    for i, k in enumerate(MEAN_KINDS):
+        code = (2 ** n - 1) - 2 ** (n - 1 - i)
+        kind = F.when(gid == code, F.lit(k)) if kind is None else kind.when(gid == code, F.lit(k))
+    return kind
 
 
 def _key_type(name: str) -> str:
@@ -130,15 +142,8 @@ def grouping_sets_means(enriched: DataFrame, period: Sequence[str] = MONTHLY) ->
     sets = [[*period, n] for n in names]
     g = base.groupingSets(sets, *period, *names).agg(
         *_means(), F.grouping_id().alias("_gid"))
-    # grouping_id() has one bit per grouping column, the last column in the
-    # lowest bit; a bit is 1 when that column is not grouped. The period
-    # columns are in every set, so only the low len(names) bits vary.
-    n = len(names)
-    kind = None
-    for i, k in enumerate(MEAN_KINDS):
-        gid = (2 ** n - 1) - 2 ** (n - 1 - i)
-        kind = F.when(F.col("_gid") == gid, F.lit(k)) if kind is None else kind.when(F.col("_gid") == gid, F.lit(k))
-    return g.select(kind.alias("kind"), *period, *names, "avg_speed", "avg_congestion_score")
+    return g.select(_kind_of_gid(F.col("_gid")).alias("kind"), *period, *names,
+                    "avg_speed", "avg_congestion_score")
 
 
 # ---------------------------------------------------------------------------
@@ -221,6 +226,6 @@ def means_via_preaggregate(scored: DataFrame, segments: DataFrame,
 def mean_cube_for(scored: DataFrame, segments: DataFrame, period: Sequence[str] = MONTHLY) -> DataFrame:
     """Pick the cube plan by lookup size: broadcast join then aggregate, or
     aggregate then shuffle-join."""
-    if is_broadcastable(segments):
+    if is_broadcastable(segments, ["xd", "frc", "bearing"]):
         return mean_cube(enrich_for_means(scored, segments), period)
     return means_via_preaggregate(scored, segments, period)

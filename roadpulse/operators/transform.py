@@ -11,10 +11,15 @@ from ..schemas import MEASURES, MESSAGE, SEGMENT_ATTRS
 
 # The live filter threshold of the reference (``confidence_score >= 20``).
 DEFAULT_MIN_CONFIDENCE = 20.0
-# Largest lookup we hint as broadcast. A road network has at most a few
-# million segments; beyond this the join is left to Spark (sort-merge, or an
-# AQE runtime switch) and callers aggregate before joining.
-DEFAULT_MAX_BROADCAST_ROWS = 5_000_000
+# Largest lookup we hint as broadcast, in estimated bytes of the columns
+# carried (row count x fixed width per column type). A road network has at
+# most a few million segments, a few tens of MB; beyond the limit the join is
+# left to Spark (sort-merge, or an AQE runtime switch) and callers aggregate
+# before joining.
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+# Per-value width estimate by type name (strings: Spark's default size).
+_WIDTH = {"bigint": 8, "int": 4, "double": 8, "float": 4, "string": 20, "boolean": 1,
+          "timestamp": 8, "timestamp_ntz": 8, "date": 4}
 
 _row_counts: dict[int, int] = {}
 
@@ -72,18 +77,22 @@ def lookup_rows(segments: DataFrame) -> int:
     return _row_counts[key]
 
 
-def is_broadcastable(segments: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    return lookup_rows(segments) <= max_rows
+def estimated_bytes(segments: DataFrame, cols: list[str] | None = None) -> int:
+    """Rows (counted) x estimated width of ``cols`` (default: all columns)."""
+    fields = [f for f in segments.schema.fields if cols is None or f.name in cols]
+    width = 16 + sum(_WIDTH.get(f.dataType.simpleString(), 32) for f in fields)
+    return lookup_rows(segments) * width
 
 
-def sized_broadcast(segments: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only for a lookup whose row count is checked to be small."""
-    return F.broadcast(segments) if is_broadcastable(segments, max_rows) else segments
+def is_broadcastable(segments: DataFrame, cols: list[str] | None = None,
+                     max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when the lookup (restricted to ``cols``) is checked to be small."""
+    return estimated_bytes(segments, cols) <= max_bytes
 
 
 def enrich(df: DataFrame, segments: DataFrame, how: str = "inner",
            attrs: list[str] | None = None,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Join readings (``xd_id``) to the lookup (``xd``).
 
     ``inner`` drops readings of unknown segments (historical path), ``left``
@@ -94,6 +103,6 @@ def enrich(df: DataFrame, segments: DataFrame, how: str = "inner",
         raise ValueError("how must be 'inner' or 'left'")
     cols = list(attrs) if attrs is not None else SEGMENT_ATTRS
     lookup = segments.select(F.col("xd").alias("xd_id"), *cols)
-    if is_broadcastable(segments, max_broadcast_rows):
+    if is_broadcastable(segments, ["xd", *cols], max_broadcast_bytes):
         lookup = F.broadcast(lookup)
     return df.join(lookup, "xd_id", how)

@@ -32,20 +32,24 @@ def _sums() -> list:
 
 
 def historical_aggregates(scored: DataFrame, segments: DataFrame,
-                          period: Sequence[str] = H.MONTHLY) -> tuple[DataFrame, DataFrame]:
+                          period: Sequence[str] = H.MONTHLY,
+                          checkpoint: bool = False) -> tuple[DataFrame, DataFrame]:
     """(cube, per-segment sums) of scored readings, readings of unknown
     segments excluded.
 
     With a broadcastable lookup both come from one GROUPING SETS aggregate
-    over one scan; otherwise each is aggregated before a shuffle join with
+    over one scan (checkpointed once when asked, so the two outputs do not
+    recompute it); otherwise each is aggregated before a shuffle join with
     the lookup (no reading is shuffled for the join).
     """
     period = list(period)
-    if not is_broadcastable(segments):
+    if checkpoint:
+        ensure_checkpoint_dir(scored.sparkSession)
+    if not is_broadcastable(segments, ["xd", "frc", "bearing"]):
         cube = H.means_via_preaggregate(scored, segments, period)
         seg = (scored.groupBy(*H.period_cols(period), "xd_id").agg(*_sums())
                .join(segments.select(F.col("xd").alias("xd_id")), "xd_id", "inner"))
-        return cube, seg
+        return (cube.checkpoint(), seg.checkpoint()) if checkpoint else (cube, seg)
     base = enrich(scored, segments, "inner", attrs=["frc", "bearing"]).select(
         *H.period_cols(period), F.hour("measurement_tstamp").alias("hour"),
         F.dayofweek("measurement_tstamp").alias("day_of_week"),
@@ -53,6 +57,8 @@ def historical_aggregates(scored: DataFrame, segments: DataFrame,
         "xd_id", "speed", "congestion_score")
     agg = base.groupingSets([[*period, *CUBE_KEYS], [*period, "xd_id"]],
                             *period, *CUBE_KEYS, "xd_id").agg(*_sums(), F.grouping_id().alias("_gid"))
+    if checkpoint:
+        agg = agg.checkpoint()
     # grouping_id bits (last column lowest): cube set leaves xd_id out -> 1;
     # segment set leaves the four cube keys out -> 0b11110.
     cube = agg.where(F.col("_gid") == 1).select(*period, *CUBE_KEYS, "sum_speed", "n_speed",
@@ -74,10 +80,7 @@ def segment_means_from_sums(seg: DataFrame, segments: DataFrame,
 def historical_results(scored: DataFrame, segments: DataFrame, period: Sequence[str] = H.MONTHLY,
                        k: int = 20, checkpoint: bool = True) -> dict[str, DataFrame]:
     """The five results as DataFrames (``by_hour`` … ``top_segments``)."""
-    cube, seg = historical_aggregates(scored, segments, period)
-    if checkpoint:
-        ensure_checkpoint_dir(scored.sparkSession)
-        cube, seg = cube.checkpoint(), seg.checkpoint()
+    cube, seg = historical_aggregates(scored, segments, period, checkpoint)
     out = {kind: H.from_cube(cube, kind, period) for kind in H.MEAN_KINDS}
     out["top_segments"] = H.top_segments(segment_means_from_sums(seg, segments, period), k, period)
     return out

@@ -317,7 +317,13 @@ SELECT {SEG_WIN_SELECT} FROM (
   SELECT *, row_number() OVER (PARTITION BY xd_id ORDER BY window_start DESC) AS rn FROM seg_win_attr)
 WHERE rn = 1""", extra=WINDOW_CTES + ",\n" + SEG_WINDOWS_SQL))
 def latest_per_segment(spark, sf_dir):
-    return r6(S.latest(_window_by_segment(spark, sf_dir)))
+    return r6(_latest_view(spark, sf_dir))
+
+
+def _latest_view(spark, sf_dir):
+    """Newest window per segment on the minimal keys, lookup joined after."""
+    wins = W.by_segment(_cleaned(spark, sf_dir))
+    return enrich(S.latest(wins), fx.segments(spark, sf_dir), "left")
 
 
 # ---------------------------------------------------------------------------
@@ -438,7 +444,7 @@ view AS (SELECT *,
 
 
 def _snapshot_view(spark, sf_dir):
-    return RP.with_display(S.latest(_window_by_segment(spark, sf_dir)))
+    return RP.with_display(_latest_view(spark, sf_dir))
 
 
 @register("snapshot_display", fx.with_views(

@@ -94,3 +94,19 @@ def to_messages(df: DataFrame, ts: str = TS) -> DataFrame:
                     F.col("speed"), F.col("reference_speed"), F.col("confidence_score"))
     return df.select(F.col("xd_id").cast("string").alias("key"),
                      F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
+
+
+def write_message_slices(df: DataFrame, path: str, start, end=None, minutes: int = 10,
+                         ts: str = TS) -> None:
+    """Replay input for a file stream: the JSON messages of each slice under
+    ``path/slice_start=<t>/``, each file time-ordered. No shuffle: every
+    task sorts its own rows by (slice, time) and writes into the slice
+    folders. The slices are not paced; a consumer takes them in slice order
+    (e.g. one folder per trigger)."""
+    sliced = slices(df, start, end, minutes, ts)
+    body = F.struct(F.col("xd_id"), iso_format(F.col(ts)).alias("measurement_tstamp"),
+                    F.col("speed"), F.col("reference_speed"), F.col("confidence_score"))
+    out = sliced.select("slice_start", F.col(ts).alias("_ts"),
+                        F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
+    (out.sortWithinPartitions("slice_start", "_ts").drop("_ts")
+     .write.mode("overwrite").partitionBy("slice_start").text(path))

@@ -51,3 +51,13 @@ def write_kafka(readings: DataFrame, bootstrap: str, topic: str) -> None:
     """Publish readings as JSON messages keyed by segment id (one segment
     stays on one topic partition)."""
     to_messages(readings).write.format("kafka").options(**sink_options(bootstrap, topic)).save()
+
+
+def console(decoded: DataFrame, rows: int = 20):
+    """Print decoded messages: ``show`` for a bounded frame, a console sink
+    for a stream (returns the started query)."""
+    if decoded.isStreaming:
+        return (decoded.writeStream.format("console").option("truncate", "false")
+                .option("numRows", str(rows)).start())
+    decoded.show(rows, truncate=False)
+    return None

@@ -57,9 +57,16 @@ def read_readings(spark: SparkSession, root: str, year: int | None = None,
     return df.select(*cols, *extra)
 
 
+# Presentation order of each result kind (applied at the reader; a sort
+# before a Parquet write would only be layout).
+RESULT_ORDER = {"by_hour": ["hour"], "by_day_of_week": ["day_of_week"], "by_road_type": ["road_type"],
+                "by_direction": ["direction"], "top_segments": [F.col("avg_congestion").desc_nulls_last(), "xd_id"]}
+
+
 def read_historical(spark: SparkSession, root: str, kind: str, year: int,
-                    month: int | None = None) -> DataFrame:
-    """One historical result for a year (optionally one month).
+                    month: int | None = None, ordered: bool = False) -> DataFrame:
+    """One historical result for a year (optionally one month; ``ordered``
+    sorts by period then the kind's key).
 
     Raises ``ValueError`` for an unknown kind or a month outside 1-12; a
     missing result raises Spark's ``AnalysisException`` (PATH_NOT_FOUND).
@@ -71,6 +78,9 @@ def read_historical(spark: SparkSession, root: str, kind: str, year: int,
     df = spark.read.parquet(f"{root.rstrip('/')}/{kind}").where(F.col("year") == F.lit(int(year)))
     if month is not None:
         df = df.where(F.col("month") == F.lit(int(month)))
+    if ordered:
+        period = [c for c in ("year", "month") if c in df.columns]
+        df = df.orderBy(*period, *RESULT_ORDER[kind])
     return df
 
 

@@ -79,3 +79,18 @@ def test_month_over_month_uses_previous_pivot_row(spark):
     assert got[(1, "N")] is None and got[(2, "S")] == 5.0
     assert got[(3, "N")] is None  # N has no value in February, the previous pivot row
     assert got[(3, "S")] == -1.0
+
+
+def test_write_message_slices_round_trip(spark, tmp_dir):
+    import os
+    from roadpulse.operators.transform import parse
+    t = dt.datetime
+    rows = [(1, t(2023, 1, 1, 0, 12), 31.0, 50.0, 30.0), (2, t(2023, 1, 1, 0, 3), 10.0, 50.0, 30.0),
+            (1, t(2023, 1, 1, 0, 25, 0, 5), 20.0, 50.0, 30.0)]
+    df = spark.createDataFrame(rows, READING)
+    RY.write_message_slices(df, f"{tmp_dir}/slices", "2023-01-01 00:05:00", "2023-01-01 01:00:00")
+    folders = sorted(d for d in os.listdir(f"{tmp_dir}/slices") if d.startswith("slice_start="))
+    assert len(folders) == 2
+    back = parse(spark.read.text(f"{tmp_dir}/slices").select("value")).collect()
+    assert sorted((r.xd_id, r.event_time) for r in back) == [(1, t(2023, 1, 1, 0, 12)),
+                                                             (1, t(2023, 1, 1, 0, 25, 0, 5))]

@@ -60,7 +60,11 @@ def read_readings(spark: SparkSession, root: str, year: int | None = None,
 # Presentation order of each result kind (applied at the reader; a sort
 # before a Parquet write would only be layout).
 RESULT_ORDER = {"by_hour": ["hour"], "by_day_of_week": ["day_of_week"], "by_road_type": ["road_type"],
-                "by_direction": ["direction"], "top_segments": [F.col("avg_congestion").desc_nulls_last(), "xd_id"]}
+                "by_direction": ["direction"], "top_segments": ["-avg_congestion", "xd_id"]}
+
+
+def _order_col(spec: str):
+    return F.col(spec[1:]).desc_nulls_last() if spec.startswith("-") else F.col(spec)
 
 
 def read_historical(spark: SparkSession, root: str, kind: str, year: int,
@@ -80,7 +84,7 @@ def read_historical(spark: SparkSession, root: str, kind: str, year: int,
         df = df.where(F.col("month") == F.lit(int(month)))
     if ordered:
         period = [c for c in ("year", "month") if c in df.columns]
-        df = df.orderBy(*period, *RESULT_ORDER[kind])
+        df = df.orderBy(*period, *[_order_col(c) for c in RESULT_ORDER[kind]])
     return df
 
 

@@ -43,3 +43,13 @@ def test_query_matches_oracle(spark, name):
     idx = {c: i for i, c in enumerate(rel.columns)}
     want = sorted(tuple(_norm(r[idx[c]]) for c in cols) for r in rel.fetchall())
     assert got == want
+
+
+def test_import_without_session():
+    """The driver may import the contract before any session exists."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from roadpulse.functions import display as D
 from roadpulse.functions.timefns import floor_minutes, iso_format
 from roadpulse.operators import prepare as PP

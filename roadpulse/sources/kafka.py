@@ -18,12 +18,19 @@ def source_options(bootstrap: str, topic: str, starting: str = "latest",
 
 
 def kafka_stream(spark: SparkSession, bootstrap: str, topic: str, starting: str = "latest",
-                 fail_on_data_loss: bool = False, max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame with Kafka's ``key``/``value`` (binary) columns."""
+                 fail_on_data_loss: bool = False, max_offsets_per_trigger: int | None = None,
+                 min_partitions: int | None = None) -> DataFrame:
+    """Streaming frame with Kafka's ``key``/``value`` (binary) columns.
+
+    ``max_offsets_per_trigger`` bounds a micro-batch (catch-up after an
+    outage); ``min_partitions`` splits topic partitions into more Spark tasks
+    than the topic has partitions."""
     r = spark.readStream.format("kafka").options(**source_options(bootstrap, topic, starting,
                                                                   fail_on_data_loss))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        r = r.option("minPartitions", str(min_partitions))
     return r.load()
 
 

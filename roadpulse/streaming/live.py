@@ -84,12 +84,29 @@ def start_snapshot(by_segment: DataFrame, root: str, checkpoint: str,
     return _trigger(w, interval, available_now).start()
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """RocksDB state store (off-heap, incremental changelog checkpoints) for
+    the per-segment window state, unless the session already chose one. A
+    query keeps the provider of its first run (recorded in its checkpoint)."""
+    current = spark.conf.get(STATE_PROVIDER_KEY, None)
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    if current in (None, "", default):
+        spark.conf.set(STATE_PROVIDER_KEY, ROCKSDB_PROVIDER)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def start_all(spark: SparkSession, raw: DataFrame, segments: DataFrame, out_root: str,
               checkpoint_root: str, result_trigger: str = RESULT_TRIGGER,
               snapshot_trigger: str = SNAPSHOT_TRIGGER, available_now: bool = False,
-              carry_forward: bool = False, **params) -> list[StreamingQuery]:
+              carry_forward: bool = False, rocksdb: bool = True, **params) -> list[StreamingQuery]:
     """Start the four live queries; returns them (await with
     ``spark.streams.awaitAnyTermination()``)."""
+    if rocksdb:
+        use_rocksdb_state(spark)
     frames = live_frames(raw, segments, **params)
     out, ck = out_root.rstrip("/"), checkpoint_root.rstrip("/")
     queries = [start_append(frames[k], f"{out}/{OUTPUTS[k]}", f"{ck}/{k}", result_trigger, available_now)

@@ -85,8 +85,9 @@ def seasonality(by_day_of_week: DataFrame, value: str = "avg_speed",
 def drilldown(results: DataFrame, key: str, month: int | None = None,
               value: str = "avg_speed") -> DataFrame:
     """Mean of ``value`` per key over the months of each year, optionally for
-    one month only (1-12)."""
-    df = results
+    one month only (1-12). A NULL key (e.g. a segment without road class) is
+    not a group of its own here, as in the dashboard's grouping."""
+    df = results.where(F.col(key).isNotNull())
     if month is not None:
         if not 1 <= int(month) <= 12:
             raise ValueError("month must be in 1..12")
@@ -96,7 +97,9 @@ def drilldown(results: DataFrame, key: str, month: int | None = None,
 
 def year_summary(top_monthly: DataFrame, k: int = 20) -> DataFrame:
     """Per year: mean of each segment's monthly top-k entries (only the
-    months it made the list), then the top ``k`` of those."""
+    months it made the list), then the top ``k`` of those. Segments without a
+    road name stay in (the dashboard's pandas grouping would silently drop
+    them)."""
     means = (top_monthly.groupBy("year", "xd_id", "road_name", "frc")
              .agg(F.avg("avg_congestion").alias("avg_congestion"),
                   F.avg("avg_speed").alias("avg_speed")))

@@ -400,7 +400,7 @@ def seasonality(spark, sf_dir):
 
 
 @register("drilldown_hour", fx.with_views(f"""
-SELECT year, hour, {R6('avg(avg_speed)')} AS avg_speed FROM res WHERE month = 1 GROUP BY ALL""",
+SELECT year, hour, {R6('avg(avg_speed)')} AS avg_speed FROM res WHERE month = 1 AND hour IS NOT NULL GROUP BY ALL""",
                                           extra=_result_cte("by_hour")))
 def drilldown_hour(spark, sf_dir):
     """Month drill-down (January: the month the readings cover)."""
@@ -408,7 +408,7 @@ def drilldown_hour(spark, sf_dir):
 
 
 @register("drilldown_road_type", fx.with_views(f"""
-SELECT year, road_type, {R6('avg(avg_speed)')} AS avg_speed FROM res GROUP BY ALL""",
+SELECT year, road_type, {R6('avg(avg_speed)')} AS avg_speed FROM res WHERE road_type IS NOT NULL GROUP BY ALL""",
                                                long=True, extra=_result_cte("by_road_type")))
 def drilldown_road_type(spark, sf_dir):
     """Year overview (no month selected) by road class."""

@@ -84,6 +84,18 @@ def start_snapshot(by_segment: DataFrame, root: str, checkpoint: str,
     return _trigger(w, interval, available_now).start()
 
 
+def static_lookup(segments: DataFrame) -> DataFrame:
+    """The lookup of a stream-static join is re-evaluated every micro-batch
+    (re-read, de-duplicated, re-broadcast). Persist it once its size is
+    checked to be small; a lost executor recomputes it from the source."""
+    from pyspark import StorageLevel
+
+    from ..operators.transform import is_broadcastable
+    if is_broadcastable(segments):
+        return segments.persist(StorageLevel.MEMORY_AND_DISK)
+    return segments
+
+
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 
@@ -107,6 +119,7 @@ def start_all(spark: SparkSession, raw: DataFrame, segments: DataFrame, out_root
     ``spark.streams.awaitAnyTermination()``)."""
     if rocksdb:
         use_rocksdb_state(spark)
+    segments = static_lookup(segments)
     frames = live_frames(raw, segments, **params)
     out, ck = out_root.rstrip("/"), checkpoint_root.rstrip("/")
     queries = [start_append(frames[k], f"{out}/{OUTPUTS[k]}", f"{ck}/{k}", result_trigger, available_now)

@@ -81,6 +81,26 @@ def test_latest_carry_forward(spark):
     assert out.where(F.col("window_start") > F.lit(dt.datetime(2023, 1, 6))).count() == newer.select("xd_id").distinct().count()
 
 
+def test_latest_carry_forward_same_window_new_row_wins(spark):
+    schema = "xd_id LONG, window_start TIMESTAMP_NTZ, avg_speed DOUBLE, road_name STRING"
+    t = dt.datetime(2023, 1, 1, 0, 10)
+    prev = spark.createDataFrame([(1, t, 10.0, "old"), (2, t, 20.0, "kept")], schema)
+    batch = spark.createDataFrame([(1, t, 11.0, "new"), (1, t - dt.timedelta(minutes=10), 9.0, "older")],
+                                  schema)
+    out = {r.xd_id: (r.avg_speed, r.road_name) for r in S.latest(batch, previous=prev).collect()}
+    assert out == {1: (11.0, "new"), 2: (20.0, "kept")}
+
+
+def test_latest_mixed_widths_keeps_rows_whole(spark):
+    schema = "xd_id LONG, window_start TIMESTAMP_NTZ, avg_speed DOUBLE, road_name STRING, frc INT"
+    t = dt.datetime(2023, 1, 1)
+    rows = [(1, t + dt.timedelta(minutes=10 * i), float(i), f"n{i}", i) for i in range(5)]
+    rows += [(2, t, None, None, None), (2, t - dt.timedelta(minutes=10), 3.0, "x", 3)]
+    out = {r.xd_id: (r.window_start, r.avg_speed, r.road_name, r.frc)
+           for r in S.latest(spark.createDataFrame(rows, schema)).collect()}
+    assert out == {1: (t + dt.timedelta(minutes=40), 4.0, "n4", 4), 2: (t, None, None, None)}
+
+
 def test_top_k_tie_lower_id_wins_and_size(spark):
     rows = [(i, dt.datetime(2023, 1, 5), 10.0, 50.0, 30.0) for i in range(30, 0, -1)]  # all equal scores
     means = H.segment_means(score(spark.createDataFrame(rows, READING)),

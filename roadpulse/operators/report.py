@@ -43,26 +43,26 @@ def month_cells(results: DataFrame, key: str, value: str = "avg_speed",
 
 
 def month_over_month(results: DataFrame, key: str, value: str = "avg_speed") -> DataFrame:
-    """Change of each pivot cell against the previous month *row* of the
-    pivot (the previous month present in the data for any key); NULL when the
-    key has no value in that month.
-
-    The previous month comes from a window over the distinct months only (a
-    calendar-bounded frame of at most 12 rows per year), then two equi-joins
-    attach it; the cells themselves stay partitioned by key.
+    """Change of each pivot cell against the previous month *row* of the same
+    year's pivot (the previous month of that year present in the data for any
+    key); NULL for the first month of a year, for a NULL key and when the key
+    has no value in the previous month. Each year is its own table, as in the
+    dashboard, which loads one year at a time.
+
+    One pass over the cells: the months of a year are ranked, then each
+    key's previous cell counts only if it sits in the previous ranked month.
+    The cells are shuffled once, by year (a year holds at most 12 x key
+    domain cells, the size of its pivot), and the per-key window reuses that
+    partitioning.
     """
     cells = month_cells(results, key, value)
-    months = cells.select("year", "month").distinct()
-    order = Window.orderBy("year", "month")
-    prev = months.select("year", "month",
-                         F.lag("year").over(order).alias("prev_year"),
-                         F.lag("month").over(order).alias("prev_month"))
-    before = cells.select(F.col("year").alias("prev_year"), F.col("month").alias("prev_month"),
-                          F.col(key), F.col(value).alias("prev_value"))
-    return (cells.join(prev, ["year", "month"], "inner")
-            .join(before, ["prev_year", "prev_month", key], "left")
-            .select("year", "month", D.month_label("month").alias("month_label"), key, value,
-                    (F.col(value) - F.col("prev_value")).alias("mom_change")))
+    rank = F.dense_rank().over(Window.partitionBy("year").orderBy("month"))
+    per_key = Window.partitionBy("year", key).orderBy("month")
+    ranked = cells.withColumn("_r", rank)
+    prev_ok = F.col(key).isNotNull() & (F.lag("_r").over(per_key) == F.col("_r") - F.lit(1))
+    change = F.when(prev_ok, F.col(value) - F.lag(value).over(per_key))
+    return ranked.select("year", "month", D.month_label("month").alias("month_label"), key, value,
+                         change.alias("mom_change"))
 
 
 def hour_heatmap(by_hour: DataFrame, value: str = "avg_congestion_score",

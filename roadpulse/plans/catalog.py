@@ -368,15 +368,15 @@ def month_pivot_road_type(spark, sf_dir):
 
 
 @register("month_over_month", fx.with_views(f"""
-SELECT c.year, c.month, {MONTH_LABEL_SQL.replace('month', 'c.month').replace("CASE c.month", "CASE c.month")} AS month_label,
+SELECT c.year, c.month, {MONTH_LABEL_SQL.replace('month', 'c.month')} AS month_label,
        c.direction, {R6('c.avg_speed')} AS avg_speed, {R6('c.avg_speed - b.avg_speed')} AS mom_change
 FROM cells c JOIN prev p ON c.year = p.year AND c.month = p.month
-LEFT JOIN cells b ON b.year = p.prev_year AND b.month = p.prev_month AND b.direction = c.direction""",
+LEFT JOIN cells b ON b.year = c.year AND b.month = p.prev_month AND b.direction = c.direction""",
     long=True, extra=_result_cte("by_direction") + """,
 cells AS (SELECT year, month, direction, avg(avg_speed) AS avg_speed FROM res GROUP BY ALL),
 months AS (SELECT DISTINCT year, month FROM cells),
-prev AS (SELECT year, month, lag(year) OVER (ORDER BY year, month) AS prev_year,
-                lag(month) OVER (ORDER BY year, month) AS prev_month FROM months)"""))
+prev AS (SELECT year, month, lag(month) OVER (PARTITION BY year ORDER BY month) AS prev_month
+         FROM months)"""))
 def month_over_month(spark, sf_dir):
     res = _monthly_result(spark, sf_dir, "by_direction", long=True)
     return r6(RP.month_over_month(res, "direction"))

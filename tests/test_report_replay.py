@@ -79,6 +79,14 @@ def test_month_over_month_uses_previous_pivot_row(spark):
     assert got[(3, "S")] == -1.0
 
 
+def test_month_over_month_starts_each_year_fresh(spark):
+    from roadpulse.operators.report import month_over_month
+    res = spark.createDataFrame([(2022, 12, "N", 10.0), (2023, 1, "N", 12.0), (2023, 2, "N", 15.0)],
+                                "year INT, month INT, direction STRING, avg_speed DOUBLE")
+    got = {(r.year, r.month): r.mom_change for r in month_over_month(res, "direction").collect()}
+    assert got == {(2022, 12): None, (2023, 1): None, (2023, 2): 3.0}
+
+
 def test_write_message_slices_round_trip(spark, tmp_dir):
     import os
     from roadpulse.operators.transform import parse

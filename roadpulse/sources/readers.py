@@ -88,15 +88,21 @@ def read_historical(spark: SparkSession, root: str, kind: str, year: int,
     return df
 
 
+def snapshot_versions(spark: SparkSession, root: str) -> DataFrame:
+    """Committed snapshot versions: ``version`` and the ``slot`` holding it."""
+    return spark.read.parquet(f"{root.rstrip('/')}/commits").select("version", "slot")
+
+
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The newest *committed* snapshot version.
+    """The newest *committed* snapshot.
 
-    The snapshot writer puts each version under ``data/version=<n>`` and only
-    then appends ``n`` to the ``commits`` table, so a reader never sees a
-    version that is still being written or overwritten.
+    The snapshot writer overwrites the data of a slot first and only then
+    that slot's commit record, and never rewrites the slot of the newest
+    committed version, so the highest committed version always points at
+    complete data.
     """
     root = root.rstrip("/")
-    newest = spark.read.parquet(f"{root}/commits").agg(F.max("version")).first()[0]
+    newest = snapshot_versions(spark, root).orderBy(F.col("version").desc()).first()
     if newest is None:
         raise FileNotFoundError(f"no committed snapshot under {root}")
-    return spark.read.parquet(f"{root}/data/version={int(newest)}")
+    return spark.read.parquet(f"{root}/data/slot={int(newest['slot'])}")

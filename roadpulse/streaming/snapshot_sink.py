@@ -1,17 +1,27 @@
 """``foreachBatch`` sink of the latest-per-segment snapshot.
 
-Each micro-batch writes ``data/version=<batch_id>`` and then appends the
-batch id to ``commits``; ``sources.readers.read_snapshot`` reads the newest
-committed version. Re-running a batch after a failure rewrites the same
-version (idempotent), and readers never see a half-written snapshot.
+The sink keeps a ring of ``keep`` slots. Each non-empty micro-batch takes
+the slot after the one holding the newest committed version, overwrites
+``data/slot=<s>`` and only then its commit record ``commits/slot=<s>`` (one
+row: ``version = batch_id``). ``sources.readers.read_snapshot`` reads the slot
+of the highest committed version. The slot being rewritten never holds the
+newest committed version, so a reader never lands on a half-written
+snapshot. A batch re-run after a failure writes nothing if its version is
+already committed (the commit follows the complete data), so re-runs are
+idempotent. Storage stays at ``keep`` snapshots and ``keep``
+commit files however long the stream runs.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from ..operators.snapshot import latest
-from ..sources.readers import read_snapshot
+from ..sources.readers import snapshot_versions
+
+DEFAULT_KEEP = 3
 
 
 class SnapshotWriter:
@@ -23,21 +33,45 @@ class SnapshotWriter:
     committed snapshot first, so a segment keeps its last known state.
     """
 
-    def __init__(self, root: str, carry_forward: bool = False):
+    def __init__(self, root: str, carry_forward: bool = False, keep: int = DEFAULT_KEEP):
+        if keep < 2:
+            raise ValueError("keep at least 2 slots (one is rewritten while readers use another)")
         self.root = root.rstrip("/")
         self.carry_forward = carry_forward
+        self.keep = int(keep)
+
+    def _slots(self, spark, batch_id: int) -> tuple[int | None, int | None]:
+        """(slot to write, or None when this batch is already committed; slot
+        of the newest version committed before this batch). The commit table
+        has at most ``keep`` rows."""
+        try:
+            committed = [(int(r["version"]), int(r["slot"]))
+                         for r in snapshot_versions(spark, self.root).collect()]
+        except AnalysisException:  # nothing committed yet
+            committed = []
+        earlier = [c for c in committed if c[0] < batch_id]
+        previous = max(earlier)[1] if earlier else None
+        if any(version == batch_id for version, _ in committed):
+            return None, previous
+        return (0 if previous is None else (previous + 1) % self.keep), previous
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
-        spark = batch_df.sparkSession
-        previous = None
-        if self.carry_forward:
-            try:
-                previous = read_snapshot(spark, self.root)
-            except Exception:  # noqa: BLE001 - first batch: nothing committed yet
-                previous = None
-        snap = latest(batch_df, previous=previous)
-        snap.write.mode("overwrite").parquet(f"{self.root}/data/version={int(batch_id)}")
-        (spark.createDataFrame([(int(batch_id),)], "version LONG")
-         .write.mode("append").parquet(f"{self.root}/commits"))
+        # Two actions follow (empty check, write): keep the micro-batch output
+        # instead of running the stateful plan twice.
+        batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if batch_df.isEmpty():
+                return
+            spark = batch_df.sparkSession
+            slot, prev_slot = self._slots(spark, int(batch_id))
+            if slot is None:
+                return
+            previous = None
+            if self.carry_forward and prev_slot is not None:
+                previous = spark.read.parquet(f"{self.root}/data/slot={prev_slot}")
+            snap = latest(batch_df, previous=previous)
+            snap.write.mode("overwrite").parquet(f"{self.root}/data/slot={slot}")
+            (spark.createDataFrame([(int(batch_id),)], "version LONG")
+             .write.mode("overwrite").parquet(f"{self.root}/commits/slot={slot}"))
+        finally:
+            batch_df.unpersist()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.operators.transform import prepare_segments
 from roadpulse.schemas import SEGMENT
-from roadpulse.sources.readers import read_snapshot
+from roadpulse.sources.readers import read_snapshot, snapshot_versions
 from roadpulse.streaming import live
 
 T0 = dt.datetime(2023, 1, 1)
@@ -62,10 +62,14 @@ def test_live_pipeline_fixture(spark, tmp_dir):
     assert rt.where(F.col("frc").isNull()).count() == 16
     net = spark.read.parquet(f"{out}/{live.OUTPUTS['network']}").orderBy("window_start").collect()
     assert net[0].total_segments == 3 and net[0].congested_segments == 2  # scores 0.4, 0.8, 0.1
-    # snapshot: one version per data batch; batch 11 (slice 11) has no segment 3
+    # snapshot: a ring of 3 slots holds the last 3 data batches (15-17); segment 3
+    # stopped after slice 10, so no retained version has it
     snap_root = f"{out}/{live.OUTPUTS['snapshot']}"
-    v11 = spark.read.parquet(f"{snap_root}/data/version=11")
-    assert sorted(r.xd_id for r in v11.select("xd_id").collect()) == [1, 2]
+    kept = {r.version: r.slot for r in snapshot_versions(spark, snap_root).collect()}
+    assert sorted(kept) == [15, 16, 17] and sorted(kept.values()) == [0, 1, 2]
+    for slot in kept.values():
+        v = spark.read.parquet(f"{snap_root}/data/slot={slot}")
+        assert sorted(r.xd_id for r in v.select("xd_id").collect()) == [1, 2]
     newest = read_snapshot(spark, snap_root)
     assert newest.count() == 2
     assert newest.where(F.col("xd_id") == 1).first().window_start == dt.datetime(2023, 1, 1, 2, 50)
@@ -101,3 +105,27 @@ def test_snapshot_writer_modes(spark, tmp_dir):
         assert set(got) == expect and got[1] == 0.4
         w(spark.createDataFrame([], schema), 2)  # empty batch: nothing committed
         assert spark.read.parquet(f"{root}/commits").agg(F.max("version")).first()[0] == 1
+
+
+def test_snapshot_ring_is_bounded_and_skips_empty_batches(spark, tmp_dir):
+    from roadpulse.streaming.snapshot_sink import SnapshotWriter
+    schema = "xd_id LONG, avg_congestion DOUBLE, window_start TIMESTAMP_NTZ"
+    root = f"{tmp_dir}/ring"
+    w = SnapshotWriter(root, carry_forward=True, keep=3)
+    empty = spark.createDataFrame([], schema)
+    w(spark.createDataFrame([(1, 0.1, T0), (2, 0.2, T0)], schema), 0)
+    w(empty, 1)
+    w(empty, 2)
+    w(empty, 3)
+    # the newest committed version (0, slot 0) is merged, the write goes to slot 1
+    w(spark.createDataFrame([(1, 0.3, T0 + dt.timedelta(minutes=10))], schema), 4)
+    assert {r.version: r.slot for r in snapshot_versions(spark, root).collect()} == {0: 0, 4: 1}
+    assert {r.xd_id: r.avg_congestion for r in read_snapshot(spark, root).collect()} == {1: 0.3, 2: 0.2}
+    for b in range(5, 12):
+        w(spark.createDataFrame([(1, 0.01 * b, T0 + dt.timedelta(minutes=10 * b))], schema), b)
+    kept = {r.version: r.slot for r in snapshot_versions(spark, root).collect()}
+    assert sorted(kept) == [9, 10, 11] and sorted(kept.values()) == [0, 1, 2]
+    assert sorted(os.listdir(f"{root}/data")) == ["slot=0", "slot=1", "slot=2"]
+    w(spark.createDataFrame([(1, 9.9, T0)], schema), 11)  # replay of a committed batch: no write
+    got = {r.xd_id: r.avg_congestion for r in read_snapshot(spark, root).collect()}
+    assert got == {1: 0.11, 2: 0.2}

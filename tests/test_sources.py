@@ -1,5 +1,8 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
+from roadpulse.schemas import READING
 from roadpulse.sources.readers import read_historical, read_readings, read_readings_csv, read_segments_csv
 from roadpulse.sources.writers import to_json_records, write_partitioned
 
@@ -54,3 +57,26 @@ def test_read_historical_validation(spark, tmp_dir):
 def test_json_records_nan_inf_null(spark):
     df = spark.createDataFrame([(1, float("nan"), float("inf"), 2.5)], "id INT, a DOUBLE, b DOUBLE, c DOUBLE")
     assert to_json_records(df).first().json == '{"id":1,"a":null,"b":null,"c":2.5}'
+
+
+def test_compact_sorted_row_groups_and_order(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from roadpulse.sources.writers import compact_sorted
+    t0 = dt.datetime(2023, 1, 1)
+    rows = [(i % 50, t0 + dt.timedelta(seconds=37 * ((i * 7919) % 20000)), float(i), 50.0, 30.0)
+            for i in range(20000)]
+    df = spark.createDataFrame(rows, READING).withColumn("year", F.lit(2023)).withColumn("month", F.lit(1))
+    compact_sorted(df, f"{tmp_dir}/c", num_partitions=2, row_group_bytes=64 * 1024)
+    files = glob.glob(f"{tmp_dir}/c/year=2023/month=1/*.parquet")
+    assert files
+    groups = 0
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        groups += meta.num_row_groups
+        ts = pq.read_table(f, columns=["measurement_tstamp"]).column(0).to_pylist()
+        assert ts == sorted(ts)
+    assert groups > len(files)
+    assert spark.read.parquet(f"{tmp_dir}/c").count() == 20000

@@ -127,3 +127,37 @@ def test_cube_and_grouping_sets_equal_plain(spark):
     plain = _rows(H.all_means_plain(df), cols)
     assert plain == _rows(H.all_means_long(df), cols)
     assert plain == _rows(H.grouping_sets_means(df), cols)
+
+
+def _hot_readings(spark, n=3000, seed=11):
+    """A third of all readings on one segment (0), several per slot."""
+    rnd = random.Random(seed)
+    t0 = dt.datetime(2023, 1, 1)
+    rows = []
+    for i in range(n):
+        seg = 0 if i % 3 == 0 else rnd.randrange(1, 60)
+        ts = t0 + dt.timedelta(seconds=rnd.randrange(0, 2 * 24 * 3600))
+        rows.append((seg, ts, rnd.uniform(0, 80), 50.0, rnd.uniform(20, 100)))
+    return clean(spark.createDataFrame(rows, READING))
+
+
+def test_hot_segment_exact_network_and_segment_windows(spark):
+    df = _hot_readings(spark)
+    cols = ["window_start", "total_segments", "congested_segments", "pct_congested"]
+    assert _rows(W.network(df, exact=True), cols) == _rows(W.network_exact_two_stage(df), cols)
+    hot = W.by_segment(df).where(F.col("xd_id") == 0).agg(F.sum("reading_count")).first()[0]
+    assert hot == 6 * df.where(F.col("xd_id") == 0).count()
+
+
+def test_latest_plan_has_no_sort_aggregate(spark, capsys):
+    S.latest(W.by_segment(_random_readings(spark))).explain()
+    plan = capsys.readouterr().out
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_month_over_month_plan_has_no_single_partition(spark, capsys):
+    from roadpulse.operators.report import month_over_month
+    res = spark.createDataFrame([(2023, m, d, float(m)) for m in range(1, 13) for d in "NSEW"],
+                                "year INT, month INT, direction STRING, avg_speed DOUBLE")
+    month_over_month(res, "direction").explain()
+    assert "SinglePartition" not in capsys.readouterr().out

@@ -50,6 +50,10 @@ def live_frames(raw: DataFrame, segments: DataFrame, min_confidence: float | Non
     return {
         "by_segment": W.by_segment(cleaned, duration, slide, ts="event_time", segments=segments,
                                    written_at=written_at),
+        # the snapshot's input: same windows on the minimal key; the sink
+        # joins the lookup after picking the newest window per segment
+        "by_segment_keys": W.by_segment(cleaned, duration, slide, ts="event_time",
+                                        written_at=written_at),
         "network": W.network(cleaned, duration, slide, threshold, exact=False, ts="event_time",
                              written_at=written_at),
         "by_road_type": W.by_road_type(enrich(cleaned, segments, "left", attrs=["frc"]),
@@ -74,10 +78,12 @@ def start_append(df: DataFrame, path: str, checkpoint: str, interval: str = RESU
 
 def start_snapshot(by_segment: DataFrame, root: str, checkpoint: str,
                    interval: str = SNAPSHOT_TRIGGER, available_now: bool = False,
-                   carry_forward: bool = False, name: str | None = None) -> StreamingQuery:
-    """Update-mode per-segment windows -> newest window per segment."""
+                   carry_forward: bool = False, name: str | None = None,
+                   segments: DataFrame | None = None) -> StreamingQuery:
+    """Update-mode per-segment windows -> newest window per segment (+ the
+    lookup attributes when ``segments`` is given)."""
     w = (by_segment.writeStream.outputMode("update")
-         .foreachBatch(SnapshotWriter(root, carry_forward))
+         .foreachBatch(SnapshotWriter(root, carry_forward, segments=segments))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
@@ -124,8 +130,9 @@ def start_all(spark: SparkSession, raw: DataFrame, segments: DataFrame, out_root
     out, ck = out_root.rstrip("/"), checkpoint_root.rstrip("/")
     queries = [start_append(frames[k], f"{out}/{OUTPUTS[k]}", f"{ck}/{k}", result_trigger, available_now)
                for k in ("by_segment", "network", "by_road_type")]
-    queries.append(start_snapshot(frames["by_segment"], f"{out}/{OUTPUTS['snapshot']}",
-                                  f"{ck}/snapshot", snapshot_trigger, available_now, carry_forward))
+    queries.append(start_snapshot(frames["by_segment_keys"], f"{out}/{OUTPUTS['snapshot']}",
+                                  f"{ck}/snapshot", snapshot_trigger, available_now, carry_forward,
+                                  segments=segments))
     return queries
 
 

@@ -19,6 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from ..operators.snapshot import latest
+from ..operators.transform import enrich
 from ..sources.readers import snapshot_versions
 
 DEFAULT_KEEP = 3
@@ -31,14 +32,18 @@ class SnapshotWriter:
     the newest window per segment *of this micro-batch* (segments absent
     from the batch disappear). ``carry_forward=True`` merges the previous
     committed snapshot first, so a segment keeps its last known state.
+    ``segments`` (the lookup) is joined to the newest windows, after the
+    per-segment pick, which then runs on fixed-width columns only.
     """
 
-    def __init__(self, root: str, carry_forward: bool = False, keep: int = DEFAULT_KEEP):
+    def __init__(self, root: str, carry_forward: bool = False, keep: int = DEFAULT_KEEP,
+                 segments: DataFrame | None = None):
         if keep < 2:
             raise ValueError("keep at least 2 slots (one is rewritten while readers use another)")
         self.root = root.rstrip("/")
         self.carry_forward = carry_forward
         self.keep = int(keep)
+        self.segments = segments
 
     def _slots(self, spark, batch_id: int) -> tuple[int | None, int | None]:
         """(slot to write, or None when this batch is already committed; slot
@@ -70,6 +75,8 @@ class SnapshotWriter:
             if self.carry_forward and prev_slot is not None:
                 previous = spark.read.parquet(f"{self.root}/data/slot={prev_slot}")
             snap = latest(batch_df, previous=previous)
+            if self.segments is not None:
+                snap = enrich(snap, self.segments, "left")
             snap.write.mode("overwrite").parquet(f"{self.root}/data/slot={slot}")
             (spark.createDataFrame([(int(batch_id),)], "version LONG")
              .write.mode("overwrite").parquet(f"{self.root}/commits/slot={slot}"))

@@ -72,6 +72,7 @@ def test_live_pipeline_fixture(spark, tmp_dir):
         assert sorted(r.xd_id for r in v.select("xd_id").collect()) == [1, 2]
     newest = read_snapshot(spark, snap_root)
     assert newest.count() == 2
+    assert {r.xd_id: r.road_name for r in newest.collect()} == {1: "A", 2: "B"}  # lookup joined after
     assert newest.where(F.col("xd_id") == 1).first().window_start == dt.datetime(2023, 1, 1, 2, 50)
 
 

@@ -269,6 +269,14 @@ def window_by_segment(spark, sf_dir):
     return r6(_window_by_segment(spark, sf_dir))
 
 
+@register("window_by_segment_bucketed", fx.with_views(
+    f"SELECT {SEG_WIN_SELECT} FROM seg_win_attr",
+    extra=WINDOW_CTES + ",\n" + SEG_WINDOWS_SQL))
+def window_by_segment_bucketed(spark, sf_dir):
+    """``window_by_segment`` with one shuffle of the readings by (segment, day)."""
+    return r6(W.by_segment_bucketed(_cleaned(spark, sf_dir), segments=fx.segments(spark, sf_dir)))
+
+
 ROAD_TYPE_WINDOW_SQL = fx.with_views(f"""
 SELECT s.frc, {R6('avg(speed)')} AS avg_speed, {R6('avg(congestion_score)')} AS avg_congestion,
        count(*) AS reading_count, {WIN_COLS}

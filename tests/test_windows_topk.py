@@ -161,3 +161,18 @@ def test_month_over_month_plan_has_no_single_partition(spark, capsys):
                                 "year INT, month INT, direction STRING, avg_speed DOUBLE")
     month_over_month(res, "direction").explain()
     assert "SinglePartition" not in capsys.readouterr().out
+
+
+def test_bucketed_segment_windows_equal_plain(spark):
+    cols = ["xd_id", "window_start", "window_end", "avg_speed", "avg_congestion", "reading_count",
+            "year", "month", "day"]
+    for df in (_random_readings(spark), _hot_readings(spark)):
+        assert _rows(W.by_segment(df), cols) == _rows(W.by_segment_bucketed(df), cols)
+    # buckets shorter than a day (readings near every bucket start are sent twice)
+    df = _random_readings(spark, n=1500, seed=5)
+    assert _rows(W.by_segment(df), cols) == _rows(W.by_segment_bucketed(df, bucket_minutes=60), cols)
+
+
+def test_bucketed_segment_windows_shuffle_once(spark, capsys):
+    W.by_segment_bucketed(_random_readings(spark)).explain()
+    assert capsys.readouterr().out.count("Exchange") == 1

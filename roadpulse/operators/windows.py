@@ -211,8 +211,12 @@ def by_segment_bucketed(cleaned: DataFrame, duration=DEFAULT_DURATION, slide=DEF
     owners = F.array_distinct(F.array(_bucket_index(F.col("_m") - F.lit((n - 1) * s), bucket_minutes),
                                       _bucket_index(F.col("_m"), bucket_minutes)))
     parts = rows.select("*", F.explode(owners).alias("_bucket")).repartition("xd_id", "_bucket")
-    copies = (parts.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_k"))
-              .where(_bucket_index(F.col("_m") - F.col("_k") * F.lit(s), bucket_minutes) == F.col("_bucket")))
+    # copy k (window start m - k*s) belongs to the bucket [b0, b0 + B); all
+    # of m, b0 and B are on the slide grid, so the bounds are exact
+    since = F.col("_m") - F.col("_bucket") * F.lit(int(bucket_minutes))
+    k_hi = F.least(F.lit(n - 1), (since / F.lit(s)).cast("int"))
+    k_lo = F.greatest(F.lit(0), ((since - F.lit(int(bucket_minutes))) / F.lit(s)).cast("int") + F.lit(1))
+    copies = parts.select("*", F.explode(F.sequence(k_lo, k_hi)).alias("_k"))
     ws = F.timestamp_add("MINUTE", -F.col("_k") * F.lit(s), F.col("_slot"))
     agg = copies.groupBy("xd_id", "_bucket", ws.alias("window_start")).agg(*_stats())
     end = F.timestamp_add("MINUTE", F.lit(minutes(duration)), F.col("window_start"))

@@ -175,6 +175,39 @@ def by_road_type_two_stage(enriched: DataFrame, duration=DEFAULT_DURATION, slide
                       *window_columns(F.col("ws"), end))
 
 
+def latest_window(cleaned: DataFrame, duration=DEFAULT_DURATION, slide=DEFAULT_SLIDE,
+                  ts: str = "measurement_tstamp") -> DataFrame:
+    """The newest sliding window of each segment (batch), without building
+    the other windows: same rows as ``snapshot.latest(by_segment(...))``.
+
+    A reading in slot ``t`` is in the windows starting at ``t - k*slide``,
+    so a segment's newest window starts at its newest slot, and holds only
+    that slot's readings (a later reading would have a later slot). Per
+    (segment, slot) sums and counts are aggregated map-side, then the
+    newest slot per segment is picked by ``max_by`` (a hash aggregate with
+    a partial step): no window expansion, and a hot segment is one partial
+    row per task at each step.
+    """
+    if cleaned.isStreaming:
+        raise ValueError("latest_window is batch only; streams use the snapshot sink")
+    n, s = _slots_per_window(duration, slide), minutes(slide)
+    slot = floor_minutes(F.col(ts), s)
+    per_slot = (cleaned.where(F.col(ts).isNotNull())
+                .groupBy("xd_id", slot.alias("slot"))
+                .agg(F.sum("speed").alias("s_speed"), F.count("speed").alias("n_speed"),
+                     F.sum("congestion_score").alias("s_score"),
+                     F.count("congestion_score").alias("n_score"),
+                     F.count(F.lit(1)).alias("n_rows")))
+    newest = per_slot.groupBy("xd_id").agg(
+        F.max("slot").alias("window_start"),
+        *[F.max_by(c, "slot").alias(c) for c in ("s_speed", "n_speed", "s_score", "n_score", "n_rows")])
+    end = F.timestamp_add("MINUTE", F.lit(n * s), F.col("window_start"))
+    return newest.select(
+        "xd_id", F.try_divide(F.col("s_speed"), F.col("n_speed")).alias("avg_speed"),
+        F.try_divide(F.col("s_score"), F.col("n_score")).alias("avg_congestion"),
+        F.col("n_rows").alias("reading_count"), *window_columns(F.col("window_start"), end))
+
+
 def _bucket_index(minute: Column, bucket_minutes: int) -> Column:
     """Epoch-aligned bucket number of a minute count."""
     b = F.lit(int(bucket_minutes))

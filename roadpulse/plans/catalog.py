@@ -320,18 +320,29 @@ def window_network_approx(spark, sf_dir):
     return r6(W.network(_cleaned(spark, sf_dir), exact=False))
 
 
-@register("latest_per_segment", fx.with_views(f"""
+LATEST_SQL = fx.with_views(f"""
 SELECT {SEG_WIN_SELECT} FROM (
   SELECT *, row_number() OVER (PARTITION BY xd_id ORDER BY window_start DESC) AS rn FROM seg_win_attr)
-WHERE rn = 1""", extra=WINDOW_CTES + ",\n" + SEG_WINDOWS_SQL))
+WHERE rn = 1""", extra=WINDOW_CTES + ",\n" + SEG_WINDOWS_SQL)
+
+
+@register("latest_per_segment", LATEST_SQL)
 def latest_per_segment(spark, sf_dir):
     return r6(_latest_view(spark, sf_dir))
 
 
 def _latest_view(spark, sf_dir):
-    """Newest window per segment on the minimal keys, lookup joined after."""
+    """Newest window per segment straight from the newest slot of each
+    segment (no other window is built), lookup joined after."""
+    return enrich(W.latest_window(_cleaned(spark, sf_dir)), fx.segments(spark, sf_dir), "left")
+
+
+@register("latest_per_segment_all_windows", LATEST_SQL)
+def latest_per_segment_all_windows(spark, sf_dir):
+    """W1 as the snapshot sink runs it: every window per segment, then the
+    newest one (``snapshot.latest``)."""
     wins = W.by_segment(_cleaned(spark, sf_dir))
-    return enrich(S.latest(wins), fx.segments(spark, sf_dir), "left")
+    return r6(enrich(S.latest(wins), fx.segments(spark, sf_dir), "left"))
 
 
 # ---------------------------------------------------------------------------

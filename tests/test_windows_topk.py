@@ -176,3 +176,13 @@ def test_bucketed_segment_windows_equal_plain(spark):
 def test_bucketed_segment_windows_shuffle_once(spark, capsys):
     W.by_segment_bucketed(_random_readings(spark)).explain()
     assert capsys.readouterr().out.count("Exchange") == 1
+
+
+def test_latest_window_equals_latest_of_all_windows(spark):
+    cols = ["xd_id", "window_start", "window_end", "avg_speed", "avg_congestion", "reading_count",
+            "year", "month", "day"]
+    for df in (_random_readings(spark), _hot_readings(spark)):
+        assert _rows(S.latest(W.by_segment(df)), cols) == _rows(W.latest_window(df), cols)
+    df = _random_readings(spark, n=800, seed=9)
+    assert (_rows(S.latest(W.by_segment(df, "30 minutes", "5 minutes")), cols)
+            == _rows(W.latest_window(df, "30 minutes", "5 minutes"), cols))

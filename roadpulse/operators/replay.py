@@ -86,6 +86,14 @@ def slices(df: DataFrame, start, end=None, minutes: int = 10, ts: str = TS) -> D
         F.timestamp_add("MINUTE", F.lit(minutes), floor).alias("slice_end"))
 
 
+def slice_counts(df: DataFrame, start, end=None, minutes: int = 10, ts: str = TS) -> DataFrame:
+    """Rows per non-empty replay slice (``slice_start``, ``slice_end``,
+    ``rows``): the per-slice report of a verbose replay. Empty slices have
+    no row, as the replay skips them."""
+    return (slices(df, start, end, minutes, ts).groupBy("slice_start", "slice_end")
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
 def to_messages(df: DataFrame, ts: str = TS) -> DataFrame:
     """Readings -> (``key``, ``value``) messages: key is the segment id as
     text, value the JSON object with the timestamp in ISO form. NULL

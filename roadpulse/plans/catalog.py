@@ -575,6 +575,20 @@ def replay_slices(spark, sf_dir):
     return r6(RY.slices(fx.readings(spark, sf_dir), REPLAY_START, None, 10))
 
 
+@register("replay_slice_counts", fx.with_views(f"""
+SELECT greatest(time_bucket(INTERVAL '10 minutes', measurement_tstamp, TIMESTAMP '1970-01-01 00:00:00'),
+                TIMESTAMP '{REPLAY_START}') AS slice_start,
+       time_bucket(INTERVAL '10 minutes', measurement_tstamp, TIMESTAMP '1970-01-01 00:00:00')
+         + INTERVAL '10 minutes' AS slice_end,
+       count(*) AS rows
+FROM readings
+WHERE measurement_tstamp BETWEEN TIMESTAMP '{REPLAY_START}' AND TIMESTAMP '2024-12-31 23:59:59'
+GROUP BY ALL"""))
+def replay_slice_counts(spark, sf_dir):
+    """Rows per non-empty 10-minute slice of the replay (verbose replay report)."""
+    return RY.slice_counts(fx.readings(spark, sf_dir), REPLAY_START, None, 10)
+
+
 @register("time_range_clip", fx.with_views(f"""
 SELECT {READINGS_SELECT}, {Y} AS year, {M} AS month FROM readings
 WHERE measurement_tstamp >= TIMESTAMP '1996-03-15 00:00:00'

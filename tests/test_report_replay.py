@@ -50,6 +50,16 @@ def test_slices_start_and_inclusive_end(spark):
     assert got[1].slice_start == t(2023, 1, 1, 0, 10)
 
 
+def test_slice_counts_skip_empty_slices(spark):
+    t = dt.datetime
+    rows = [(1, t(2023, 1, 1, 0, 5), 1.0, 1.0, 1.0), (2, t(2023, 1, 1, 0, 7), 1.0, 1.0, 1.0),
+            (1, t(2023, 1, 1, 0, 12), 1.0, 1.0, 1.0), (1, t(2023, 1, 1, 0, 48), 1.0, 1.0, 1.0)]
+    got = RY.slice_counts(spark.createDataFrame(rows, READING), "2023-01-01 00:05:00", None, 10).collect()
+    assert sorted((r.slice_start, r.slice_end, r.rows) for r in got) == [
+        (t(2023, 1, 1, 0, 5), t(2023, 1, 1, 0, 10), 2), (t(2023, 1, 1, 0, 10), t(2023, 1, 1, 0, 20), 1),
+        (t(2023, 1, 1, 0, 40), t(2023, 1, 1, 0, 50), 1)]
+
+
 def test_months_touching():
     assert RY.months_touching("2023-01-31 23:50", "2023-02-01 00:00") == [(2023, 1)]
     assert RY.months_touching("2023-12-31 23:50", "2024-01-01 00:10") == [(2023, 12), (2024, 1)]

@@ -7,7 +7,8 @@ Jobs:
   compact-raw      partitioned readings -> time-sorted files, separate root
   historical       five historical results for a year (or all data)
   compact-results  one file per result and year, separate root
-  live             the four streaming queries (Kafka or a folder of JSON lines)
+  live             the four streaming queries (Kafka or a folder of JSON lines);
+                   --shared: two queries, one window state for the three results
   replay           readings -> per-slice JSON-line folders, or a Kafka topic
 """
 
@@ -70,6 +71,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--snapshot-trigger", default="20 seconds")
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--carry-forward", action="store_true")
+    s.add_argument("--shared", action="store_true",
+                   help="the three windowed results from one query (one state, exact network KPI)")
 
     s = sub.add_parser("replay")
     s.add_argument("--raw", required=True)
@@ -110,9 +113,17 @@ def main(argv: list[str] | None = None) -> int:
             raw = file_stream(spark, args.files)
         else:
             p.error("live needs --kafka or --files")
-        start_all(spark, raw, read_segments_csv(spark, args.segments), args.out, args.checkpoints,
-                  args.result_trigger, args.snapshot_trigger, args.available_now, args.carry_forward)
-        spark.streams.awaitAnyTermination()
+        start = start_all
+        if args.shared:
+            from .streaming.shared import start_shared as start
+        queries = start(spark, raw, read_segments_csv(spark, args.segments), args.out, args.checkpoints,
+                        args.result_trigger, args.snapshot_trigger, args.available_now,
+                        args.carry_forward)
+        if args.available_now:  # each query stops when its input is done
+            for q in queries:
+                q.awaitTermination()
+        else:  # if one query fails, stop the job (its checkpoint resumes it)
+            spark.streams.awaitAnyTermination()
     elif args.job == "replay":
         from .operators.replay import clip, write_message_slices
         from .sources.kafka import write_kafka

@@ -296,12 +296,13 @@ def sliding_two_stage(spark, sf_dir):
     return r6(W.by_road_type_two_stage(enriched))
 
 
-NETWORK_SQL = fx.with_views(f"""
+NETWORK_CORE = f"""
 SELECT count(DISTINCT xd_id) AS total_segments,
        count(DISTINCT CASE WHEN congestion_score > 0.3e0 THEN xd_id END) AS congested_segments,
        {R6("CASE WHEN count(DISTINCT xd_id) > 0 THEN count(DISTINCT CASE WHEN congestion_score > 0.3e0 THEN xd_id END) / count(DISTINCT xd_id) * 100.0e0 END")} AS pct_congested,
        {WIN_COLS}
-FROM win GROUP BY window_start""", extra=WINDOW_CTES)
+FROM win GROUP BY window_start"""
+NETWORK_SQL = fx.with_views(NETWORK_CORE, extra=WINDOW_CTES)
 
 
 @register("window_network_exact", NETWORK_SQL)
@@ -828,6 +829,53 @@ def stream_latest_snapshot(spark, sf_dir):
     return r6(_ntz_windows(RD.read_snapshot(spark, f"{out}/{LV.OUTPUTS['snapshot']}")))
 
 
+# The same three results from the shared-state pipeline (one append query
+# for all three, exact network KPI).
+
+from ..streaming import shared as SH  # noqa: E402
+
+_shared_runs: dict = {}
+
+
+def _shared_run(spark, sf_dir) -> str:
+    key = (id(spark), sf_dir)
+    if key not in _shared_runs:
+        src = scratch_path(spark, "shared-in")
+        to_messages(fx.readings(spark, sf_dir)).select("value").write.text(src)
+        out, ck = scratch_path(spark, "shared-out"), scratch_path(spark, "shared-ckpt")
+        qs = SH.start_shared(spark, LV.file_stream(spark, src), fx.segments(spark, sf_dir), out, ck,
+                             available_now=True)
+        for q in qs:
+            q.awaitTermination()
+        _shared_runs[key] = out
+    return _shared_runs[key]
+
+
+@register("stream_shared_by_segment", fx.with_views(
+    f"SELECT {SEG_WIN_SELECT} FROM seg_win_attr WHERE {CLOSED}",
+    extra=WINDOW_CTES + ",\n" + SEG_WINDOWS_SQL))
+def stream_shared_by_segment(spark, sf_dir):
+    return r6(_ntz_windows(SH.read_result(spark, _shared_run(spark, sf_dir), "by_segment")))
+
+
+@register("stream_shared_by_road_type", fx.with_views(f"""
+SELECT * FROM (
+  SELECT s.frc, {R6('avg(speed)')} AS avg_speed, {R6('avg(congestion_score)')} AS avg_congestion,
+         count(*) AS reading_count, {WIN_COLS}
+  FROM win LEFT JOIN segments s ON win.xd_id = s.xd
+  GROUP BY s.frc, window_start)
+WHERE {CLOSED}""", extra=WINDOW_CTES))
+def stream_shared_by_road_type(spark, sf_dir):
+    return r6(_ntz_windows(SH.read_result(spark, _shared_run(spark, sf_dir), "by_road_type")))
+
+
+@register("stream_shared_network", fx.with_views(
+    f"SELECT * FROM ({NETWORK_CORE}) WHERE {CLOSED}", extra=WINDOW_CTES))
+def stream_shared_network(spark, sf_dir):
+    """Exact network KPI of the shared-state pipeline."""
+    return r6(_ntz_windows(SH.read_result(spark, _shared_run(spark, sf_dir), "network")))
+
+
 @register("historical_four_scans", _all_means_sql())
 def historical_four_scans(spark, sf_dir):
     """Plain form of ``historical_cube``: four separate aggregations (bench

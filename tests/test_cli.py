@@ -31,3 +31,23 @@ def test_batch_jobs_from_the_command_line(spark, tmp_dir, capsys):
     assert top.count() <= 20 * 12 and top.where(F.col("year") != 1997).count() == 0
     by_hour = read_historical(spark, f"{tmp_dir}/hc", "by_hour", 1997, month=3).collect()
     assert len(by_hour) == 1 and by_hour[0].hour == 0  # ship dates are midnight only
+
+
+def test_live_shared_from_the_command_line(spark, tmp_dir):
+    from roadpulse.operators.replay import to_messages
+    from roadpulse.streaming import shared
+    from roadpulse.streaming.live import OUTPUTS
+    src, segs = f"{tmp_dir}/in", f"{tmp_dir}/xd.csv"
+    to_messages(fx.readings(spark, SF)).select("value").write.text(src)
+    fx.segments(spark, SF).select(
+        "xd", F.col("road_name").alias("road-name"), "frc", "bearing",
+        F.col("start_lat").alias("start_latitude"), F.col("start_long").alias("start_longitude"),
+        F.col("end_lat").alias("end_latitude"), F.col("end_long").alias("end_longitude"),
+    ).write.option("header", True).option("quoteAll", True).csv(segs)
+    assert main(["--local", "live", "--segments", segs, "--out", f"{tmp_dir}/out",
+                 "--checkpoints", f"{tmp_dir}/ck", "--files", src, "--available-now", "--shared"]) == 0
+    net = shared.read_result(spark, f"{tmp_dir}/out", "network")
+    assert net.count() > 0 and net.where(F.col("congested_segments") > F.col("total_segments")).count() == 0
+    seg = shared.read_result(spark, f"{tmp_dir}/out", "by_segment")
+    assert seg.agg(F.max("reading_count")).first()[0] >= 1
+    assert spark.read.parquet(f"{tmp_dir}/out/{OUTPUTS['snapshot']}/commits").count() >= 1

@@ -130,3 +130,36 @@ def test_snapshot_ring_is_bounded_and_skips_empty_batches(spark, tmp_dir):
     w(spark.createDataFrame([(1, 9.9, T0)], schema), 11)  # replay of a committed batch: no write
     got = {r.xd_id: r.avg_congestion for r in read_snapshot(spark, root).collect()}
     assert got == {1: 0.11, 2: 0.2}
+
+
+def test_shared_results_equal_per_result_queries(spark, tmp_dir):
+    from roadpulse.streaming import shared
+    src = f"{tmp_dir}/in"
+    _write_fixture(src)
+    segments = prepare_segments(spark.createDataFrame(
+        [(1, "A", 1, "N", 36.0, -86.8, 36.1, -86.7), (2, "B", 3, "E", 36.0, -86.8, 36.1, -86.7)], SEGMENT))
+    outs = {}
+    for mode in ("separate", "shared"):
+        raw = live.file_stream(spark, src, max_files_per_trigger=1)
+        out, ck = f"{tmp_dir}/out_{mode}", f"{tmp_dir}/ck_{mode}"
+        start = live.start_all if mode == "separate" else shared.start_shared
+        qs = start(spark, raw, segments, out, ck, available_now=True)
+        assert len(qs) == (4 if mode == "separate" else 2)
+        for q in qs:
+            q.awaitTermination()
+        outs[mode] = out
+
+    def rows(mode, kind):
+        df = shared.read_result(spark, outs[mode], kind).drop("written_at")
+        cols = sorted(df.columns)
+        return sorted(tuple(r) for r in df.select(*cols).collect())
+
+    assert rows("shared", "by_segment") == rows("separate", "by_segment")
+    assert len(rows("shared", "by_segment")) == 48
+    assert rows("shared", "by_road_type") == rows("separate", "by_road_type")
+    net = shared.read_result(spark, outs["shared"], "network").orderBy("window_start").collect()
+    approx = shared.read_result(spark, outs["separate"], "network").count()
+    assert len(net) == approx
+    assert net[0].total_segments == 3 and net[0].congested_segments == 2
+    assert all(r.congested_segments <= r.total_segments for r in net)
+    assert read_snapshot(spark, f"{outs['shared']}/{live.OUTPUTS['snapshot']}").count() == 2

@@ -163,3 +163,25 @@ def test_shared_results_equal_per_result_queries(spark, tmp_dir):
     assert net[0].total_segments == 3 and net[0].congested_segments == 2
     assert all(r.congested_segments <= r.total_segments for r in net)
     assert read_snapshot(spark, f"{outs['shared']}/{live.OUTPUTS['snapshot']}").count() == 2
+
+
+def test_shared_writer_replayed_batch_replaces_rows(spark, tmp_dir):
+    from roadpulse.streaming import shared
+    seg = prepare_segments(spark.createDataFrame([(1, "A", 1, "N", 0.0, 0.0, 0.0, 0.0)], SEGMENT))
+    w0 = T0 + dt.timedelta(hours=1)
+    parts = spark.createDataFrame(
+        [((w0, w0 + dt.timedelta(hours=1)), 1, 60.0, 2, 0.8, 2, 2, 1),
+         ((w0, w0 + dt.timedelta(hours=1)), 7, 30.0, 1, 0.1, 1, 1, 0)],
+        "window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, xd_id LONG, s_speed DOUBLE, n_speed LONG, "
+        "s_score DOUBLE, n_score LONG, reading_count LONG, hot INT")
+    w = shared.SharedResultsWriter(f"{tmp_dir}/out", seg)
+    w(parts, 3)
+    w(parts, 3)  # replay of the same batch
+    w(spark.createDataFrame([], parts.schema), 4)  # empty batch writes nothing
+    net = shared.read_result(spark, f"{tmp_dir}/out", "network").collect()
+    assert [(r.total_segments, r.congested_segments, r.pct_congested) for r in net] == [(2, 1, 50.0)]
+    rt = {r.frc: (r.avg_speed, r.reading_count)
+          for r in shared.read_result(spark, f"{tmp_dir}/out", "by_road_type").collect()}
+    assert rt == {1: (30.0, 2), None: (30.0, 1)}
+    by_seg = shared.read_result(spark, f"{tmp_dir}/out", "by_segment")
+    assert by_seg.count() == 2 and by_seg.where("xd_id = 7 AND road_name IS NULL").count() == 1

@@ -31,11 +31,6 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _round6(c):
-    snapped = F.round(c * F.lit(1e9)) / F.lit(1e9)
-    return F.round(snapped * F.lit(1e6)) / F.lit(1e6)
-
-
 def r6(df: DataFrame) -> DataFrame:
     """Round every double column to 6 decimals (comparison form).
 
@@ -43,10 +38,14 @@ def r6(df: DataFrame) -> DataFrame:
     first step snaps the last-bit noise of a different summation order back
     onto the decimal grid (the inputs have few decimals, so exact half-way
     averages are common), the second rounds half away from zero on the same
-    IEEE double in both engines (``round(x, 6)`` differs between them)."""
-    return df.select(*[_round6(F.col(f.name)).alias(f.name)
-                       if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
-                       for f in df.schema.fields])
+    IEEE double in both engines (``round(x, 6)`` differs between them).
+    Built as one SQL projection (one call to the JVM, not ten per column)."""
+    def one(f):
+        name = "`" + f.name.replace("`", "``") + "`"
+        if isinstance(f.dataType, (DoubleType, FloatType)):
+            return f"{R6(name)} AS {name}"
+        return name
+    return df.selectExpr(*[one(f) for f in df.schema.fields])
 
 
 def R6(expr: str) -> str:

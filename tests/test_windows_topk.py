@@ -186,3 +186,18 @@ def test_latest_window_equals_latest_of_all_windows(spark):
     df = _random_readings(spark, n=800, seed=9)
     assert (_rows(S.latest(W.by_segment(df, "30 minutes", "5 minutes")), cols)
             == _rows(W.latest_window(df, "30 minutes", "5 minutes"), cols))
+
+
+def test_exact_network_equals_count_distinct_with_nulls(spark):
+    df = _random_readings(spark, n=1500, segs=30, seed=4)
+    extra = spark.createDataFrame(
+        [(None, dt.datetime(2023, 1, 1, 5, 3), 10.0, 0.9), (3, dt.datetime(2023, 1, 1, 5, 4), 10.0, None),
+         (None, dt.datetime(2023, 1, 9, 0, 0), 1.0, 0.9)],
+        "xd_id LONG, measurement_tstamp TIMESTAMP_NTZ, speed DOUBLE, congestion_score DOUBLE")
+    df = df.select("xd_id", "measurement_tstamp", "speed", "congestion_score").unionByName(extra)
+    w = F.window("measurement_tstamp", "60 minutes", "10 minutes")
+    ref = df.groupBy(w.start.alias("window_start")).agg(
+        F.count_distinct("xd_id").alias("total_segments"),
+        F.count_distinct(F.when(F.col("congestion_score") > 0.3, F.col("xd_id"))).alias("congested_segments"))
+    cols = ["window_start", "total_segments", "congested_segments"]
+    assert _rows(W.network(df, exact=True), cols) == _rows(ref, cols)

@@ -690,7 +690,7 @@ def _ingested(spark, sf_dir):
     time-sorted compaction. Returns (counters, compacted historical root)."""
     csv = scratch_path(spark, "raw-csv")
     r = fx.readings_long(spark, sf_dir)
-    r.select("speed", "xd_id", F.lit("Davidson").alias("county"), "reference_speed",
+    r.select("speed", "xd_id", F.lit("county_a").alias("county"), "reference_speed",
              "measurement_tstamp", "confidence_score").write.options(**_CSV_WRITE).csv(csv)
     staged = scratch_path(spark, "staged")
     counters = PR.ingest(spark, csv, staged, INGEST_HIST, INGEST_REPLAY)

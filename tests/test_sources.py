@@ -23,8 +23,8 @@ def test_readings_csv_bad_values_become_null(spark, tmp_dir):
     p = f"{tmp_dir}/raw.csv"
     with open(p, "w") as f:
         f.write("speed,xd_id,county,measurement_tstamp,reference_speed,confidence_score\n")
-        f.write("31.5,1,Davidson,2023-01-01 00:10:00,50,30\n")
-        f.write("x,2,Davidson,zz,50,30\n")
+        f.write("31.5,1,county_a,2023-01-01 00:10:00,50,30\n")
+        f.write("x,2,county_a,zz,50,30\n")
     rows = sorted(read_readings_csv(spark, p).collect(), key=lambda r: r.xd_id)
     assert rows[0].speed == 31.5 and rows[0].measurement_tstamp == dt.datetime(2023, 1, 1, 0, 10)
     assert rows[1].speed is None and rows[1].measurement_tstamp is None

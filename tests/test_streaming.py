@@ -185,3 +185,16 @@ def test_shared_writer_replayed_batch_replaces_rows(spark, tmp_dir):
     assert rt == {1: (30.0, 2), None: (30.0, 1)}
     by_seg = shared.read_result(spark, f"{tmp_dir}/out", "by_segment")
     assert by_seg.count() == 2 and by_seg.where("xd_id = 7 AND road_name IS NULL").count() == 1
+
+
+def test_exact_network_on_a_stream_points_to_shared(spark, tmp_dir):
+    import pytest
+
+    from roadpulse.operators import windows as W
+    src = f"{tmp_dir}/in"
+    _write_fixture(src)
+    cleaned = live.cleaned_stream(live.file_stream(spark, src))
+    with pytest.raises(ValueError, match="start_shared"):
+        W.network(cleaned, exact=True, ts="event_time")
+    with pytest.raises(ValueError):
+        W.latest_window(cleaned, ts="event_time")

@@ -73,6 +73,13 @@ def results_from_partials(parts: DataFrame, segments: DataFrame,
             "by_road_type": by_class}
 
 
+# Results whose rows per batch are bounded by the windows closing in it
+# (x at most 6 road classes): written as one file per batch instead of one
+# per state partition. Per-segment rows grow with the network and keep the
+# state's partitioning.
+SMALL_RESULTS = ("network", "by_road_type")
+
+
 class SharedResultsWriter:
     """``foreachBatch`` writer of the three results under ``out_root``
     (the folders of ``live.OUTPUTS``), partitioned by the window date and
@@ -90,6 +97,8 @@ class SharedResultsWriter:
             if batch_df.isEmpty():
                 return
             for kind, df in results_from_partials(batch_df, self.segments).items():
+                if kind in SMALL_RESULTS:
+                    df = df.coalesce(1)
                 (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("year", "month", "day", "batch_id")

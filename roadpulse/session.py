@@ -48,23 +48,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) a scratch folder is created.
+    as is; a cluster session without it is refused. Only a local-mode session
+    without it (tests) gets a scratch folder.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: the server's setting applies
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local_master(sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared "
+                               "folder (executors and the driver write lineage cuts and job outputs there)")
         configured = tempfile.mkdtemp(prefix="roadpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def is_local_master(master: str | None) -> bool:
+    """True for a single-machine master (``local``, ``local[8]``,
+    ``local-cluster[2,1,1024]``), where a machine-local folder is shared by
+    every executor."""
+    return bool(master) and (master == "local" or master.startswith(("local[", "local-cluster[")))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for intermediate
     job outputs (stream sources/sinks, stream checkpoints, round trips) that

@@ -53,3 +53,11 @@ def test_import_without_session():
     code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
     out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
     assert out.returncode == 0, out.stderr[-2000:]
+
+
+def test_checkpoint_fallback_only_on_a_local_master():
+    from roadpulse.session import is_local_master
+    assert is_local_master("local") and is_local_master("local[8]") and is_local_master("local[*]")
+    assert is_local_master("local-cluster[2,1,1024]")
+    assert not is_local_master("yarn") and not is_local_master("spark://host:7077")
+    assert not is_local_master("k8s://https://host:443") and not is_local_master(None)

@@ -64,9 +64,19 @@ def clean(df: DataFrame, min_confidence: float | None = DEFAULT_MIN_CONFIDENCE)
     return score(out)
 
 
-def prepare_segments(df: DataFrame) -> DataFrame:
-    """Lookup with one row per ``xd`` (a duplicate key would fan readings out)."""
-    return df.select("xd", *SEGMENT_ATTRS).where(F.col("xd").isNotNull()).dropDuplicates(["xd"])
+def prepare_segments(df: DataFrame, max_single_task_bytes: int | None = None) -> DataFrame:
+    """Lookup with one row per ``xd`` (a duplicate key would fan readings out).
+
+    A lookup whose raw rows pass the broadcast size check is de-duplicated
+    in one task: a single partition already satisfies the grouping, so no
+    shuffle is planned, and the rows go to every executor as a broadcast
+    anyway. A larger lookup is de-duplicated by a distributed aggregate.
+    """
+    limit = DEFAULT_MAX_BROADCAST_BYTES if max_single_task_bytes is None else max_single_task_bytes
+    keyed = df.select("xd", *SEGMENT_ATTRS).where(F.col("xd").isNotNull())
+    if estimated_bytes(keyed) <= limit:
+        keyed = keyed.coalesce(1)
+    return keyed.dropDuplicates(["xd"])
 
 
 def lookup_rows(segments: DataFrame) -> int:

@@ -73,3 +73,16 @@ def test_enrich_inner_left_and_duplicate_key(spark):
     left = {r.xd_id: r for r in enrich(df, lookup, "left").collect()}
     assert set(left) == {1, 9} and left[9].road_name is None and left[9].frc is None
     assert enrich(df, lookup, "left").count() == 2  # no fan-out
+
+
+def test_lookup_dedup_small_in_one_task_large_distributed(spark, capsys):
+    rows = [(k % 40, f"r{k % 40}", k % 5 + 1, "NSEW"[k % 4], 36.0, -86.8, 36.1, -86.7) for k in range(200)]
+    raw = spark.createDataFrame(rows, SEGMENT).repartition(4)
+    small = prepare_segments(raw)
+    large = prepare_segments(raw, max_single_task_bytes=0)
+    assert sorted(r.xd for r in small.collect()) == sorted(r.xd for r in large.collect()) == list(range(40))
+    small.explain()
+    plan = capsys.readouterr().out
+    assert "Coalesce 1" in plan and "hashpartitioning(xd" not in plan
+    large.explain()
+    assert "hashpartitioning(xd" in capsys.readouterr().out

@@ -54,6 +54,21 @@ def test_read_historical_validation(spark, tmp_dir):
         read_historical(spark, tmp_dir, "by_hour", 2023, month=13)
 
 
+def test_read_historical_ordered_and_month(spark, tmp_dir):
+    top = spark.createDataFrame(
+        [(2023, 2, 5, "a", "N", 1, 0.2, 40.0), (2023, 2, 3, "b", "S", 2, 0.5, 30.0),
+         (2023, 2, 4, "c", "E", 3, 0.5, 35.0), (2023, 3, 9, "d", "W", 4, None, 50.0),
+         (2023, 3, 8, "e", "N", 5, 0.1, 20.0), (2022, 3, 1, "f", "N", 1, 0.9, 10.0)],
+        "year INT, month INT, xd_id LONG, road_name STRING, bearing STRING, frc INT, "
+        "avg_congestion DOUBLE, avg_speed DOUBLE")
+    write_partitioned(top, f"{tmp_dir}/hist/top_segments")
+    rows = read_historical(spark, f"{tmp_dir}/hist", "top_segments", 2023, ordered=True).collect()
+    # by month, then worst first (NULL last), ties by lower id
+    assert [(r.month, r.xd_id) for r in rows] == [(2, 3), (2, 4), (2, 5), (3, 8), (3, 9)]
+    march = read_historical(spark, f"{tmp_dir}/hist", "top_segments", 2023, month=3).collect()
+    assert sorted(r.xd_id for r in march) == [8, 9]
+
+
 def test_json_records_nan_inf_null(spark):
     df = spark.createDataFrame([(1, float("nan"), float("inf"), 2.5)], "id INT, a DOUBLE, b DOUBLE, c DOUBLE")
     assert to_json_records(df).first().json == '{"id":1,"a":null,"b":null,"c":2.5}'

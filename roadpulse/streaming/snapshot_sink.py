@@ -44,16 +44,19 @@ class SnapshotWriter:
         self.carry_forward = carry_forward
         self.keep = int(keep)
         self.segments = segments
+        self._none_committed = False  # learned on the first batch of this run
 
     def _slots(self, spark, batch_id: int) -> tuple[int | None, int | None]:
         """(slot to write, or None when this batch is already committed; slot
         of the newest version committed before this batch). The commit table
         has at most ``keep`` rows."""
-        try:
-            committed = [(int(r["version"]), int(r["slot"]))
-                         for r in snapshot_versions(spark, self.root).collect()]
-        except AnalysisException:  # nothing committed yet
-            committed = []
+        committed = []
+        if not self._none_committed:
+            try:
+                committed = [(int(r["version"]), int(r["slot"]))
+                             for r in snapshot_versions(spark, self.root).collect()]
+            except AnalysisException:  # nothing committed yet: do not probe again
+                self._none_committed = True
         earlier = [c for c in committed if c[0] < batch_id]
         previous = max(earlier)[1] if earlier else None
         if any(version == batch_id for version, _ in committed):
@@ -80,5 +83,6 @@ class SnapshotWriter:
             snap.write.mode("overwrite").parquet(f"{self.root}/data/slot={slot}")
             (spark.createDataFrame([(int(batch_id),)], "version LONG")
              .write.mode("overwrite").parquet(f"{self.root}/commits/slot={slot}"))
+            self._none_committed = False
         finally:
             batch_df.unpersist()

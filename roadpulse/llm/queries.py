@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat_format import format_chats, read_back
 from .common import table
+from .ngram_join import ngram_jaccard_join
 from .quality_rules import judge_quality
 from .secret_scan import secret_report
 from .token_count import token_counts
@@ -51,3 +52,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_join(table(spark, sf_dir, "documents"))

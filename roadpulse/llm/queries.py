@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat_format import format_chats, read_back
 from .common import table
+from .mixing import mix_sources
 from .ngram_join import ngram_jaccard_join
 from .quality_rules import judge_quality
 from .secret_scan import secret_report
 from .token_count import token_counts
 from .url_filter import judge_urls
+from .vector_search import nearest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +28,17 @@ def query(fn):
     return fn
 
 
+@query
+def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+@query
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame([(-1, 0, "user", CHAT_PROBE), (-1, 1, "assistant", CHAT_PROBE)],

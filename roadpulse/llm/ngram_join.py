@@ -11,9 +11,9 @@ have at least k in common. The filters are intersected:
    token. A class must share ``least_shared(n)`` tokens of its prefix with
    other classes; most classes share too few and leave here, also those with a
    passage that many documents repeat.
-2. Order by frequency, rarest first (counted over all prefixes). Within the
-   hash prefixes of what is left, a candidate pair must share a token among the
-   first of the shared ones.
+2. Order by frequency among the classes left, rarest first, over whole sets.
+   A class must share ceil(t n) tokens; a candidate pair must share a token in
+   both plain prefixes (k = 1), at places that leave room for enough others.
 3. A second hash order. Before the exact check, the pair must share a token in
    its plain prefix.
 
@@ -45,9 +45,9 @@ from .components import min_labels
 SHINGLE_WORDS = 5
 PERCENT = 75
 #: Rounds of a few pairs per class before the remaining pairs are checked, and
-#: the pairs of a class in each. When no more than FEW_PAIRS times as many pairs
-#: as bucket rows are left, these are checked at once.
-ROUNDS, PICKS, FEW_PAIRS = 8, (1, 4), 2
+#: the pairs of a class in each. The rounds end when no more than FEW_PAIRS times
+#: as many pairs as bucket rows are left, or more than WORTH of the pairs before.
+ROUNDS, PICKS, FEW_PAIRS, WORTH = 6, (3, 8), 4, 0.9
 #: Bits of the bitmap of surviving classes (16 MB); a fixed size.
 BITMAP_BITS = 1 << 27
 #: Word hashes and classes a task remembers.
@@ -191,18 +191,28 @@ def _prefix_batch(held: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
          _lists([h[2] for h in held])], names=["cid", "least", "tokens"])
 
 
-def rare_prefixes(prefixes: DataFrame) -> DataFrame:
-    """(cid, token): of each class that shares enough of its hash prefix, the
-    first shared tokens by (frequency, token)."""
+def sharing_classes(prefixes: DataFrame) -> DataFrame:
+    """(cid): classes that share enough tokens of their hash prefix."""
     by_token = Window.partitionBy("token")
-    shared = (prefixes.withColumn("df", F.count(F.lit(1)).over(by_token))
-              .withColumn("low", F.min("cid").over(by_token)).withColumn("high", F.max("cid").over(by_token))
+    shared = (prefixes.withColumn("low", F.min("cid").over(by_token)).withColumn("high", F.max("cid").over(by_token))
               .where(F.col("low") != F.col("high")))
-    gathered = shared.groupBy("cid").agg(F.first("least").alias("least"),
-                                         F.collect_set(F.struct("df", "token")).alias("ranked"))
-    kept = gathered.where(F.size("ranked") >= F.col("least"))
-    first = F.slice(F.sort_array("ranked"), F.lit(1), F.size("ranked") - F.col("least") + 1)
-    return kept.select("cid", F.explode(F.transform(first, lambda x: x["token"])).alias("token"))
+    return (shared.groupBy("cid").agg(F.first("least").alias("least"), F.collect_set("token").alias("tokens"))
+            .where(F.size("tokens") >= F.col("least")).select("cid"))
+
+
+def rare_prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(token, cid, n, pos): of each class that shares enough tokens, the
+    shared ones of its prefix by (frequency, token). ``pos`` counts from 1 over
+    the whole set; tokens that no other class has come first."""
+    rows = sets.select("cid", "n", F.explode("tokens").alias("token"))
+    df = F.count(F.lit(1)).over(Window.partitionBy("token"))
+    shared = rows.withColumn("df", df).where("df > 1")
+    ranked = shared.groupBy("cid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
+    needed = F.ceil(F.col("n") * percent / F.lit(100)).cast("int")
+    kept = ranked.where(F.size("ranked") >= needed)
+    first = F.slice("ranked", F.lit(1), F.size("ranked") - needed + 1)
+    return (kept.select("cid", "n", F.size("ranked").alias("s"), F.posexplode(first).alias("at", "x"))
+            .select(F.col("x")["token"].alias("token"), "cid", "n", (F.col("n") - F.col("s") + F.col("at") + 1).alias("pos")))
 
 
 def class_bitmap(classes: DataFrame) -> bytes:
@@ -250,7 +260,7 @@ def _set_batch(held: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (x, y) those whose sets link."""
+    """Of the pairs (x, y), with their components, those whose sets link."""
     left = sets.select(F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("tokens").alias("xt"),
                        F.col("second").alias("xs"))
     right = sets.select(F.col("cid").alias("y"), F.col("n").alias("yn"), F.col("tokens").alias("yt"),
@@ -260,7 +270,15 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     union = F.col("xn") + F.col("yn") - common
     return (both.where(F.least("xn", "yn") * 100 >= F.greatest("xn", "yn") * percent)
             .where(F.arrays_overlap("xs", "ys"))
-            .where(common * 100 >= union * percent).select("x", "y"))
+            .where(common * 100 >= union * percent).select("x", "y", "xc", "yc"))
+
+
+def _may_link(xn, xpos, yn, ypos, percent: int):
+    """Two sets can link with this as their first common token: they have
+    similar sizes, and enough tokens from there on."""
+    common = F.ceil((xn + yn) * percent / F.lit(100 + percent))
+    return ((F.least(xn, yn) * 100 >= F.greatest(xn, yn) * percent)
+            & (xpos <= xn - common + 1) & (ypos <= yn - common + 1))
 
 
 def _cross(buckets: DataFrame) -> DataFrame:
@@ -270,26 +288,41 @@ def _cross(buckets: DataFrame) -> DataFrame:
             .where(F.col("_lo") != F.col("_hi")).drop("_lo", "_hi"))
 
 
-def _some_pairs(buckets: DataFrame, turn: int) -> DataFrame:
+def _renamed(df: DataFrame, joined: DataFrame) -> DataFrame:
+    """``df`` with each component's new name (node -> comp of ``joined``)."""
+    new = joined.select(F.col("node").alias("comp"), F.col("comp").alias("_new"))
+    return df.join(new, "comp", "left").withColumn("comp", F.coalesce("_new", "comp")).drop("_new")
+
+
+def _some_pairs(buckets: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs: each class with at most PICKS others of different components. In
     each bucket it meets the one that a hash of the turn, token and class puts
     first."""
     w = Window.partitionBy("token").orderBy(F.xxhash64(F.lit(turn), "token", "cid")).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
-    met = (buckets.withColumn("hub", F.first("cid").over(w)).withColumn("hub_comp", F.first("comp").over(w))
-           .where(F.col("comp") != F.col("hub_comp")))
-    hubs = met.groupBy("cid").agg(F.sort_array(F.collect_set(
-        F.struct(F.xxhash64(F.lit(turn), "hub").alias("h"), F.col("hub")))).alias("hubs"))
-    each = hubs.select("cid", F.explode(F.slice("hubs", 1, PICKS[min(turn, len(PICKS) - 1)])).alias("p"))
-    hub = F.col("p")["hub"]
-    return each.select(F.least("cid", hub).alias("x"), F.greatest("cid", hub).alias("y")).distinct()
-
-
-def _remaining(buckets: DataFrame) -> DataFrame:
-    """All pairs of a bucket between components."""
-    a = buckets.select("token", F.col("cid").alias("x"), F.col("comp").alias("xc"))
-    b = buckets.select("token", F.col("cid").alias("y"), F.col("comp").alias("yc"))
-    return a.join(b, "token").where((F.col("x") < F.col("y")) & (F.col("xc") != F.col("yc"))).select("x", "y").distinct()
+    hub = F.first(F.struct("cid", "comp", "n", "pos")).over(w)
+    met = (buckets.withColumn("h", hub).where(F.col("comp") != F.col("h")["comp"])
+           .where(_may_link(F.col("n"), F.col("pos"), F.col("h")["n"], F.col("h")["pos"], percent))
+           .select("cid", "comp", F.col("h")["cid"].alias("hub"), F.col("h")["comp"].alias("hub_comp")))
+    hubs = met.groupBy("cid", "comp").agg(F.sort_array(F.collect_set(
+        F.struct(F.xxhash64(F.lit(turn), "hub").alias("h"), F.col("hub"), F.col("hub_comp")))).alias("hubs"))
+    each = hubs.select("cid", "comp", F.explode(F.slice("hubs", 1, PICKS[min(turn, len(PICKS) - 1)])).alias("p"))
+    hub = F.col("p")
+    swap = F.col("cid") > hub["hub"]
+    return each.select(F.when(swap, hub["hub"]).otherwise(F.col("cid")).alias("x"),
+                       F.when(swap, F.col("cid")).otherwise(hub["hub"]).alias("y"),
+                       F.when(swap, hub["hub_comp"]).otherwise(F.col("comp")).alias("xc"),
+                       F.when(swap, F.col("comp")).otherwise(hub["hub_comp"]).alias("yc")).distinct()
+
+
+def _remaining(buckets: DataFrame, percent: int) -> DataFrame:
+    """All pairs between components that can link."""
+    def side(c: str) -> DataFrame:
+        return buckets.select("token", F.col("cid").alias(c), F.col("comp").alias(f"{c}c"), F.col("n").alias(f"{c}n"),
+                              F.col("pos").alias(f"{c}pos"))
+    fits = _may_link(F.col("xn"), F.col("xpos"), F.col("yn"), F.col("ypos"), percent)
+    return (side("x").join(side("y"), "token").where((F.col("x") < F.col("y")) & (F.col("xc") != F.col("yc")) & fits)
+            .select("x", "y", "xc", "yc").distinct())
 
 
 def _pairs_left(buckets: DataFrame) -> tuple[int, int]:
@@ -303,24 +336,28 @@ def _pairs_left(buckets: DataFrame) -> tuple[int, int]:
 def class_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(cid, comp) of the classes that link with others."""
     spark = docs.sparkSession
-    ranked = cut(rare_prefixes(prefix_tokens(docs, words, percent)), "ngram-prefixes")
-    met = F.count(F.lit(1)).over(Window.partitionBy("token"))
-    buckets = cut(ranked.withColumn("_n", met).where("_n > 1").select("cid", "token", F.col("cid").alias("comp")),
-                  "ngram-buckets")
-    bitmap = spark.sparkContext.broadcast(class_bitmap(buckets.select("cid")))
+    sharing = cut(sharing_classes(prefix_tokens(docs, words, percent)), "ngram-sharing")
+    bitmap = spark.sparkContext.broadcast(class_bitmap(sharing))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = class_sets(docs, bitmap, words, percent).repartition(parts, "cid").dropDuplicates(["cid"]).persist()
-    links = None
     try:
+        buckets = cut(rare_prefixes(sets, percent), "ngram-prefixes").withColumn("comp", F.col("cid"))
+        labels = buckets.select("cid", "comp").distinct()
+        before = None
         for turn in range(ROUNDS + 1):
+            buckets = cut(_cross(buckets), "ngram-buckets")
             rows, left = _pairs_left(buckets)
-            last = turn == ROUNDS or left <= FEW_PAIRS * rows
-            found = verified(_remaining(buckets) if last else _some_pairs(buckets, turn), sets, percent)
-            links = cut(found if links is None else links.unionByName(found), "ngram-links")
+            last = turn == ROUNDS or left <= FEW_PAIRS * rows or before is not None and left > before * WORTH
+            before = left
+            pairs = _remaining(buckets, percent) if last else _some_pairs(buckets, turn, percent)
+            # Links between components, and the components these join.
+            links = cut(verified(pairs, sets, percent).select(
+                F.least("xc", "yc").alias("x"), F.greatest("xc", "yc").alias("y")).distinct(), "ngram-links")
+            joined = min_labels(links)
+            labels = cut(_renamed(labels, joined), "ngram-labels")
             if last:
-                return min_labels(links).select(F.col("node").alias("cid"), "comp")
-            named = buckets.drop("comp").join(min_labels(links).select(F.col("node").alias("cid"), "comp"), "cid", "left")
-            buckets = cut(_cross(named.withColumn("comp", F.coalesce("comp", "cid"))), "ngram-buckets")
+                return labels
+            buckets = _renamed(buckets, joined)
     finally:
         sets.unpersist()
         bitmap.unpersist()

@@ -15,12 +15,14 @@ a bounded cache, so nothing is shuffled.
 from __future__ import annotations
 
 import json
+import math
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import accumulate
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -35,6 +37,8 @@ CACHE_WORDS = 400_000
 
 # Fixed value: the public byte-level BPE pre-tokenization pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# The same for texts in ASCII.
+_ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 # Unicode tables differ between libraries from here on; such texts are split
 # by the tokenizer's own pre-tokenizer.
 _UNSTABLE = re.compile("[՘-\U0010ffff]")
@@ -64,12 +68,18 @@ class PrefixCounter:
         self.token_id = {bytes(alphabet[c] for c in t): i for t, i in vocab.items()
                          if all(c in alphabet for c in t)}
         self.token_bytes = {i: b for b, i in self.token_id.items()}
-        self.longest = max(map(len, self.token_id))
         pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.made_by = {made: (rank, a, b) for (a, b), (rank, made) in self.merges.items()}
+        self._spines: tuple[dict, dict] = ({}, {})
         self.special = [t["content"] for t in spec["added_tokens"]]
         self._split_special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
         self._words = regex.compile(PATTERN).findall
+        self._ascii_words = re.compile(_ASCII_PATTERN, re.ASCII).findall
+        self._ends = ahocorasick.Automaton()  # bytes as code points 0 to 255
+        for b, i in self.token_id.items():
+            self._ends.add_word(b.decode("latin-1"), (i, len(b)))
+        self._ends.make_automaton()
         self._library_words = Tokenizer.from_file(path).pre_tokenizer
         self._valid: dict[tuple[int, int], bool] = {}
         self._cache_words = cache_words
@@ -88,31 +98,64 @@ class PrefixCounter:
             ids[i:i + 2] = [merges[ids[i], ids[i + 1]][1]]
         return ids
 
+    def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
+        """The tokens at the right (1) or left (0) edge while ``token`` is
+        merged, from the byte up, each with the rank of the merge that ends it."""
+        found = self._spines[side].get(token)
+        if found is None:
+            edge, ends = [token], [math.inf]
+            while (made := self.made_by.get(edge[-1])) is not None:
+                edge.append(made[1 + side])
+                ends.append(made[0])
+            found = self._spines[side][token] = list(zip(reversed(edge), reversed(ends)))
+        return found
+
     def compatible(self, left: int, right: int) -> bool:
         """``left`` then ``right`` is how their joined bytes are encoded
-        (``left`` -1: ``right`` alone)."""
+        (``left`` -1: ``right`` alone): at no time does a merge across the
+        boundary come before the next merge on either side."""
         known = self._valid.get((left, right))
         if known is None:
             if len(self._valid) > 4 * self._cache_words:
                 self._valid.clear()
-            want = [right] if left < 0 else [left, right]
-            known = self._valid[left, right] = self.encode_bytes(b"".join(self.token_bytes[t] for t in want)) == want
+            if left < 0:
+                known = self.encode_bytes(self.token_bytes[right]) == [right]
+            else:
+                known = self.compatible(-1, right) and not self._merge_across(left, right)
+            self._valid[left, right] = known
         return known
 
-    def byte_counts(self, word: bytes) -> tuple[int, ...]:
-        """Tokens of the first 0, 1, ... bytes of one pre-token."""
-        last, counts = [-1], [0]
-        get, valid = self.token_id.get, self.compatible
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - self.longest), end):
-                t = get(word[start:end])
-                if t is not None and valid(last[start], t):
-                    last.append(t)
-                    counts.append(counts[start] + 1)
-                    break
+    def _merge_across(self, left: int, right: int) -> bool:
+        a, b = self._spine(left, 1), self._spine(right, 0)
+        i = j = 0
+        while True:
+            (x, x_ends), (y, y_ends) = a[i], b[j]
+            found = self.merges.get((x, y))
+            if found is not None and found[0] < x_ends and found[0] <= y_ends:
+                return True
+            if x_ends == y_ends == math.inf:
+                return False
+            if x_ends <= y_ends:
+                i += 1
             else:
-                raise ValueError("the vocabulary lacks a byte")
-        return tuple(counts)
+                j += 1
+
+    def byte_counts(self, word: bytes) -> list[int]:
+        """Tokens of the first 0, 1, ... bytes of one pre-token."""
+        last, counts, at = [-1], [0], 0
+        known = self._valid
+        for end, (t, size) in self._ends.iter(word.decode("latin-1")):
+            if end < at:
+                continue
+            if end > at:
+                raise ValueError("no token of the vocabulary ends here")
+            before = last[end + 1 - size]
+            ok = known.get((before, t))
+            if ok or ok is None and self.compatible(before, t):
+                last.append(t)
+                counts.append(counts[end + 1 - size] + 1)
+                at += 1
+        return counts
 
     def char_counts(self, word: str) -> bytes | tuple[int, ...]:
         """Tokens of the first 0, 1, ... code points of one pre-token; those of
@@ -124,7 +167,7 @@ class PrefixCounter:
             if found is None:
                 data = word.encode()
                 counts = self.byte_counts(data)
-                found = counts if len(data) == len(word) else tuple(
+                found = tuple(counts) if len(data) == len(word) else tuple(
                     counts[i] for i in range(len(counts)) if i == len(data) or data[i] & 0xC0 != 0x80)
             if len(self._young) >= self._cache_words:
                 self._old, self._young = self._young, {}
@@ -133,7 +176,9 @@ class PrefixCounter:
         return found
 
     def plain_words(self, text: str) -> list[str]:
-        if text.isascii() or not _UNSTABLE.search(text):
+        if text.isascii():
+            return self._ascii_words(text)
+        if not _UNSTABLE.search(text):
             return self._words(text)
         return [text[b:e] for _, (b, e) in self._library_words.pre_tokenize_str(text)]
 
@@ -148,21 +193,21 @@ class PrefixCounter:
             at = m.end()
         return out + self.plain_words(text[at:])
 
-    def _tokens(self, word: str) -> int:
-        return 1 if word in self.special else self.char_counts(word)[-1]
-
-    def count(self, text: str) -> int:
-        """Tokens of the whole text."""
+    def tokens(self, words: list[str]) -> list[int]:
+        """Tokens of each pre-token or special string."""
+        out = []
         young = self._young
-        total = 0
-        for w in self.words(text):
+        for w in words:
             found = young.get(w)
-            if found is not None and w not in self.special:
-                total += found[-1]
-            else:
-                total += self._tokens(w)
+            if found is None:
+                found = b"\1" if w in self.special else self.char_counts(w)
                 young = self._young
-        return total
+            out.append(found[-1])
+        return out
+
+    def count(self, text: str) -> int:
+        """Tokens of the whole text."""
+        return sum(self.tokens(self.words(text)))
 
     def table(self, text: str) -> PrefixTable:
         return PrefixTable(self, text)
@@ -174,8 +219,11 @@ class PrefixTable:
     def __init__(self, counter: PrefixCounter, text: str):
         self.counter, self.text = counter, text
         self.words = counter.words(text)
-        self.ends = list(accumulate(map(len, self.words), initial=0))
-        self.counts = list(accumulate(map(counter._tokens, self.words), initial=0))
+        self.counts = list(accumulate(counter.tokens(self.words), initial=0))
+
+    @cached_property
+    def ends(self) -> list[int]:
+        return list(accumulate(map(len, self.words), initial=0))
 
     @property
     def total(self) -> int:
@@ -192,7 +240,7 @@ class PrefixTable:
         # special string; these words alone are split again.
         first = j - 1 if j and self.words[j - 1].isspace() else j
         tail = self.text[self.ends[first]:chars]
-        return self.counts[first] + sum(map(self.counter._tokens, self.counter.words(tail)))
+        return self.counts[first] + self.counter.count(tail)
 
     def fit(self, budget: int) -> int:
         """Code points of the longest prefix within ``budget`` tokens that ends
@@ -236,10 +284,9 @@ def token_counts(docs: DataFrame, budget: int = 1024, vocabulary: str = DEFAULT_
         for b in batches:
             n_tokens, fit = [], []
             for cell in b.column("text"):
-                text = cell.as_py()
-                n = counter.count(text)
-                n_tokens.append(n)
-                fit.append(len(text) if n <= budget else counter.table(text).fit(budget))
+                prefixes = counter.table(cell.as_py())
+                n_tokens.append(prefixes.total)
+                fit.append(prefixes.fit(budget))
             n = pa.array(n_tokens, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("n_bytes"), n, pa.array([x > budget for x in n_tokens], pa.bool_()),

@@ -14,6 +14,7 @@ from .mixing import mix_sources
 from .ngram_join import ngram_jaccard_join
 from .quality_rules import judge_quality
 from .secret_scan import secret_report
+from .sentence_pieces import encode_report
 from .token_count import token_counts
 from .url_filter import judge_urls
 from .vector_search import nearest
@@ -43,6 +44,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op2_license_scan"] = license_scan.oracle_sql()
 
 
+@query
+def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +36,14 @@ def let(value: Column, body) -> Column:
     while it is computed once per row (an alias may be inlined into every use
     by the optimizer)."""
     return F.transform(F.array(value), body)[0]
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever the driver was
+    started: Spark distributes a zip of its sources, once per context."""
+    context = spark.sparkContext
+    if not getattr(context, "_roadpulse_shipped", False):
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        name = os.path.join(tempfile.mkdtemp(prefix="roadpulse-src-"), "roadpulse_src")
+        context.addPyFile(shutil.make_archive(name, "zip", os.path.dirname(package), os.path.basename(package)))
+        context._roadpulse_shipped = True

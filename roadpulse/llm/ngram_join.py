@@ -384,3 +384,13 @@ def ngram_jaccard_join(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int
            .unionByName(named.where(F.col("comp").isNull()).select("cid", F.col("rep").alias("found"))))
     return rows.join(ids, "cid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("found", "doc_id").alias("component_id"))
+
+
+def keep_one_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each linked group, that of the smallest
+    id; of repeated rows one stays. Rows with a null id stay."""
+    others = cut(ngram_jaccard_join(docs).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(),
+                 "ngram-others")
+    again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    return (docs.join(others, "doc_id", "left_anti").withColumn("_again", F.row_number().over(again))
+            .where((F.col("_again") == 1) | F.col("doc_id").isNull()).select(*docs.columns))

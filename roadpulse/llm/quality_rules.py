@@ -82,7 +82,7 @@ def features(docs: DataFrame) -> DataFrame:
     """Per row the base numbers and both histograms (``chars`` by class,
     ``common`` by common word, the other words last)."""
     vocabulary = common_words()
-    read = docs.select("doc_id", "lang", text_or_empty().alias("text"))
+    read = docs.select("doc_id", "lang", text_or_empty().alias("text"), F.xxhash64("text").alias("text_hash"))
     listed = read.withColumn("words", words_of(F.col("text")))
     w, text = F.col("words"), F.col("text")
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -90,13 +90,13 @@ def features(docs: DataFrame) -> DataFrame:
     place = F.transform(known, lambda x: F.array_position(F.lit(vocabulary), x).cast("int"))
     joined = F.array_join(w, "")
     made = listed.select(
-        "doc_id", "lang", F.size(w).cast("long").alias("n_words"), F.length(joined).cast("long").alias("word_chars"),
+        "doc_id", "lang", "text_hash", F.size(w).cast("long").alias("n_words"), F.length(joined).cast("long").alias("word_chars"),
         _peeled(joined).alias("chars"), let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
         .cast("long").alias("n_dup_lines"), repeated_words(w).cast("long").alias("n_repeat_words"), place.alias("place"))
     left = F.size("place")
     counts = [left - F.size(F.array_remove("place", F.lit(k + 1))) for k in range(len(vocabulary))]
     return made.select(
-        "doc_id", "lang", "n_words", "word_chars",
+        "doc_id", "lang", "text_hash", "n_words", "word_chars",
         F.col("chars")[[c for c, _ in CLASSES].index("symbol")].cast("long").alias("n_symbols"),
         "n_dup_lines", "n_repeat_words", F.transform("chars", lambda x: x.cast("long")).alias("chars"),
         F.transform(F.array(*counts, F.col("n_words").cast("int") - left), lambda x: x.cast("long")).alias("common"))
@@ -131,7 +131,7 @@ def judge_quality(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_percen
                   max_char_distance: float = MAX_CHAR_DISTANCE) -> DataFrame:
     """Per row: ``doc_id``, ``n_words``, ``word_chars``, ``n_symbols``,
     ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``char_distance``,
-    ``word_distance`` and ``kept``.
+    ``word_distance``, ``kept`` and ``text_hash`` (xxhash64 of the text).
 
     A null text counts as empty and fails the base rules; a null language is a
     language of its own with its own reference; a null id stays null; repeated
@@ -147,5 +147,13 @@ def judge_quality(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_percen
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         jensen_shannon(shares(F.col("chars")), F.col("ref_chars")).alias("char_distance"),
-        jensen_shannon(shares(F.col("common")), F.col("ref_common")).alias("word_distance"),
+        jensen_shannon(shares(F.col("common")), F.col("ref_common")).alias("word_distance"), "text_hash",
     ).withColumn("kept", ~F.col("base_failed") & ~far)
+
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``judge_quality`` keeps, all columns."""
+    bad = cut(judge_quality(docs).where(~F.col("kept")).select(
+        F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct(), "quality-rejected")
+    same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_hash"))
+    return docs.join(bad, same, "left_anti")

@@ -4,12 +4,15 @@ production parameters, to the whole of its table."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from . import license_scan
 from .chat_format import format_chats, read_back
-from .common import table
+from .common import ship_package, table
 from .mixing import mix_sources
 from .ngram_join import ngram_jaccard_join
 from .quality_rules import judge_quality
@@ -26,8 +29,13 @@ CHAT_PROBE = "</s>[INST] ok [/INST]"
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @query
@@ -74,7 +82,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_quality(table(spark, sf_dir, "documents"))
+    return judge_quality(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @query
@@ -85,3 +93,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

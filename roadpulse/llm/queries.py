@@ -7,10 +7,11 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import license_scan
+from . import license_scan, oracles
 from .chat_format import format_chats, read_back
 from .common import ship_package, table
 from .mixing import mix_sources
@@ -49,9 +50,6 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
-ORACLE["op2_license_scan"] = license_scan.oracle_sql()
-
-
 @query
 def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_report(table(spark, sf_dir, "documents"))
@@ -82,7 +80,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_quality(table(spark, sf_dir, "documents")).drop("text_hash")
+    judged = judge_quality(table(spark, sf_dir, "documents")).drop("text_hash")
+    return judged.withColumns({c: F.round(c, 6) for c in ("char_distance", "word_distance")})
 
 
 @query
@@ -100,5 +99,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+ORACLE |= {
+    "op2_license_scan": license_scan.oracle_sql(),
+    "op4_mix_sources": oracles.mixture(),
+    "op5_chat_format": oracles.chats(CHAT_PROBE),
+    "op6_url_filter": oracles.urls(),
+    "op8_quality_rules": oracles.quality(),
+    "op10_ngram_jaccard": oracles.jaccard(),
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -80,7 +80,7 @@ def quality() -> str:
         return f"list_transform({x}, lambda v: CASE WHEN list_sum({x}) > 0 THEN v / list_sum({x}) ELSE 0 END)"
 
     def total(x: str, n: int) -> str:
-        return "[" + ", ".join(f"sum({x}[{i}])" for i in range(1, n + 1)) + "]"
+        return "[" + ", ".join(f"avg({x}[{i}])" for i in range(1, n + 1)) + "]"
 
     return f"""WITH words AS (SELECT row_number() OVER () AS rn, doc_id, lang, coalesce(text, '') AS text,
   list_filter(regexp_split_to_array(coalesce(text, ''), {text(_SPACE)}), lambda w: w <> '') AS w FROM documents),
@@ -95,11 +95,12 @@ features AS (SELECT rn, doc_id, lang, len(w) AS n_words, length(joined) AS word_
   list_append(list_transform([{vocabulary}], lambda v: len(list_filter(low, lambda x: x = v))),
     len(list_filter(low, lambda x: NOT list_contains([{vocabulary}], x)))) AS common
   FROM joined LEFT JOIN repeated r USING (rn)),
-refs AS (SELECT lang, {total('chars', len(counts))} AS chars, {total('common', n_common)} AS common FROM features GROUP BY lang),
+shared AS (SELECT lang, {shares('chars')} AS c, {shares('common')} AS w FROM features WHERE n_words > 0),
+refs AS (SELECT lang, {total('c', len(counts))} AS chars, {total('w', n_common)} AS common FROM shared GROUP BY lang),
 judged AS (SELECT f.*, f.n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * f.n_words AS base_failed,
-  {distance(shares('f.chars'), shares('r.chars'))} AS char_distance,
-  {distance(shares('f.common'), shares('r.common'))} AS word_distance
-  FROM features f JOIN refs r ON f.lang IS NOT DISTINCT FROM r.lang)
+  {distance(shares('f.chars'), 'r.chars')} AS char_distance,
+  {distance(shares('f.common'), 'r.common')} AS word_distance
+  FROM features f LEFT JOIN refs r ON f.lang IS NOT DISTINCT FROM r.lang)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
   CAST(chars[{1 + [c for c, _ in q.CLASSES].index('symbol')}] AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
   CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,

@@ -2,8 +2,8 @@
 
 Each document gives two histograms, of character classes and of common words.
 They are compared, by the Jensen-Shannon distance (base 2, between 0 and 1),
-with the reference of the document's language: the summed histograms of all its
-documents. Base rules on length and repetition come first, and each comparison
+with the reference of the document's language: the mean shares of all its
+documents (each counts the same, so one long document cannot bend it). Base rules on length and repetition come first, and each comparison
 has a minimum length below which it has no say.
 
 One pass over the texts makes a few numbers per document, which are written to
@@ -117,13 +117,13 @@ def jensen_shannon(p: Column, q: Column) -> Column:
 
 
 def references(made: DataFrame) -> DataFrame:
-    """Per language: summed histograms of all its documents, as shares."""
+    """Per language: mean shares of all its documents with words."""
     n_common, n_class = len(common_words()) + 1, len(CLASSES) + 1
-    sums = made.groupBy("lang").agg(*[F.sum(F.col("chars")[i]).alias(f"c{i}") for i in range(n_class)],
-                                    *[F.sum(F.col("common")[i]).alias(f"w{i}") for i in range(n_common)])
-    return sums.select(F.col("lang").alias("ref_lang"),
-                       shares(F.array(*[F.col(f"c{i}") for i in range(n_class)])).alias("ref_chars"),
-                       shares(F.array(*[F.col(f"w{i}") for i in range(n_common)])).alias("ref_common"))
+    shared = made.where("n_words > 0").select("lang", shares(F.col("chars")).alias("c"), shares(F.col("common")).alias("w"))
+    means = shared.groupBy("lang").agg(*[F.avg(F.col("c")[i]).alias(f"c{i}") for i in range(n_class)],
+                                       *[F.avg(F.col("w")[i]).alias(f"w{i}") for i in range(n_common)])
+    return means.select(F.col("lang").alias("ref_lang"), F.array(*[F.col(f"c{i}") for i in range(n_class)]).alias("ref_chars"),
+                        F.array(*[F.col(f"w{i}") for i in range(n_common)]).alias("ref_common"))
 
 
 def judge_quality(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT,

@@ -150,15 +150,18 @@ def _best(k: int):
             ids = vectors.column("id").to_numpy()
             order = np.argsort(ids, kind="stable")  # then ties go to smaller ids
             ids, v = ids[order], _matrix(vectors.column("v"), dim)[order]
+            once, first = np.unique(ids, return_index=True)  # rows of an id are in one part
             qids, q = queries.column("id").to_numpy(), _matrix(queries.column("v"), dim)
             step = max(1, _BLOCK_CELLS // v.size)
             for at in range(0, len(q), step):
                 score = (v[None, :, :] * q[at:at + step, None, :]).sum(axis=2)
-                own = ids[None, :] == qids[at:at + step, None]
+                if len(once) < len(ids):
+                    score = np.maximum.reduceat(score, first, axis=1)
+                own = once[None, :] == qids[at:at + step, None]
                 near = np.argsort(np.where(own, np.inf, -score), axis=1, kind="stable")[:, :k]
                 kept = ~np.take_along_axis(own, near, axis=1)
                 rows = np.broadcast_to(qids[at:at + step, None], near.shape)
-                out.append((rows[kept], ids[near][kept], np.take_along_axis(score, near, axis=1)[kept]))
+                out.append((rows[kept], once[near][kept], np.take_along_axis(score, near, axis=1)[kept]))
         cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
         return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()),
                          "score": pa.array(cols[2], pa.float64())})

@@ -45,7 +45,7 @@ from .components import min_labels
 SHINGLE_WORDS = 5
 PERCENT = 75
 #: Rounds of a few pairs per class before the remaining pairs are checked, and
-#: the pairs of a class in each. The rounds end when no more than FEW_PAIRS times
+#: the pairs of a class in each. After the first, they end when no more than FEW_PAIRS times
 #: as many pairs as bucket rows are left, or more than WORTH of the pairs before.
 ROUNDS, PICKS, FEW_PAIRS, WORTH = 6, (3, 8), 4, 0.9
 #: Bits of the bitmap of surviving classes (16 MB); a fixed size.
@@ -343,11 +343,11 @@ def class_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     try:
         buckets = cut(rare_prefixes(sets, percent), "ngram-prefixes").withColumn("comp", F.col("cid"))
         labels = buckets.select("cid", "comp").distinct()
-        before = None
+        before = 0
         for turn in range(ROUNDS + 1):
             buckets = cut(_cross(buckets), "ngram-buckets")
             rows, left = _pairs_left(buckets)
-            last = turn == ROUNDS or left <= FEW_PAIRS * rows or before is not None and left > before * WORTH
+            last = turn == ROUNDS or turn > 0 and (left <= FEW_PAIRS * rows or left > before * WORTH)
             before = left
             pairs = _remaining(buckets, percent) if last else _some_pairs(buckets, turn, percent)
             # Links between components, and the components these join.

@@ -40,7 +40,3 @@ def month_index(year: str | Column, month: str | Column) -> Column:
     partition columns."""
     return _c(year) * F.lit(12) + _c(month)
 
-
-def end_of_year(ts: str | Column) -> Column:
-    """Last second of the timestamp's year (the default replay end)."""
-    return F.make_timestamp_ntz(F.year(_c(ts)), F.lit(12), F.lit(31), F.lit(23), F.lit(59), F.lit(59))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .transform import enrich, is_broadcastable
+from .transform import enrich
 
 MONTHLY = ("year", "month")
 YEARLY = ("year",)
@@ -46,22 +46,6 @@ def mean_by(enriched: DataFrame, kind: str, period: Sequence[str] = MONTHLY) ->
             .agg(*_means()))
 
 
-def by_hour(enriched: DataFrame, period: Sequence[str] = MONTHLY) -> DataFrame:
-    return mean_by(enriched, "by_hour", period)
-
-
-def by_day_of_week(enriched: DataFrame, period: Sequence[str] = MONTHLY) -> DataFrame:
-    return mean_by(enriched, "by_day_of_week", period)
-
-
-def by_road_type(enriched: DataFrame, period: Sequence[str] = MONTHLY) -> DataFrame:
-    return mean_by(enriched, "by_road_type", period)
-
-
-def by_direction(enriched: DataFrame, period: Sequence[str] = MONTHLY) -> DataFrame:
-    return mean_by(enriched, "by_direction", period)
-
-
 # ---------------------------------------------------------------------------
 # All four means from one scan
 # ---------------------------------------------------------------------------
@@ -88,13 +72,6 @@ def from_cube(cube: DataFrame, kind: str, period: Sequence[str] = MONTHLY) -> Da
                  F.try_divide(F.sum("sum_score"), F.sum("n_score")).alias("avg_congestion_score")))
 
 
-def all_means(enriched: DataFrame, period: Sequence[str] = MONTHLY) -> dict[str, DataFrame]:
-    """The four means sharing one aggregation of the readings. Persist or
-    checkpoint the cube first when the four results are written separately."""
-    cube = mean_cube(enriched, period)
-    return {k: from_cube(cube, k, period) for k in MEAN_KINDS}
-
-
 def all_means_long(enriched: DataFrame, period: Sequence[str] = MONTHLY) -> DataFrame:
     """The four means as one frame (``kind`` + the four key columns, NULL where
     not grouped), from one aggregation of the readings."""
@@ -200,32 +177,24 @@ def all_means_plain(enriched: DataFrame, period: Sequence[str] = MONTHLY) -> Dat
     return out
 
 
-def enrich_for_means(scored: DataFrame, segments: DataFrame) -> DataFrame:
-    """Readings joined to the lookup columns the four means need."""
-    return enrich(scored, segments, "inner", attrs=["frc", "bearing"])
-
-
-def means_via_preaggregate(scored: DataFrame, segments: DataFrame,
-                           period: Sequence[str] = MONTHLY) -> DataFrame:
-    """Mean cube for a lookup too large to broadcast: aggregate readings per
-    (period, hour, weekday, segment) first, then join the lookup to that
-    (far smaller) frame and fold the segment away."""
-    pre = (scored.groupBy(*period_cols(period), F.hour("measurement_tstamp").alias("hour"),
-                          F.dayofweek("measurement_tstamp").alias("day_of_week"), "xd_id")
-           .agg(F.sum("speed").alias("sum_speed"), F.count("speed").alias("n_speed"),
-                F.sum("congestion_score").alias("sum_score"),
-                F.count("congestion_score").alias("n_score")))
-    lk = segments.select(F.col("xd").alias("xd_id"), F.col("frc").alias("road_type"),
-                         F.col("bearing").alias("direction"))
-    joined = pre.join(lk, "xd_id", "inner")
-    return (joined.groupBy(*period, "hour", "day_of_week", "road_type", "direction")
-            .agg(F.sum("sum_speed").alias("sum_speed"), F.sum("n_speed").alias("n_speed"),
-                 F.sum("sum_score").alias("sum_score"), F.sum("n_score").alias("n_score")))
-
-
-def mean_cube_for(scored: DataFrame, segments: DataFrame, period: Sequence[str] = MONTHLY) -> DataFrame:
-    """Pick the cube plan by lookup size: broadcast join then aggregate, or
-    aggregate then shuffle-join."""
-    if is_broadcastable(segments, ["xd", "frc", "bearing"]):
-        return mean_cube(enrich_for_means(scored, segments), period)
-    return means_via_preaggregate(scored, segments, period)
+def segment_hour_sums(scored: DataFrame, period: Sequence[str] = MONTHLY) -> DataFrame:
+    """Sums and counts per (period, hour, weekday, segment), from one
+    aggregation of the readings. The cube and the segment means both fold it."""
+    return (scored.groupBy(*period_cols(period), F.hour("measurement_tstamp").alias("hour"),
+                           F.dayofweek("measurement_tstamp").alias("day_of_week"), "xd_id")
+            .agg(F.sum("speed").alias("sum_speed"), F.count("speed").alias("n_speed"),
+                 F.sum("congestion_score").alias("sum_score"),
+                 F.count("congestion_score").alias("n_score")))
+
+
+def fold(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sums and counts over coarser keys."""
+    return sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("sum_speed", "n_speed", "sum_score", "n_score")])
+
+
+def cube_from_sums(sums: DataFrame, segments: DataFrame, period: Sequence[str] = MONTHLY) -> DataFrame:
+    """Mean cube from ``segment_hour_sums``: the lookup meets the aggregated
+    rows, never the readings, whatever its size."""
+    joined = enrich(sums, segments, "inner", attrs=["frc", "bearing"]).withColumnsRenamed(
+        {"frc": "road_type", "bearing": "direction"})
+    return fold(joined, [*period, "hour", "day_of_week", "road_type", "direction"])

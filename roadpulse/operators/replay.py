@@ -25,34 +25,28 @@ def _lit(v) -> Column:
     return F.expr(f"TIMESTAMP_NTZ'{_ts(v).isoformat(sep=' ')}'")
 
 
-def months_touching(lo, hi_excl) -> list[tuple[int, int]]:
-    """Calendar months overlapping ``[lo, hi_excl)``."""
-    lo, hi = _ts(lo), _ts(hi_excl)
-    if hi <= lo:
-        return []
-    last = hi - dt.timedelta(microseconds=1)
-    out, y, m = [], lo.year, lo.month
-    while (y, m) <= (last.year, last.month):
-        out.append((y, m))
-        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-    return out
-
-
-def partition_predicate(lo, hi_incl) -> Column:
+def partition_predicate(lo=None, hi_incl=None) -> Column:
     """Predicate on ``year``/``month`` partition columns derived from a time
-    range, so a range read prunes partitions (Catalyst cannot infer it from
-    the timestamp filter)."""
-    lo, hi = _ts(lo), _ts(hi_incl)
+    range (either bound may be open), so a range read prunes partitions
+    (Catalyst cannot infer it from the timestamp filter)."""
     idx = month_index(F.col("year"), F.col("month"))
-    return idx.between(lo.year * 12 + lo.month, hi.year * 12 + hi.month)
+    out = F.lit(True)
+    if lo is not None:
+        out = out & (idx >= _ts(lo).year * 12 + _ts(lo).month)
+    if hi_incl is not None:
+        out = out & (idx <= _ts(hi_incl).year * 12 + _ts(hi_incl).month)
+    return out
 
 
-def time_range(df: DataFrame, lo, hi_excl, ts: str = TS) -> DataFrame:
-    """Rows with ``lo <= ts < hi_excl``; adds the partition predicate when the
-    frame has ``year``/``month`` columns (a partitioned readings root)."""
-    out = df.where((F.col(ts) >= _lit(lo)) & (F.col(ts) < _lit(hi_excl)))
+def time_range(df: DataFrame, lo=None, hi_excl=None, ts: str = TS) -> DataFrame:
+    """Rows with ``lo <= ts < hi_excl``, each bound only if given; adds the
+    partition predicate when the frame has ``year``/``month`` columns (a
+    partitioned readings root)."""
+    out = df if lo is None else df.where(F.col(ts) >= _lit(lo))
+    out = out if hi_excl is None else out.where(F.col(ts) < _lit(hi_excl))
     if {"year", "month"} <= set(df.columns):
-        out = out.where(partition_predicate(lo, _ts(hi_excl) - dt.timedelta(microseconds=1)))
+        last = None if hi_excl is None else _ts(hi_excl) - dt.timedelta(microseconds=1)
+        out = out.where(partition_predicate(lo, last))
     return out
 
 
@@ -105,16 +99,50 @@ def to_messages(df: DataFrame, ts: str = TS) -> DataFrame:
 
 
 def write_message_slices(df: DataFrame, path: str, start, end=None, minutes: int = 10,
-                         ts: str = TS) -> None:
+                         ts: str = TS, rows_per_file: int = 500_000) -> None:
     """Replay input for a file stream: the JSON messages of each slice under
-    ``path/slice_start=<t>/``, each file time-ordered. No shuffle: every
-    task sorts its own rows by (slice, time) and writes into the slice
-    folders. The slices are not paced; a consumer takes them in slice order
-    (e.g. one folder per trigger)."""
+    ``path/slice_start=<t>/``, in time order.
+
+    Rows are range-partitioned by (slice, spread), so a slice is one file, or
+    a few when it is large (``rows_per_file``), whatever the number of tasks.
+    The files then get modification times in slice order: a file stream takes
+    files oldest first, so no reading arrives after a later slice's. The
+    slices are not paced."""
     sliced = slices(df, start, end, minutes, ts)
     body = F.struct(F.col("xd_id"), iso_format(F.col(ts)).alias("measurement_tstamp"),
                     F.col("speed"), F.col("reference_speed"), F.col("confidence_score"))
-    out = sliced.select("slice_start", F.col(ts).alias("_ts"),
+    out = sliced.select("slice_start", F.col(ts).alias("_ts"), F.xxhash64("xd_id").alias("_spread"),
                         F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
-    (out.sortWithinPartitions("slice_start", "_ts").drop("_ts")
-     .write.mode("overwrite").partitionBy("slice_start").text(path))
+    (out.repartitionByRange("slice_start", "_spread").sortWithinPartitions("slice_start", "_ts").drop("_ts", "_spread")
+     .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("slice_start").text(path))
+    order_files(df.sparkSession, path)
+
+
+def order_files(spark, path: str) -> int:
+    """Give the files under ``path/slice_start=<t>/`` modification times in
+    slice order, ending now (metadata calls only, one per file). Returns the
+    number of files."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = sorted((str(f.getPath().getName()), f.getPath()) for f in fs.listStatus(root) if f.isDirectory())
+    files = [f.getPath() for _, folder in folders for f in sorted(fs.listStatus(folder), key=lambda f: f.getPath().getName())]
+    first = int(dt.datetime.now().timestamp() * 1000) - 1000 * len(files)
+    for i, f in enumerate(files):
+        fs.setTimes(f, first + 1000 * i, -1)
+    return len(files)
+
+
+def publish_slices(df: DataFrame, publish, start, end=None, minutes: int = 10, ts: str = TS) -> int:
+    """Call ``publish(readings)`` slice after slice in time order (a sink that
+    keeps arrival order, such as a message topic). Each call reads its time
+    range only; the driver holds the slice bounds. Returns their number."""
+    bounds = [(r["slice_start"], r["slice_end"]) for r in
+              slice_counts(df, start, end, minutes, ts).select("slice_start", "slice_end").orderBy("slice_start").collect()]
+    last = None if end is None else _ts(end)
+    for lo, hi in bounds:
+        part = time_range(df, lo, hi, ts)
+        if last is not None and last < hi:
+            part = part.where(F.col(ts) <= _lit(last))
+        publish(part.sortWithinPartitions(ts))
+    return len(bounds)

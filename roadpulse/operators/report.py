@@ -3,8 +3,7 @@ month pivots, month-over-month changes, the hour heatmap, weekend/weekday
 seasonality, month drill-downs, the year summary of worst segments, and the
 map / filter / statistics views of the snapshot.
 
-All of them are DataFrame -> DataFrame; nothing is collected. Pivot columns
-come from a fixed value domain (no extra distinct job).
+All of them are DataFrame -> DataFrame; nothing is collected.
 """
 
 from __future__ import annotations
@@ -17,22 +16,24 @@ from pyspark.sql import functions as F
 from ..functions import display as D
 from .historical import rank_order
 
-# Value domains of the pivot keys.
-DOMAINS = {
-    "direction": ["E", "N", "S", "W"],
-    "road_type": [1, 2, 3, 4, 5],
-    "hour": list(range(24)),
-    "day_of_week": list(range(1, 8)),
-}
+HOURS = list(range(24))
 PERIOD = ("year", "month")
 
 
 def month_pivot(results: DataFrame, key: str, value: str = "avg_speed",
                 values: Sequence | None = None, period: Sequence[str] = PERIOD) -> DataFrame:
-    """Month x key matrix of the (unweighted) mean of ``value``, one column
-    per key value, plus ``month_label``."""
-    vals = list(values) if values is not None else DOMAINS[key]
-    out = results.groupBy(*period).pivot(key, vals).agg(F.avg(value))
+    """Month x key matrix of the (unweighted) mean of ``value``, plus
+    ``month_label``. One column per key value found in the results (a NULL key
+    is none, as in the dashboard's table). With explicit ``values`` (a stable
+    schema) these have a column each, and the mean of all other keys, NULL
+    included, stands in ``other``: nothing is left out."""
+    if values is None:
+        out = results.where(F.col(key).isNotNull()).groupBy(*period).pivot(key).agg(F.avg(value))
+    else:
+        listed = F.coalesce(F.col(key).isin(list(values)), F.lit(False))
+        out = results.groupBy(*period).agg(
+            *[F.avg(F.when(F.col(key) == F.lit(v), F.col(value))).alias(str(v)) for v in values],
+            F.avg(F.when(~listed, F.col(value))).alias("other"))
     return out.withColumn("month_label", D.month_label("month"))
 
 
@@ -69,9 +70,9 @@ def hour_heatmap(by_hour: DataFrame, value: str = "avg_congestion_score",
                  period: Sequence[str] = PERIOD) -> DataFrame:
     """Month x hour matrix with all 24 hour columns ``h00`` .. ``h23``
     (NULL where an hour has no data)."""
-    piv = by_hour.groupBy(*period).pivot("hour", DOMAINS["hour"]).agg(F.avg(value))
+    piv = by_hour.groupBy(*period).pivot("hour", HOURS).agg(F.avg(value))
     return piv.select(*period, D.month_label("month").alias("month_label"),
-                      *[F.col(str(h)).alias(f"h{h:02d}") for h in DOMAINS["hour"]])
+                      *[F.col(str(h)).alias(f"h{h:02d}") for h in HOURS])
 
 
 def seasonality(by_day_of_week: DataFrame, value: str = "avg_speed",
@@ -185,5 +186,5 @@ def map_features(view: DataFrame, frc_range=None, name=None, as_json: bool = Fal
         F.struct(F.lit("LineString").alias("type"),
                  F.array(F.array("lon0", "lat0"), F.array("lon1", "lat1")).alias("coordinates"))
         .alias("geometry"),
-        F.struct("color", "weight", "tooltip").alias("properties"))
+        F.struct("color", "weight", "tooltip", "congestion_level").alias("properties"))
     return f.select("xd_id", F.to_json(feature).alias("feature"))

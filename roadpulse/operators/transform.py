@@ -11,17 +11,16 @@ from ..schemas import MEASURES, MESSAGE, SEGMENT_ATTRS
 
 # The live filter threshold of the reference (``confidence_score >= 20``).
 DEFAULT_MIN_CONFIDENCE = 20.0
-# Largest lookup we hint as broadcast, in estimated bytes of the columns
-# carried (row count x fixed width per column type). A road network has at
+# Largest lookup we hint as broadcast, in measured bytes of the columns
+# carried. A road network has at
 # most a few million segments, a few tens of MB; beyond the limit the join is
 # left to Spark (sort-merge, or an AQE runtime switch) and callers aggregate
 # before joining.
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-# Per-value width estimate by type name (strings: Spark's default size).
-_WIDTH = {"bigint": 8, "int": 4, "double": 8, "float": 4, "string": 20, "boolean": 1,
+# Bytes of a fixed-width value, and of a row besides its values.
+_WIDTH = {"bigint": 8, "int": 4, "double": 8, "float": 4, "boolean": 1,
           "timestamp": 8, "timestamp_ntz": 8, "date": 4}
-
-_row_counts: dict[int, int] = {}
+_ROW_BYTES = 16
 
 
 def parse(raw: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -64,55 +63,56 @@ def clean(df: DataFrame, min_confidence: float | None = DEFAULT_MIN_CONFIDENCE)
     return score(out)
 
 
-def prepare_segments(df: DataFrame, max_single_task_bytes: int | None = None) -> DataFrame:
-    """Lookup with one row per ``xd`` (a duplicate key would fan readings out).
-
-    A lookup whose raw rows pass the broadcast size check is de-duplicated
-    in one task: a single partition already satisfies the grouping, so no
-    shuffle is planned, and the rows go to every executor as a broadcast
-    anyway. A larger lookup is de-duplicated by a distributed aggregate.
-    """
-    limit = DEFAULT_MAX_BROADCAST_BYTES if max_single_task_bytes is None else max_single_task_bytes
-    keyed = df.select("xd", *SEGMENT_ATTRS).where(F.col("xd").isNotNull())
-    if estimated_bytes(keyed) <= limit:
-        keyed = keyed.coalesce(1)
-    return keyed.dropDuplicates(["xd"])
+def prepare_segments(df: DataFrame) -> DataFrame:
+    """Lookup with one row per ``xd`` (a duplicate key would fan readings out):
+    of differing rows the smallest by its attributes, in ``SEGMENT_ATTRS``
+    order with NULL first. A distributed aggregate at any size."""
+    row = F.min(F.struct(*SEGMENT_ATTRS)).alias("_row")
+    return df.where(F.col("xd").isNotNull()).groupBy("xd").agg(row).select("xd", "_row.*")
 
 
-def lookup_rows(segments: DataFrame) -> int:
-    """Row count of a lookup, counted once per plan."""
-    key = segments.semanticHash()
-    if key not in _row_counts:
-        _row_counts[key] = segments.count()
-    return _row_counts[key]
+def measure(segments: DataFrame) -> dict[str, int]:
+    """Bytes per column of a lookup and its ``rows``, measured in one pass
+    (text by its actual length)."""
+    def width(f):
+        fixed = _WIDTH.get(f.dataType.simpleString())
+        if fixed is not None:
+            return F.count(F.lit(1)) * fixed
+        return F.coalesce(F.sum(F.octet_length(F.col(f.name).cast("string")) + 8), F.lit(0))
+    r = segments.agg(F.count(F.lit(1)).alias("rows"),
+                     *[width(f).cast("long").alias(f"b_{f.name}") for f in segments.schema.fields]).first()
+    return {"rows": r["rows"], **{f.name: r[f"b_{f.name}"] for f in segments.schema.fields}}
 
 
-def estimated_bytes(segments: DataFrame, cols: list[str] | None = None) -> int:
-    """Rows (counted) x estimated width of ``cols`` (default: all columns)."""
-    fields = [f for f in segments.schema.fields if cols is None or f.name in cols]
-    width = 16 + sum(_WIDTH.get(f.dataType.simpleString(), 32) for f in fields)
-    return lookup_rows(segments) * width
+def estimated_bytes(segments: DataFrame, cols: list[str] | None = None, again: bool = False) -> int:
+    """Measured bytes of ``cols`` (default: all columns). The measure belongs
+    to this DataFrame object, so a lookup that is read anew is measured anew;
+    ``again`` repeats it (a long-running stream)."""
+    held = None if again else getattr(segments, "_measured", None)
+    if held is None:
+        held = segments._measured = measure(segments)
+    return held["rows"] * _ROW_BYTES + sum(held[f.name] for f in segments.schema.fields if cols is None or f.name in cols)
 
 
 def is_broadcastable(segments: DataFrame, cols: list[str] | None = None,
-                     max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """True when the lookup (restricted to ``cols``) is checked to be small."""
-    return estimated_bytes(segments, cols) <= max_bytes
+                     max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, again: bool = False) -> bool:
+    """True when the lookup (restricted to ``cols``) is measured to be small."""
+    return estimated_bytes(segments, cols, again) <= max_bytes
 
 
 def enrich(df: DataFrame, segments: DataFrame, how: str = "inner",
            attrs: list[str] | None = None,
-           max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+           max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, again: bool = False) -> DataFrame:
     """Join readings (``xd_id``) to the lookup (``xd``).
 
     ``inner`` drops readings of unknown segments (historical path), ``left``
     keeps them with NULL attributes (live path). ``attrs`` limits the lookup
-    columns carried (default: all).
+    columns carried (default: all). ``again`` measures the lookup anew.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     cols = list(attrs) if attrs is not None else SEGMENT_ATTRS
     lookup = segments.select(F.col("xd").alias("xd_id"), *cols)
-    if is_broadcastable(segments, ["xd", *cols], max_broadcast_bytes):
+    if is_broadcastable(segments, ["xd", *cols], max_broadcast_bytes, again):
         lookup = F.broadcast(lookup)
     return df.join(lookup, "xd_id", how)

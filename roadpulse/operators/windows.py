@@ -225,8 +225,9 @@ def _bucket_index(minute: Column, bucket_minutes: int) -> Column:
 def by_segment_bucketed(cleaned: DataFrame, duration=DEFAULT_DURATION, slide=DEFAULT_SLIDE,
                         ts: str = "measurement_tstamp", segments: DataFrame | None = None,
                         bucket_minutes: int = 1440) -> DataFrame:
-    """``by_segment`` (batch) with one shuffle of the readings instead of
-    their window copies.
+    """``by_segment`` (batch) from per-(segment, slot) sums: the readings are
+    aggregated map-side first, so a hot segment is a row per slot and task, and
+    the window copies are never shuffled.
 
     Each window is owned by the epoch-aligned bucket (default one day) its
     start falls in. A reading is sent to the one or two buckets owning its
@@ -247,7 +248,10 @@ def by_segment_bucketed(cleaned: DataFrame, duration=DEFAULT_DURATION, slide=DEF
     epoch = F.lit(0).cast("timestamp").cast("timestamp_ntz")
     slot = floor_minutes(F.col(ts), s)
     rows = (cleaned.where(F.col(ts).isNotNull())
-            .select("xd_id", "speed", "congestion_score", slot.alias("_slot"))
+            .groupBy("xd_id", slot.alias("_slot"))
+            .agg(F.sum("speed").alias("s_speed"), F.count("speed").alias("n_speed"),
+                 F.sum("congestion_score").alias("s_score"), F.count("congestion_score").alias("n_score"),
+                 F.count(F.lit(1)).alias("n_rows"))
             .withColumn("_m", F.timestamp_diff("MINUTE", epoch, F.col("_slot").cast("timestamp_ntz"))))
     owners = F.array_distinct(F.array(_bucket_index(F.col("_m") - F.lit((n - 1) * s), bucket_minutes),
                                       _bucket_index(F.col("_m"), bucket_minutes)))
@@ -259,7 +263,9 @@ def by_segment_bucketed(cleaned: DataFrame, duration=DEFAULT_DURATION, slide=DEF
     k_lo = F.greatest(F.lit(0), ((since - F.lit(int(bucket_minutes))) / F.lit(s)).cast("int") + F.lit(1))
     copies = parts.select("*", F.explode(F.sequence(k_lo, k_hi)).alias("_k"))
     ws = F.timestamp_add("MINUTE", -F.col("_k") * F.lit(s), F.col("_slot"))
-    agg = copies.groupBy("xd_id", "_bucket", ws.alias("window_start")).agg(*_stats())
+    agg = copies.groupBy("xd_id", "_bucket", ws.alias("window_start")).agg(
+        F.try_divide(F.sum("s_speed"), F.sum("n_speed")).alias("avg_speed"),
+        F.try_divide(F.sum("s_score"), F.sum("n_score")).alias("avg_congestion"), F.sum("n_rows").alias("reading_count"))
     end = F.timestamp_add("MINUTE", F.lit(minutes(duration)), F.col("window_start"))
     out = agg.select("xd_id", "avg_speed", "avg_congestion", "reading_count",
                      *window_columns(F.col("window_start"), end))
@@ -285,12 +291,15 @@ def network_exact_two_stage(cleaned: DataFrame, duration=DEFAULT_DURATION, slide
     n, s = _slots_per_window(duration, slide), minutes(slide)
     slot = floor_minutes(F.col(ts), s)
     flag = F.when(F.col("congestion_score") > F.lit(float(threshold)), 1).otherwise(0)
+    # Readings without a segment count for no segment, but keep their windows:
+    # they only contribute zeros.
     per_slot = (cleaned.where(F.col(ts).isNotNull())
                 .groupBy("xd_id", slot.alias("slot")).agg(F.max(flag).alias("hot")))
+    unknown = F.col("xd_id").isNull()
     w = Window.partitionBy("xd_id").orderBy("slot")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     gaps = per_slot.select(
-        "slot", "hot",
+        "slot", "hot", unknown.alias("unknown"),
         F.timestamp_diff("MINUTE", F.lag("slot").over(w), F.col("slot")).alias("gap"),
         F.timestamp_diff("MINUTE", F.last(F.when(F.col("hot") == 1, F.col("slot")), True).over(before),
                          F.col("slot")).alias("hot_gap"))
@@ -298,8 +307,9 @@ def network_exact_two_stage(cleaned: DataFrame, duration=DEFAULT_DURATION, slide
     k_hot = F.when(F.col("hot") == 1,
                    F.least(F.lit(n), F.coalesce(F.col("hot_gap") / F.lit(s), F.lit(n)).cast("int"))
                    ).otherwise(F.lit(0))
-    contrib = gaps.select("slot", k_all.alias("k_all"), k_hot.alias("k_hot")).select(
-        "slot", "k_all", "k_hot",
+    contrib = gaps.select("slot", "unknown", k_all.alias("k_all"), k_hot.alias("k_hot")).select(
+        "slot", F.when(~F.col("unknown"), F.col("k_all")).otherwise(0).alias("k_all"),
+        F.when(~F.col("unknown"), F.col("k_hot")).otherwise(0).alias("k_hot"),
         F.explode(F.sequence(F.lit(0), F.greatest("k_all", "k_hot") - 1)).alias("j"))
     ws = F.timestamp_add("MINUTE", -F.col("j") * F.lit(s), F.col("slot"))
     agg = (contrib.groupBy(ws.alias("ws"))

@@ -1,9 +1,9 @@
 """The historical batch job and the yearly compaction of its results.
 
-One scan of the readings feeds all five results: a GROUPING SETS aggregate
-with two sets — the bounded (period, hour, weekday, class, direction) cube
-and (period, segment) — so the readings are read and shuffled once, as
-partial sums. The small aggregate is checkpointed to the shared checkpoint
+One scan of the readings feeds all five results: they are read and shuffled
+once, as partial sums per (period, hour, weekday, segment), which fold into the
+bounded (period, hour, weekday, class, direction) cube and the sums per
+segment. The aggregate is checkpointed to the shared checkpoint
 folder (lineage cut, survives executor loss) and the five results are
 derived from it.
 """
@@ -16,56 +16,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import historical as H
-from ..operators.transform import enrich, is_broadcastable, score
+from ..operators.transform import enrich, score
 from ..schemas import HISTORICAL_KINDS
 from ..session import ensure_checkpoint_dir
 from ..sources.readers import read_readings
 from ..sources.writers import write_partitioned, write_small_single_file
 
-CUBE_KEYS = ["hour", "day_of_week", "road_type", "direction"]
-
-
-def _sums() -> list:
-    return [F.sum("speed").alias("sum_speed"), F.count("speed").alias("n_speed"),
-            F.sum("congestion_score").alias("sum_score"),
-            F.count("congestion_score").alias("n_score")]
-
-
 def historical_aggregates(scored: DataFrame, segments: DataFrame,
                           period: Sequence[str] = H.MONTHLY,
                           checkpoint: bool = False) -> tuple[DataFrame, DataFrame]:
     """(cube, per-segment sums) of scored readings, readings of unknown
-    segments excluded.
-
-    With a broadcastable lookup both come from one GROUPING SETS aggregate
-    over one scan (checkpointed once when asked, so the two outputs do not
-    recompute it); otherwise each is aggregated before a shuffle join with
-    the lookup (no reading is shuffled for the join).
-    """
-    period = list(period)
+    segments excluded. Both fold one aggregate of the readings per (period,
+    hour, weekday, segment), checkpointed once when asked; no reading is
+    shuffled for a join with the lookup."""
+    sums = H.segment_hour_sums(scored, period)
     if checkpoint:
         ensure_checkpoint_dir(scored.sparkSession)
-    if not is_broadcastable(segments, ["xd", "frc", "bearing"]):
-        cube = H.means_via_preaggregate(scored, segments, period)
-        seg = (scored.groupBy(*H.period_cols(period), "xd_id").agg(*_sums())
-               .join(segments.select(F.col("xd").alias("xd_id")), "xd_id", "inner"))
-        return (cube.checkpoint(), seg.checkpoint()) if checkpoint else (cube, seg)
-    base = enrich(scored, segments, "inner", attrs=["frc", "bearing"]).select(
-        *H.period_cols(period), F.hour("measurement_tstamp").alias("hour"),
-        F.dayofweek("measurement_tstamp").alias("day_of_week"),
-        F.col("frc").alias("road_type"), F.col("bearing").alias("direction"),
-        "xd_id", "speed", "congestion_score")
-    agg = base.groupingSets([[*period, *CUBE_KEYS], [*period, "xd_id"]],
-                            *period, *CUBE_KEYS, "xd_id").agg(*_sums(), F.grouping_id().alias("_gid"))
-    if checkpoint:
-        agg = agg.checkpoint()
-    # grouping_id bits (last column lowest): cube set leaves xd_id out -> 1;
-    # segment set leaves the four cube keys out -> 0b11110.
-    cube = agg.where(F.col("_gid") == 1).select(*period, *CUBE_KEYS, "sum_speed", "n_speed",
-                                                 "sum_score", "n_score")
-    seg = agg.where(F.col("_gid") == 0b11110).select(*period, "xd_id", "sum_speed", "n_speed",
-                                                      "sum_score", "n_score")
-    return cube, seg
+        sums = sums.checkpoint()
+    known = enrich(H.fold(sums, [*period, "xd_id"]), segments, "inner", attrs=[])
+    return H.cube_from_sums(sums, segments, period), known
 
 
 def segment_means_from_sums(seg: DataFrame, segments: DataFrame,

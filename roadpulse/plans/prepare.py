@@ -17,8 +17,11 @@ def ingest(spark: SparkSession, csv_path: str, out_root: str, historical: tuple,
     """Split raw readings into the historical and replay sets in one pass.
 
     Writes ``out_root/split=historical|replay/year=/month=`` (a row in both
-    ranges is written to both) and returns the row counters, gathered by an
-    ``Observation`` during the same pass (no extra scan).
+    ranges is written to both), replacing all of ``out_root``: a re-run with
+    other ranges leaves nothing behind. The rows are rebalanced by month before
+    the write: a month is a few files of the advisory size, a hot month is split
+    by AQE. Returns the row counters, gathered by an ``Observation`` during the
+    same pass (no extra scan).
     """
     raw = read_readings_csv(spark, csv_path)
     obs = Observation("ingest")
@@ -31,7 +34,8 @@ def ingest(spark: SparkSession, csv_path: str, out_root: str, historical: tuple,
     out = with_partitions(observed.select("*", F.explode(labels).alias("split")))
     if downcast:
         out = downcast_measures(out)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.hint("rebalance", "split", "year", "month")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
      .option("compression", "snappy").partitionBy("split", "year", "month").parquet(out_root))
     return {k: int(v) for k, v in obs.get.items()}
 

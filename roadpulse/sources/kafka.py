@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.replay import to_messages
+from ..operators.replay import publish_slices, to_messages
 
 
 def source_options(bootstrap: str, topic: str, starting: str = "latest",
@@ -60,6 +60,12 @@ def write_kafka(readings: DataFrame, bootstrap: str, topic: str) -> None:
     to_messages(readings).write.format("kafka").options(**sink_options(bootstrap, topic)).save()
 
 
+def replay_kafka(readings: DataFrame, bootstrap: str, topic: str, start, end=None, minutes: int = 10) -> int:
+    """Publish a replay slice by slice in time order, so that no message is
+    late for the readers' watermark. Returns the number of slices."""
+    return publish_slices(readings, lambda part: write_kafka(part, bootstrap, topic), start, end, minutes)
+
+
 def console(decoded: DataFrame, rows: int = 20):
     """Print decoded messages: ``show`` for a bounded frame, a console sink
     for a stream (returns the started query)."""

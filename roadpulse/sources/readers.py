@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.replay import clip, time_range
+from ..operators.replay import _ts, time_range
 from ..operators.transform import prepare_segments
 from ..schemas import HISTORICAL_KINDS, READING_COLUMNS, READING_CSV_COLUMNS, SEGMENT_CSV_COLUMNS
 
@@ -39,17 +41,19 @@ def read_readings(spark: SparkSession, root: str, year: int | None = None,
 
     ``year``/``months`` and the time range become partition filters (pruned
     at planning) and pushed-down row-group filters; measures are widened to
-    DOUBLE. ``end`` is inclusive unless ``end_exclusive``.
+    DOUBLE. Each bound holds by itself; ``end`` is inclusive unless
+    ``end_exclusive``. An empty ``months`` selects nothing.
     """
     df = spark.read.parquet(root)
     if year is not None:
         df = df.where(F.col("year") == F.lit(int(year)))
-    if months:
+    if months is not None:
         df = df.where(F.col("month").isin([int(m) for m in months]))
-    if start is not None and end is not None and end_exclusive:
+    if end is not None and not end_exclusive:
+        # inclusive: up to the next representable instant
+        df = time_range(df, start, _ts(end) + dt.timedelta(microseconds=1))
+    elif start is not None or end is not None:
         df = time_range(df, start, end)
-    elif start is not None:
-        df = clip(df, start, end)
     cols = [F.col("xd_id").cast("bigint").alias("xd_id"),
             F.col("measurement_tstamp").cast("timestamp_ntz").alias("measurement_tstamp")]
     cols += [F.col(c).cast("double").alias(c) for c in READING_COLUMNS[2:]]
@@ -72,8 +76,9 @@ def read_historical(spark: SparkSession, root: str, kind: str, year: int,
     """One historical result for a year (optionally one month; ``ordered``
     sorts by period then the kind's key).
 
-    Raises ``ValueError`` for an unknown kind or a month outside 1-12; a
-    missing result raises Spark's ``AnalysisException`` (PATH_NOT_FOUND).
+    Raises ``ValueError`` for an unknown kind or a month outside 1-12 and
+    ``FileNotFoundError`` for a year (or month) without results; a missing
+    root raises Spark's ``AnalysisException`` (PATH_NOT_FOUND).
     """
     if kind not in HISTORICAL_KINDS:
         raise ValueError(f"unknown result kind {kind!r}; expected one of {HISTORICAL_KINDS}")
@@ -82,6 +87,8 @@ def read_historical(spark: SparkSession, root: str, kind: str, year: int,
     df = spark.read.parquet(f"{root.rstrip('/')}/{kind}").where(F.col("year") == F.lit(int(year)))
     if month is not None:
         df = df.where(F.col("month") == F.lit(int(month)))
+    if df.select(F.lit(1)).isEmpty():
+        raise FileNotFoundError(f"no {kind} result for {year}" + (f"-{int(month):02d}" if month is not None else ""))
     if ordered:
         period = [c for c in ("year", "month") if c in df.columns]
         df = df.orderBy(*period, *[_order_col(c) for c in RESULT_ORDER[kind]])
@@ -89,8 +96,9 @@ def read_historical(spark: SparkSession, root: str, kind: str, year: int,
 
 
 def snapshot_versions(spark: SparkSession, root: str) -> DataFrame:
-    """Committed snapshot versions: ``version`` and the ``slot`` holding it."""
-    return spark.read.parquet(f"{root.rstrip('/')}/commits").select("version", "slot")
+    """Committed snapshot versions: ``version``, the ``run`` and ``batch_id``
+    that wrote it and the ``slot`` holding it."""
+    return spark.read.parquet(f"{root.rstrip('/')}/commits").select("version", "run", "batch_id", "slot")
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:

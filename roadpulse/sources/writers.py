@@ -28,28 +28,27 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
      .partitionBy(*partition_cols).parquet(path))
 
 
-def write_overwrite(df: DataFrame, path: str) -> None:
-    """Full overwrite of an unpartitioned result."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def compact_sorted(df: DataFrame, path: str, ts: str = "measurement_tstamp",
                    partition_cols: Sequence[str] = ("year", "month"),
                    num_partitions: int | None = None,
                    max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
-                   row_group_bytes: int = DEFAULT_ROW_GROUP_BYTES) -> None:
-    """Rewrite readings as time-ordered files per partition.
+                   row_group_bytes: int = DEFAULT_ROW_GROUP_BYTES,
+                   spread: str = "xd_id", dynamic: bool = False) -> None:
+    """Rewrite readings as time-ordered files per partition, replacing the
+    whole path (``dynamic``: only the partitions present in ``df``).
 
-    Range partitioning on (partition columns, time) splits a large month over
+    Range partitioning on (partition columns, time, ``spread``) splits a large
+    month, and a time stamp that many segments share, over
     many tasks, each writing one contiguous time range sorted by time, so
     the min/max statistics of every file and row group are tight and range
     scans skip most of them. ``maxRecordsPerFile`` bounds file size and
     ``row_group_bytes`` the Parquet row groups (``parquet.block.size``).
     """
     keys = [*partition_cols, ts]
-    parts = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = [*keys, spread] if spread in df.columns else keys
+    parts = df.repartitionByRange(num_partitions, *ranged) if num_partitions else df.repartitionByRange(*ranged)
     (parts.sortWithinPartitions(*keys).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
+     .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .option("maxRecordsPerFile", max_records_per_file)
      .option("parquet.block.size", str(int(row_group_bytes)))
      .option("compression", "snappy")
@@ -65,12 +64,12 @@ def write_small_single_file(df: DataFrame, path: str, partition_cols: Sequence[s
     w.parquet(path)
 
 
+# Times keep their microseconds (the default format stops at milliseconds).
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def to_json_records(df: DataFrame) -> DataFrame:
     """One JSON object per row, with NaN and +-Inf written as ``null``."""
     clean = null_out_non_finite(df)
     return clean.select(F.to_json(F.struct(*[F.col(c) for c in clean.columns]),
-                                  {"ignoreNullFields": "false"}).alias("json"))
-
-
-def write_json_records(df: DataFrame, path: str) -> None:
-    to_json_records(df).write.mode("overwrite").text(path)
+                                  {"ignoreNullFields": "false", **JSON_TIMES}).alias("json"))

@@ -13,10 +13,16 @@ Each query has its own checkpoint folder; triggers are parameters
 
 from __future__ import annotations
 
+import time
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ..operators import windows as W
+from ..session import scratch_path
 from ..operators.transform import DEFAULT_MIN_CONFIDENCE, clean, enrich, parse
 from .snapshot_sink import SnapshotWriter
 
@@ -83,23 +89,37 @@ def start_snapshot(by_segment: DataFrame, root: str, checkpoint: str,
     """Update-mode per-segment windows -> newest window per segment (+ the
     lookup attributes when ``segments`` is given)."""
     w = (by_segment.writeStream.outputMode("update")
-         .foreachBatch(SnapshotWriter(root, carry_forward, segments=segments))
+         .foreachBatch(SnapshotWriter(root, carry_forward, segments=segments,
+                                      run=run_id(by_segment.sparkSession, checkpoint)))
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
     return _trigger(w, interval, available_now).start()
 
 
-def static_lookup(segments: DataFrame) -> DataFrame:
-    """The lookup of a stream-static join is re-evaluated every micro-batch
-    (re-read, de-duplicated, re-broadcast). Persist it once its size is
-    checked to be small; a lost executor recomputes it from the source."""
-    from pyspark import StorageLevel
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the run that a checkpoint folder belongs to: kept in the folder,
+    so a restart keeps it and a fresh checkpoint gets a new, later one."""
+    path = f"{checkpoint.rstrip('/')}/run_id"
+    try:
+        return spark.read.text(path).first()["value"]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    made = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame([(made,)], "value string").coalesce(1).write.text(path)
+    return made
+
 
-    from ..operators.transform import is_broadcastable
-    if is_broadcastable(segments):
-        return segments.persist(StorageLevel.MEMORY_AND_DISK)
-    return segments
+def static_lookup(segments: DataFrame) -> DataFrame:
+    """The lookup as it is at the start of the stream, whatever its size: a
+    copy in the shared checkpoint folder. (The lookup of a stream-static join
+    is evaluated every micro-batch: without the copy it would be read and
+    de-duplicated again, and change under the stream.) Nothing stays persisted."""
+    spark = segments.sparkSession
+    path = scratch_path(spark, "lookup")
+    segments.write.parquet(path)
+    return spark.read.schema(segments.schema).parquet(path)
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -136,8 +156,31 @@ def start_all(spark: SparkSession, raw: DataFrame, segments: DataFrame, out_root
     return queries
 
 
+class LateRows(StreamingQueryListener):
+    """Counts rows dropped as late, per query id, over every progress report
+    of a session (add it with ``spark.streams.addListener`` before the start)."""
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(int(op.numRowsDroppedByWatermark or 0) for op in event.progress.stateOperators)
+        key = str(event.progress.id)
+        self.dropped[key] = self.dropped.get(key, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows dropped as late over the query's retained progress reports."""
+    """Rows dropped as late over the query's retained progress reports (a
+    long stream keeps only the newest; ``LateRows`` counts them all)."""
     total = 0
     for p in query.recentProgress:
         for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:

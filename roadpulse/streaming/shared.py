@@ -73,21 +73,23 @@ def results_from_partials(parts: DataFrame, segments: DataFrame,
             "by_road_type": by_class}
 
 
-# Results whose rows per batch are bounded by the windows closing in it
-# (x at most 6 road classes): written as one file per batch instead of one
-# per state partition. Per-segment rows grow with the network and keep the
-# state's partitioning.
+# Results with a row, or one per road class, for each window: written as one
+# file per date and batch instead of one per state partition (a backfill that
+# closes many windows spreads over as many tasks as dates). Per-segment rows
+# grow with the network and keep the state's partitioning.
 SMALL_RESULTS = ("network", "by_road_type")
 
 
 class SharedResultsWriter:
     """``foreachBatch`` writer of the three results under ``out_root``
-    (the folders of ``live.OUTPUTS``), partitioned by the window date and
-    the batch id."""
+    (the folders of ``live.OUTPUTS``), partitioned by the window date, the
+    run and the batch id: a replayed batch replaces its own rows, and another
+    run's (a fresh checkpoint) stand beside them (see ``read_result``)."""
 
-    def __init__(self, out_root: str, segments: DataFrame):
+    def __init__(self, out_root: str, segments: DataFrame, run: str = ""):
         self.out_root = out_root.rstrip("/")
         self.segments = segments
+        self.run = run or "0"
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         # three writes read the batch: keep it instead of re-running the
@@ -98,10 +100,10 @@ class SharedResultsWriter:
                 return
             for kind, df in results_from_partials(batch_df, self.segments).items():
                 if kind in SMALL_RESULTS:
-                    df = df.coalesce(1)
-                (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+                    df = df.repartition("year", "month", "day")
+                (df.withColumn("run", F.lit(self.run)).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("year", "month", "day", "batch_id")
+                 .partitionBy("year", "month", "day", "run", "batch_id")
                  .parquet(f"{self.out_root}/{LV.OUTPUTS[kind]}"))
         finally:
             batch_df.unpersist()
@@ -123,7 +125,7 @@ def start_shared(spark: SparkSession, raw: DataFrame, segments: DataFrame, out_r
     out, ck = out_root.rstrip("/"), checkpoint_root.rstrip("/")
     parts = window_partials(cleaned, duration, slide, threshold)
     w = (parts.writeStream.outputMode("append")
-         .foreachBatch(SharedResultsWriter(out, segments))
+         .foreachBatch(SharedResultsWriter(out, segments, LV.run_id(spark, f"{ck}/results")))
          .option("checkpointLocation", f"{ck}/results"))
     results = LV._trigger(w, result_trigger, available_now).start()
     snap_in = W.by_segment(cleaned, duration, slide, ts="event_time")
@@ -133,5 +135,8 @@ def start_shared(spark: SparkSession, raw: DataFrame, segments: DataFrame, out_r
 
 
 def read_result(spark: SparkSession, out_root: str, kind: str) -> DataFrame:
-    """One result written by ``start_shared`` (without the batch column)."""
-    return spark.read.parquet(f"{out_root.rstrip('/')}/{LV.OUTPUTS[kind]}").drop("batch_id")
+    """One result written by ``start_shared`` (without run and batch): of a
+    window that several runs wrote, the newest run's rows."""
+    rows = spark.read.parquet(f"{out_root.rstrip('/')}/{LV.OUTPUTS[kind]}").withColumn("run", F.col("run").cast("string"))
+    newest = rows.groupBy("window_start").agg(F.max("run").alias("run"))
+    return rows.join(newest, ["window_start", "run"], "left_semi").drop("run", "batch_id")

@@ -3,12 +3,13 @@
 The sink keeps a ring of ``keep`` slots. Each non-empty micro-batch takes
 the slot after the one holding the newest committed version, overwrites
 ``data/slot=<s>`` and only then its commit record ``commits/slot=<s>`` (one
-row: ``version = batch_id``). ``sources.readers.read_snapshot`` reads the slot
+row: ``version``, one more than the newest, with ``run`` and ``batch_id``). ``sources.readers.read_snapshot`` reads the slot
 of the highest committed version. The slot being rewritten never holds the
 newest committed version, so a reader never lands on a half-written
-snapshot. A batch re-run after a failure writes nothing if its version is
-already committed (the commit follows the complete data), so re-runs are
-idempotent. Storage stays at ``keep`` snapshots and ``keep``
+snapshot. A batch re-run after a failure writes nothing if its run and batch
+id are already committed (the commit follows the complete data), so re-runs
+are idempotent; a run with a fresh checkpoint is another run, whose batches
+follow the versions it finds. Storage stays at ``keep`` snapshots and ``keep``
 commit files however long the stream runs.
 """
 
@@ -37,31 +38,35 @@ class SnapshotWriter:
     """
 
     def __init__(self, root: str, carry_forward: bool = False, keep: int = DEFAULT_KEEP,
-                 segments: DataFrame | None = None):
+                 segments: DataFrame | None = None, run: str = ""):
         if keep < 2:
             raise ValueError("keep at least 2 slots (one is rewritten while readers use another)")
         self.root = root.rstrip("/")
         self.carry_forward = carry_forward
         self.keep = int(keep)
         self.segments = segments
+        self.run = run
         self._none_committed = False  # learned on the first batch of this run
 
-    def _slots(self, spark, batch_id: int) -> tuple[int | None, int | None]:
+    def _slots(self, spark, batch_id: int) -> tuple[int | None, int | None, int]:
         """(slot to write, or None when this batch is already committed; slot
-        of the newest version committed before this batch). The commit table
-        has at most ``keep`` rows."""
+        of the newest version; version to commit). The commit table has at
+        most ``keep`` rows."""
         committed = []
         if not self._none_committed:
             try:
-                committed = [(int(r["version"]), int(r["slot"]))
-                             for r in snapshot_versions(spark, self.root).collect()]
-            except AnalysisException:  # nothing committed yet: do not probe again
+                committed = snapshot_versions(spark, self.root).collect()
+            except AnalysisException as e:  # nothing committed yet: do not probe again
+                if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                    raise
                 self._none_committed = True
-        earlier = [c for c in committed if c[0] < batch_id]
-        previous = max(earlier)[1] if earlier else None
-        if any(version == batch_id for version, _ in committed):
-            return None, previous
-        return (0 if previous is None else (previous + 1) % self.keep), previous
+        if not committed:
+            return 0, None, 0
+        newest = max(committed, key=lambda r: r["version"])
+        slot = int(newest["slot"])
+        if any(r["run"] == self.run and r["batch_id"] == batch_id for r in committed):
+            return None, slot, int(newest["version"])
+        return (slot + 1) % self.keep, slot, int(newest["version"]) + 1
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         # Two actions follow (empty check, write): keep the micro-batch output
@@ -71,7 +76,7 @@ class SnapshotWriter:
             if batch_df.isEmpty():
                 return
             spark = batch_df.sparkSession
-            slot, prev_slot = self._slots(spark, int(batch_id))
+            slot, prev_slot, version = self._slots(spark, int(batch_id))
             if slot is None:
                 return
             previous = None
@@ -79,9 +84,9 @@ class SnapshotWriter:
                 previous = spark.read.parquet(f"{self.root}/data/slot={prev_slot}")
             snap = latest(batch_df, previous=previous)
             if self.segments is not None:
-                snap = enrich(snap, self.segments, "left")
+                snap = enrich(snap, self.segments, "left", again=True)
             snap.write.mode("overwrite").parquet(f"{self.root}/data/slot={slot}")
-            (spark.createDataFrame([(int(batch_id),)], "version LONG")
+            (spark.createDataFrame([(version, self.run, int(batch_id))], "version LONG, run STRING, batch_id LONG")
              .write.mode("overwrite").parquet(f"{self.root}/commits/slot={slot}"))
             self._none_committed = False
         finally:

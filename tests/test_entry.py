@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from roadpulse.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["supplier", "lineitem", "events"]
@@ -30,7 +31,7 @@ def _norm(v):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in TABLES:

@@ -4,6 +4,7 @@ from roadpulse.functions import display as D
 from roadpulse.functions.timefns import floor_minutes, iso_format
 from roadpulse.operators import prepare as PP
 from roadpulse.operators import replay as RY
+from roadpulse.operators import report as RP
 from roadpulse.schemas import READING
 
 
@@ -60,10 +61,36 @@ def test_slice_counts_skip_empty_slices(spark):
         (t(2023, 1, 1, 0, 40), t(2023, 1, 1, 0, 50), 1)]
 
 
-def test_months_touching():
-    assert RY.months_touching("2023-01-31 23:50", "2023-02-01 00:00") == [(2023, 1)]
-    assert RY.months_touching("2023-12-31 23:50", "2024-01-01 00:10") == [(2023, 12), (2024, 1)]
-    assert RY.months_touching("2023-01-01", "2023-01-01") == []
+def test_pivot_keeps_every_key(spark):
+    rows = [(2024, 1, "N", 10.0), (2024, 1, "?", 20.0), (2024, 1, None, 30.0), (2024, 2, "NE", 40.0)]
+    res = spark.createDataFrame(rows, "year int, month int, direction string, avg_speed double")
+    found = {r.month: r.asDict() for r in RP.month_pivot(res, "direction").collect()}
+    assert found[1]["N"] == 10.0 and found[1]["?"] == 20.0 and found[2]["NE"] == 40.0
+    listed = {r.month: r.asDict() for r in RP.month_pivot(res, "direction", values=["N"]).collect()}
+    assert listed[1]["N"] == 10.0 and listed[1]["other"] == 25.0 and listed[2]["N"] is None and listed[2]["other"] == 40.0
+
+
+def test_slices_are_published_in_order(spark):
+    t = dt.datetime
+    rows = [(k, t(2023, 1, 1, h, m), 1.0, 1.0, 1.0) for k, h, m in ((1, 2, 5), (2, 0, 1), (3, 1, 59), (4, 0, 9), (5, 2, 9))]
+    seen = []
+    n = RY.publish_slices(spark.createDataFrame(rows, READING), lambda part: seen.append(
+        sorted(r.xd_id for r in part.collect())), "2023-01-01", "2023-01-01 02:08:00", 10)
+    assert n == 3 and seen == [[2, 4], [3], [1]]
+
+
+def test_slice_files_are_few_and_in_time_order(spark, tmp_path):
+    import glob
+    import os
+    t = dt.datetime(2023, 1, 1)
+    rows = [(k, t + dt.timedelta(minutes=7 * k), 1.0, 1.0, 1.0) for k in range(400)]
+    path = str(tmp_path / "slices")
+    RY.write_message_slices(spark.createDataFrame(rows, READING).repartition(8), path, t, None, 60)
+    files = sorted(glob.glob(path + "/slice_start=*/*.txt"))
+    folders = {os.path.dirname(f) for f in files}
+    assert len(folders) == 47 and len(files) <= len(folders) + 8
+    times = [os.stat(f).st_mtime for f in files]
+    assert times == sorted(times)
 
 
 def test_date_split_end_bound_is_midnight_only(spark):

@@ -3,6 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from roadpulse.schemas import READING
+from roadpulse.sources import readers
 from roadpulse.sources.readers import read_historical, read_readings, read_readings_csv, read_segments_csv
 from roadpulse.sources.writers import to_json_records, write_partitioned
 
@@ -95,3 +96,39 @@ def test_compact_sorted_row_groups_and_order(spark, tmp_dir):
         assert ts == sorted(ts)
     assert groups > len(files)
     assert spark.read.parquet(f"{tmp_dir}/c").count() == 20000
+
+
+def test_each_time_bound_holds_by_itself(spark, tmp_path):
+    from roadpulse.plans.prepare import compact_raw
+    from roadpulse.operators.prepare import with_partitions
+    t = dt.datetime
+    rows = [(1, t(2023, m, 1), 1.0, 1.0, 1.0) for m in (1, 2, 3, 4)]
+    root, out = str(tmp_path / "raw"), str(tmp_path / "sorted")
+    with_partitions(spark.createDataFrame(rows, READING)).write.partitionBy("year", "month").parquet(root)
+    months = lambda **k: sorted(r.month for r in readers.read_readings(spark, root, **k).collect())
+    assert months(end="2023-02-01") == [1, 2] and months(end="2023-02-01", end_exclusive=True) == [1]
+    assert months(start="2023-03-01") == [3, 4] and months(start="2023-02-01", end="2023-03-01") == [2, 3]
+    assert months(months=[]) == [] and months() == [1, 2, 3, 4]
+    compact_raw(spark, root, out)
+    spark.read.parquet(root).where("month < 3").write.partitionBy("year", "month").parquet(root + "2")
+    compact_raw(spark, root + "2", out)
+    assert sorted(r.month for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+def test_a_missing_year_is_not_found(spark, tmp_path):
+    import pytest
+    spark.createDataFrame([(2023, 1, 5, 1.0, 2.0)], "year int, month int, hour int, avg_speed double, avg_congestion_score double"
+                          ).write.partitionBy("year", "month").parquet(str(tmp_path / "by_hour"))
+    assert readers.read_historical(spark, str(tmp_path), "by_hour", 2023).count() == 1
+    for year, month in ((2022, None), (2023, 2)):
+        with pytest.raises(FileNotFoundError):
+            readers.read_historical(spark, str(tmp_path), "by_hour", year, month)
+
+
+def test_a_hot_time_stamp_is_spread_over_tasks(spark, tmp_path):
+    import glob
+    from roadpulse.sources.writers import compact_sorted
+    from roadpulse.operators.prepare import with_partitions
+    rows = [(k, dt.datetime(2023, 1, 1), 1.0, 1.0, 1.0) for k in range(4000)]
+    compact_sorted(with_partitions(spark.createDataFrame(rows, READING)), str(tmp_path / "hot"), num_partitions=8)
+    assert len(glob.glob(str(tmp_path / "hot/year=2023/month=1/*.parquet"))) >= 6

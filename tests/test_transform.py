@@ -75,14 +75,27 @@ def test_enrich_inner_left_and_duplicate_key(spark):
     assert enrich(df, lookup, "left").count() == 2  # no fan-out
 
 
-def test_lookup_dedup_small_in_one_task_large_distributed(spark, capsys):
-    rows = [(k % 40, f"r{k % 40}", k % 5 + 1, "NSEW"[k % 4], 36.0, -86.8, 36.1, -86.7) for k in range(200)]
-    raw = spark.createDataFrame(rows, SEGMENT).repartition(4)
-    small = prepare_segments(raw)
-    large = prepare_segments(raw, max_single_task_bytes=0)
-    assert sorted(r.xd for r in small.collect()) == sorted(r.xd for r in large.collect()) == list(range(40))
-    small.explain()
+def test_lookup_dedup_is_ordered_and_distributed(spark, capsys):
+    rows = [(k % 40, f"r{k}", k % 5 + 1, "NSEW"[k % 4], 36.0, -86.8, 36.1, -86.7) for k in range(200)]
+    want = {}
+    for r in rows:
+        want[r[0]] = min(want.get(r[0], r), r)
+    for seed in range(3):
+        raw = spark.createDataFrame(rows, SEGMENT).repartition(4 + seed)
+        got = prepare_segments(raw)
+        assert {r.xd: tuple(r) for r in got.collect()} == want
+    got.explain()
     plan = capsys.readouterr().out
-    assert "Coalesce 1" in plan and "hashpartitioning(xd" not in plan
-    large.explain()
-    assert "hashpartitioning(xd" in capsys.readouterr().out
+    assert "Coalesce" not in plan and "hashpartitioning(xd" in plan
+
+
+def test_a_grown_lookup_is_measured_again(spark, tmp_path):
+    from roadpulse.operators.transform import estimated_bytes, measure
+    row = lambda k: (k, "name", 3, "N", 36.0, -86.8, 36.1, -86.7)
+    path = str(tmp_path / "lookup")
+    spark.createDataFrame([row(k) for k in range(10)], SEGMENT).write.parquet(path)
+    small = spark.read.parquet(path)
+    assert measure(small)["rows"] == 10 and measure(small)["road_name"] == 10 * 12
+    before = estimated_bytes(small)
+    spark.createDataFrame([row(k) for k in range(5000)], SEGMENT).write.mode("overwrite").parquet(path)
+    assert estimated_bytes(spark.read.parquet(path)) > 100 * before

@@ -175,7 +175,10 @@ def test_bucketed_segment_windows_equal_plain(spark):
 
 def test_bucketed_segment_windows_shuffle_once(spark, capsys):
     W.by_segment_bucketed(_random_readings(spark)).explain()
-    assert capsys.readouterr().out.count("Exchange") == 1
+    # one exchange for the slot sums, one that places them; the window copies
+    # are made after both
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 2 and plan.index("Generate explode") < plan.index("Exchange")
 
 
 def test_latest_window_equals_latest_of_all_windows(spark):
@@ -201,3 +204,21 @@ def test_exact_network_equals_count_distinct_with_nulls(spark):
         F.count_distinct(F.when(F.col("congestion_score") > 0.3, F.col("xd_id"))).alias("congested_segments"))
     cols = ["window_start", "total_segments", "congested_segments"]
     assert _rows(W.network(df, exact=True), cols) == _rows(ref, cols)
+
+
+def test_unknown_segments_count_nowhere_but_keep_their_windows(spark):
+    t = dt.datetime
+    rows = [(1, t(2023, 1, 1, 0, 5), 10.0, 50.0, 30.0), (2, t(2023, 1, 1, 0, 5), 50.0, 50.0, 30.0),
+            (None, t(2023, 1, 1, 0, 5), 10.0, 50.0, 30.0), (None, t(2023, 1, 1, 5, 5), 10.0, 50.0, 30.0)]
+    cleaned = clean(spark.createDataFrame(rows, READING))
+    forms = [W.network(cleaned, exact=True), W.network(cleaned, exact=True, method="slots")]
+    a, b = ({r.window_start: (r.total_segments, r.congested_segments, r.pct_congested) for r in f.collect()} for f in forms)
+    assert a == b and len(a) == 12 and set(a.values()) == {(2, 1, 50.0), (0, 0, None)}
+
+
+def test_a_hot_segment_is_one_row_per_slot_before_the_exchange(spark):
+    t = dt.datetime(2023, 1, 1)
+    rows = [(7, t + dt.timedelta(seconds=k), 30.0, 50.0, 30.0) for k in range(3000)]
+    cleaned = clean(spark.createDataFrame(rows, READING).repartition(4))
+    key = lambda r: (r.xd_id, r.window_start, r.reading_count, round(r.avg_speed, 9))
+    assert sorted(map(key, W.by_segment_bucketed(cleaned).collect())) == sorted(map(key, W.by_segment(cleaned).collect()))

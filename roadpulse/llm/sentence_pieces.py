@@ -26,12 +26,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import cut, let, text_or_empty
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
 #: Most words of the broadcast dictionary, and code points of a word in it.
-DICTIONARY_WORDS, DICTIONARY_CHARS = 1 << 19, 32
+DICTIONARY_WORDS, DICTIONARY_CHARS = 1 << 18, 32
 #: Most pieces of a vocabulary (each task holds it).
 MAX_PIECES = 1 << 18
 #: Words outside the dictionary that a task remembers.
@@ -267,17 +268,22 @@ def _batch(b: pa.RecordBatch, at: int, rows: list[bytes]) -> pa.RecordBatch:
                                       names=["doc_id", "ids", "text_sha256"])
 
 
-def decoded(ids: Column, pieces: Pieces) -> Column:
-    """The text of an array of ids."""
-    spelled = F.lit([b.hex() for b in pieces.spelled])
-    data = F.unhex(F.array_join(F.transform(ids, lambda i: F.get(spelled, i)), "")).cast("string")
-    return F.when(F.size(ids) > 0, let(data, lambda t: F.substring(t, F.lit(2), F.length(t)))).otherwise(F.lit(""))
+def decode(encoded: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
+    """``encoded`` with a column ``text`` for its ``ids`` (null ids: null; no
+    ids: empty). An existing ``text`` is replaced."""
+    others = [c for c in encoded.columns if c != "text"]
+    schema = StructType([*encoded.select(*others).schema.fields, StructField("text", StringType())])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelled = _encoder(model_path(model)).p.spelled
+        for b in batches:
+            ids = b.column(b.schema.get_field_index("ids"))
+            flat, at = ids.values.to_pylist(), ids.offsets.to_pylist()
+            text = [b"".join([spelled[i] for i in flat[x:y]])[1:].decode() for x, y in zip(at, at[1:])]
+            text = pa.array([t if v else None for t, v in zip(text, ids.is_valid().to_pylist())], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns, text], names=[*b.schema.names, "text"])
 
-def decode(encoded: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
-    """``encoded`` with a column ``text`` for its ``ids`` (null ids: null)."""
-    pieces = Pieces.read(model_path(model))
-    return encoded.withColumn("text", F.when(F.col("ids").isNotNull(), decoded(F.col("ids"), pieces)))
+    return encoded.select(*others).mapInArrow(run, schema)
 
 
 def encode_report(docs: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:

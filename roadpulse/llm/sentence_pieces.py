@@ -192,10 +192,11 @@ def _viterbi(word: Column, edges: Column) -> Column:
     first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("count"), F.lit(0).alias("start"), F.lit(-1).alias("id")))
 
     def step(best: Column, end: Column) -> Column:
-        arriving = F.transform(F.filter(edges, lambda x: (x["end"] == end) & F.get(best, x["start"])["score"].isNotNull()),
-                               lambda x: F.struct((F.get(best, x["start"])["score"] + x["score"]).alias("score"),
-                                                  (F.get(best, x["start"])["count"] - 1).alias("count"),
-                                                  x["start"].alias("start"), x["id"].alias("id")))
+        def reached(x: Column) -> Column:
+            return let(F.get(best, x["start"]), lambda b: F.when(b.isNotNull(), F.struct(
+                (b["score"] + x["score"]).alias("score"), (b["count"] - 1).alias("count"), x["start"].alias("start"),
+                x["id"].alias("id"))))
+        arriving = F.transform(F.filter(edges, lambda x: x["end"] == end), reached)
         return F.concat(best, F.array(F.array_max(arriving)))
 
     def back(best: Column) -> Column:
@@ -212,11 +213,13 @@ def _viterbi(word: Column, edges: Column) -> Column:
 
 def dictionary(spark: SparkSession, docs: DataFrame, pieces: Pieces, text_col: str = "text",
                most: int = DICTIONARY_WORDS) -> DataFrame:
-    """(word, ids) of the frequent words that pieces cover."""
+    """(word, ids) of the frequent words; ids are null for a word that pieces
+    do not cover (it needs bytes). No filter on them here: the optimizer would
+    move it below and run the fold twice."""
     table = spark.createDataFrame([(t, i, s) for t, (i, s) in pieces.plain.items()], "piece string, id int, score double")
     words = frequent_words(word_counts(docs, text_col), most)
     return lattice(words, table, pieces.longest).select(
-        "word", _viterbi(F.col("word"), F.col("edges")).alias("ids")).where(F.col("ids").isNotNull())
+        "word", _viterbi(F.col("word"), F.col("edges")).alias("ids"))
 
 
 def encode(docs: DataFrame, model: str = DEFAULT_MODEL, id_col: str = "doc_id", text_col: str = "text",
@@ -236,7 +239,7 @@ def encode(docs: DataFrame, model: str = DEFAULT_MODEL, id_col: str = "doc_id",
     for b in known.to_batches():
         offsets = b.column("ids").offsets.to_numpy() * 4
         flat = b.column("ids").values.to_numpy().astype("<i4").tobytes()
-        packed.update(zip(b.column("word").to_pylist(), (flat[x:y] for x, y in zip(offsets, offsets[1:]))))
+        packed.update((w, flat[x:y]) for w, x, y in zip(b.column("word").to_pylist(), offsets, offsets[1:]) if y > x)
     shared = spark.sparkContext.broadcast(packed)
     del known, packed
     text = text_or_empty(text_col)

@@ -35,6 +35,9 @@ DEFAULT_MODEL = "piece_bpe_32k.model"
 DICTIONARY_WORDS, DICTIONARY_CHARS = 1 << 18, 32
 #: Most pieces of a vocabulary (each task holds it).
 MAX_PIECES = 1 << 18
+#: Bytes of ids a task holds before it hands them on, and rows decoded at a time.
+ENCODED_BYTES = 4_000_000
+DECODED_ROWS = 500
 #: Words outside the dictionary that a task remembers.
 CACHE_WORDS = 200_000
 #: An unknown character costs as much as the worst piece and this.
@@ -253,7 +256,7 @@ def encode(docs: DataFrame, model: str = DEFAULT_MODEL, id_col: str = "doc_id",
             for t in b.column("text"):
                 rows.append(b"".join([listed(w) or other(w) for w in words_of(t.as_py())]))
                 size += len(rows[-1])
-                if size >= 16_000_000:
+                if size >= ENCODED_BYTES:
                     yield _batch(b, at, rows)
                     at, size, rows = at + len(rows), 0, []
             if rows:
@@ -281,10 +284,13 @@ def decode(encoded: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
         spelled = _encoder(model_path(model)).p.spelled
         for b in batches:
             ids = b.column(b.schema.get_field_index("ids"))
-            flat, at = ids.values.to_pylist(), ids.offsets.to_pylist()
-            text = [b"".join([spelled[i] for i in flat[x:y]])[1:].decode() for x, y in zip(at, at[1:])]
-            text = pa.array([t if v else None for t, v in zip(text, ids.is_valid().to_pylist())], pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns, text], names=[*b.schema.names, "text"])
+            flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
+            for at in range(0, len(b), DECODED_ROWS):
+                part = b.slice(at, DECODED_ROWS)
+                text = [b"".join([spelled[i] for i in flat[ends[k]:ends[k + 1]].tolist()])[1:].decode() if ids[k].is_valid
+                        else None for k in range(at, at + len(part))]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())],
+                                                 names=[*b.schema.names, "text"])
 
     return encoded.select(*others).mapInArrow(run, schema)
 

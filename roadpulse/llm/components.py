@@ -32,15 +32,23 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("x") != F.col("y")).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Every node hangs on one centre, and no centre on another."""
+    torn = edges.groupBy("x").agg(F.min("y").alias("low"), F.max("y").alias("high")).where(F.col("low") != F.col("high"))
+    return torn.isEmpty() and edges.join(
+        edges.select(F.col("y").alias("x")).distinct(), "x", "left_semi").isEmpty()
+
+
 def min_labels(links: DataFrame) -> DataFrame:
     """(node, comp) for the nodes of the links (x, y): comp is the smallest
     node reachable. Each step's edges are written to the shared folder, so a
     lost executor costs one step; the number of steps grows with the logarithm
-    of the number of nodes. Done when no centre of a star hangs on another."""
+    of the number of nodes. Done when each node hangs on one centre, and no centre on another:
+    the stars are then the components, each with one label a node."""
     edges = links.where(F.col("x") != F.col("y")).select("x", "y")
     for _ in range(MAX_STEPS):
         edges = cut(_star(_star(edges, large=True), large=False), "components")
-        if edges.join(edges.select(F.col("y").alias("x")).distinct(), "x", "left_semi").isEmpty():
+        if _settled(edges):
             break
     else:
         raise RuntimeError(f"components did not settle in {MAX_STEPS} steps")

@@ -101,6 +101,16 @@ def test_components(spark):
         assert got == {n: find(n) for n in root}
 
 
+def test_components_of_short_chains(spark):
+    """A node that hangs on two centres is not settled, even if no centre hangs on another."""
+    rng = random.Random(7)
+    chains = [[1, 4, 3, 5, 2]] + [rng.sample(range(1, n + 1), n) for n in (5, 8, 12)]
+    for chain in chains:
+        links = spark.createDataFrame([(min(p), max(p)) for p in zip(chain, chain[1:])], "x long, y long")
+        got = sorted((r.node, r.comp) for r in min_labels(links).collect())
+        assert got == [(n, 1) for n in sorted(chain)]
+
+
 def test_licenses(docs_of, edges):
     filler = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do " * 3
     mit, gpl = license_scan.TEMPLATES[2][1], license_scan.TEMPLATES[4][1]

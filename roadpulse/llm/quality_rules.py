@@ -24,7 +24,12 @@ MAX_REPEAT_PERCENT = 50
 #: Least words (common words) and characters a comparison needs.
 MIN_COMPARED_WORDS = 100
 MIN_COMPARED_CHARS = 300
-MAX_WORD_DISTANCE = 0.6
+#: Most histograms lie in the share of other words, so distances are short: from a
+#: reference with a share c of common words, a text without any is at a distance of
+#: 0.30 for c = 0.17, 0.33 for 0.20, 0.56 for 0.50 (references below 0.17 need a
+#: lower limit). In sf0.1 (c of 0.20 to 0.22) one of 7,367 texts with 8 % and more
+#: common words of their language is farther than this.
+MAX_WORD_DISTANCE = 0.3
 MAX_CHAR_DISTANCE = 0.3
 
 # Common words of the languages compared, lower case.

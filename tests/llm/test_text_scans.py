@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import json
+import random
 import re
 from collections import Counter
 
@@ -123,6 +124,21 @@ def test_quality_cases(spark, docs_of, edges):
     assert left.count() == sum(r.kept for r in got) and left.columns == docs_of([], clash=True).columns
 
 
+def test_common_words_reject_gibberish_and_other_languages(spark):
+    rng = random.Random(4)
+    lines = [line.split() for line in quality_rules.COMMON_WORDS]
+
+    def prose(words, count=300):  # a fifth common words
+        return " ".join(rng.choice(words) if rng.random() < 0.22 else "".join(rng.choices("abdeilnorst", k=5)) for _ in range(count))
+    rows = [(n * 100 + i, prose(words), lang) for n, (lang, words) in enumerate(zip(("en", "fr", "de", "es"), lines)) for i in range(25)]
+    gibberish = [(1000 + n, prose(["xqz"], 300).replace("xqz", "drolt"), "en") for n in range(2)]
+    other = [(2000, prose(lines[2]), "en"), (2001, prose(lines[1]), "de")]
+    df = spark.createDataFrame(rows + gibberish + other, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality_rules.judge_quality(df).collect()}
+    assert not any(r.base_failed or r.char_distance > quality_rules.MAX_CHAR_DISTANCE for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == {1000, 1001, 2000, 2001}
+
+
 def test_repeated_words(spark):
     texts = ["a b c a b c", "a a a a", "a b", "", "x a b c y a b c a b c d"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")

@@ -1,11 +1,15 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
-Vectors are extended by one coordinate so that the largest inner product
-becomes the nearest direction, and turned by fast pseudo-rotations (random
+Vectors are split by norm into octaves (powers of two). In each they are scaled
+by its largest norm and extended by one coordinate so that the largest inner
+product becomes the nearest direction; a few long vectors thus do not drown the
+others in that coordinate. They are turned by fast pseudo-rotations (random
 signs, then a Hadamard transform, three times). The nearest signed axis is the
 hash; a table's code joins the hashes of its rotations. A query probes the
-best codes of each table; the vectors found there are ranked by their exact
-inner product in double precision.
+best codes of each table in every octave; the vectors found there are ranked by
+their exact inner product in double precision. Where there are several octaves,
+one of few vectors is met whole: its members may be near by their length alone,
+in directions that probes miss.
 
 Tables are joined bucket by bucket. A bucket, on either side, is split into
 parts of bounded size, so common vectors and codes spread over many tasks, and
@@ -19,16 +23,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, FloatType, LongType,
                                StructField, StructType)
 
-from .common import cut
+from .common import cut, let
 
 #: Tables, codes probed per table, rotations per code, neighbours wanted.
 TABLES, PROBES, ROTATIONS, K = 16, 16, 1, 20
 SEED = 20250101
+#: Vectors of an octave that is met whole, at most, where a dimension has several.
+FEW_VECTORS = 1024
 #: Vectors and queries that meet in one task at a time, at most about.
 PART_VECTORS, PART_QUERIES = 4096, 1024
 _BLOCK_CELLS = 1_000_000
@@ -108,14 +114,22 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
             .withColumn("dim", F.size("v")))
 
 
+def _magnitude(v: str) -> Column:
+    """log2 of the norm, also of components whose squares leave the doubles."""
+    big = F.array_max(F.transform(v, lambda x: F.abs(x.cast("double"))))
+    return let(big, lambda b: F.log2(b) + F.log2(F.aggregate(
+        v, F.lit(0.0), lambda a, x: a + (x.cast("double") / b) * (x.cast("double") / b))) / 2)
+
+
 def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def _coded(vectors: DataFrame, longest: float, probes: int | None, tables: int, rotations: int, seed: int) -> DataFrame:
-    """``codes`` per vector: one per table, or the probes of all tables."""
+def _coded(vectors: DataFrame, probes: int | None, tables: int, rotations: int, seed: int) -> DataFrame:
+    """``codes`` per vector, scaled by 2^-``top``: one per table, or the probes
+    of all tables."""
     code = ArrayType(LongType())
     schema = StructType([*vectors.schema.fields, StructField("codes", ArrayType(code) if probes else code)])
 
@@ -126,7 +140,8 @@ def _coded(vectors: DataFrame, longest: float, probes: int | None, tables: int,
             for dim in np.unique(dims):
                 part = b.filter(pa.array(dims == dim))
                 h = hashes.setdefault(int(dim), CrossPolytope(int(dim), tables, rotations, seed))
-                x = _matrix(part.column("v"), int(dim)) / longest
+                half = np.exp2(-part.column("top").to_numpy() / 2)[:, None]  # twice, as 2^-top may leave the doubles
+                x = _matrix(part.column("v"), int(dim)) * half * half
                 norm = np.sqrt((x * x).sum(axis=1))
                 if probes:
                     codes = h.probes(h.extended(x / np.maximum(norm, 1e-300)[:, None], np.zeros(len(x))), probes).tolist()
@@ -206,16 +221,21 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, tables: int = TA
     read.
     """
     all_rows = usable(vectors, id_col, vec_col).withColumn("id", F.col("id").cast("long"))
-    squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    longest = all_rows.agg(F.max(squares)).first()[0]
-    longest = float(np.sqrt(longest)) if longest else 1.0
     asked = usable(queries, id_col, vec_col).withColumn("id", F.col("id").cast("long"))
-    index = _coded(all_rows, longest, None, tables, rotations, seed).select(
-        "id", "v", "dim", F.posexplode("codes").alias("tab", "code"))
-    probed = _coded(asked, longest, probes, tables, rotations, seed).select(
-        "id", "v", "dim", F.posexplode("codes").alias("tab", "several")).select(
-        "id", "v", "dim", "tab", F.explode("several").alias("code"))
-    found = cut(_ranked(_meet(index, probed, ["dim", "tab", "code"], k), k), "ann-found")
+    # Doubles have some 2,100 octaves, so this table is small and can be broadcast.
+    placed = all_rows.withColumn("mag", _magnitude("v")).withColumn("octave", F.round("mag").cast("int"))
+    octaves = placed.groupBy("dim", "octave").agg(F.max("mag").alias("top"), F.count(F.lit(1)).alias("n"))
+    several = F.count(F.lit(1)).over(Window.partitionBy("dim")) > 1
+    octaves = cut(octaves.select("dim", "octave", "top", (several & (F.col("n") <= FEW_VECTORS)).alias("whole")), "ann-octaves")
+    whole = F.lit(-1).cast("long")  # the one code of an octave that is met whole
+    index = _coded(placed.drop("mag").join(F.broadcast(octaves), ["dim", "octave"]), None, tables, rotations, seed).select(
+        "id", "v", "dim", "octave", F.posexplode(F.when(F.col("whole"), F.array(whole)).otherwise(F.col("codes")))
+        .alias("tab", "code"))
+    probed = _coded(asked.withColumn("top", _magnitude("v")), probes, tables, rotations, seed).drop("top").join(
+        F.broadcast(octaves), "dim").select("id", "v", "dim", "octave", F.posexplode(
+            F.when(F.col("whole"), F.array(F.array(whole))).otherwise(F.col("codes"))).alias("tab", "several")).select(
+        "id", "v", "dim", "octave", "tab", F.explode("several").alias("code"))
+    found = cut(_ranked(_meet(index, probed, ["dim", "octave", "tab", "code"], k), k), "ann-found")
     counts = found.groupBy(F.col("query_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
     short = cut(asked.join(counts, "id", "left").where(F.coalesce("n", F.lit(0)) < k).select("id", "v", "dim"), "ann-short")
     if short.isEmpty():

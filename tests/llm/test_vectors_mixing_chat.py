@@ -35,6 +35,28 @@ def test_recall_and_scores(spark):
     assert hits >= 0.9 * wanted
 
 
+@pytest.mark.parametrize("long", [1, 40])
+def test_recall_with_mixed_norms(spark, long):
+    """Long vectors do not cost the others, nor themselves, their recall."""
+    rng = np.random.default_rng(long)
+    x = rng.normal(size=(6_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[3_000:] *= rng.uniform(0.5, 1.0, size=(3_000, 1))
+    x[-long:] *= 10.0 / np.linalg.norm(x[-long:], axis=1)[:, None]
+    df = vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)]).select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    got = defaultdict(set)
+    for r in nearest(df, df.where("vec_id % 40 = 0")).collect():
+        got[r.query_id].add(r.vec_id)
+    x = x.astype(np.float32).astype(float)
+    hits = 0
+    for q in range(0, len(x), 40):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-score)[:20].tolist()))
+    assert hits >= 0.9 * 20 * len(range(0, len(x), 40))
+
+
 def test_vector_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (20, [3.0, 4.0], 1), (1, None, 1), (2, [], 1), (3, [0.0, 0.0], 1), (4, [nan, 1.0], 1),

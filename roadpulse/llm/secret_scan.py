@@ -37,11 +37,22 @@ ACCESS_MIN = 20
 HEX_RUN = re.compile(r"[0-9a-f]{24,}")  # runs of [0-9a-f]+ of 24 and more characters
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-# Anything the other kinds can match holds such a run.
+# Unbroken keys and hex runs hold such a run; a key that may be wrapped, such a start.
 _LONG_RUN = re.compile(r"[A-Za-z0-9+/_-]{24}")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)-----((?:[^-]|-(?!----))++)-----END \1-----")
+_PEM_HEADER = re.compile(r"^[\x20\t]*([A-Za-z][A-Za-z0-9-]*):[\x20\t]*(.*)$", re.MULTILINE)
+_DEK_INFO = re.compile(r"[A-Z0-9-]+,[0-9A-Fa-f]{16,}")
+_ESCAPE = re.compile(r"\\+(?:u([0-9A-Fa-f]{4})|([nrt/])|(?=\s))")
+# A key starts with the tag and length of a DER sequence, or the container's name.
+_KEY_START = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))(?:M[A-I]|b3BlbnNzaC1rZXktdj)[A-Za-z0-9+/_-]{10,}")
+_MAYBE_KEY = re.compile(r"M[A-I][A-Za-z0-9+/_-]{10}|b3BlbnNzaC1rZXktdj")
+_KEY_PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
+_KEY_BREAK = re.compile(r"(?:\s|\\+[nrt]|\\+(?=\s))+")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}")
+_URL_SAFE = str.maketrans("-_", "+/")
+#: Characters within which an OpenSSH container tells its length.
+_OPENSSH_CHARS = 1 << 16
 _HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 _OPENSSH = b"openssh-key-v1\0"
 
@@ -96,6 +107,8 @@ def is_private_key(data: bytes) -> bool:
         return bool(algorithm) and algorithm[0][0] == 0x06
     if tags[:2] == [0x02, 0x04]:  # SEC 1: version 1, key, parameters
         return data[parts[0][1]] == 1 and parts[1][2] - parts[1][1] >= 16
+    if len(tags) == 6 and set(tags) == {0x02}:  # DSA: version 0, p, q, g, y, x
+        return data[parts[0][1]] == 0
     return len(tags) >= 9 and set(tags[:9]) == {0x02}  # PKCS#1: nine integers
 
 
@@ -110,7 +123,7 @@ def _decode64(text: str) -> bytes | None:
 
 
 def _json_object(part: str) -> dict | None:
-    data = _decode64(part.replace("-", "+").replace("_", "/"))
+    data = _decode64(part.translate(_URL_SAFE))
     try:
         value = json.loads(data) if data else None
     except (ValueError, RecursionError):
@@ -123,6 +136,81 @@ def is_signed_token(header: str, payload: str) -> bool:
     return bool(head) and isinstance(head.get("alg"), str) and _json_object(payload) is not None
 
 
+def _unescaped(text: str) -> str:
+    """Escaped line ends, slashes and code units as JSON and env files hold them."""
+    return _ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else {"/": "/", "n": "\n"}.get(m[2], " "), text)
+
+
+def is_pem_key(label: str, body: str) -> bool:
+    """A private key between PEM marks, also with header lines or escaped line
+    ends. An encrypted one must name its cipher and fill whole blocks."""
+    body = _unescaped(body)
+    headers = {m[1]: m[2].strip() for m in _PEM_HEADER.finditer(body)}
+    data = _decode64(re.sub(r"[\s\"',]+", "", _PEM_HEADER.sub("", body)))
+    if not data or is_private_key(data):
+        return bool(data)
+    if "PRIVATE KEY" not in label:
+        return False
+    if "ENCRYPTED" in headers.get("Proc-Type", ""):
+        return len(data) % 8 == 0 and bool(_DEK_INFO.fullmatch(headers.get("DEK-Info", "")))
+    return "ENCRYPTED" in label and _tlv(data, 0) is not None
+
+
+def _gathered(text: str, at: int, chars: int, whole: bool = True) -> tuple[str, int] | None:
+    """``chars`` base64 characters from ``at`` on, over line ends, and the place
+    after them and their padding. If ``whole``, none if there are fewer, or if
+    the run goes on."""
+    parts = []
+    while m := _KEY_PIECE.match(text, at):
+        parts.append(m[0][:chars])
+        chars -= len(parts[-1])
+        at = m.start() + len(parts[-1])
+        if not chars:
+            if whole and at < m.end():
+                return None
+            break
+        line_end = _KEY_BREAK.match(text, at)
+        if not line_end:
+            break
+        at = line_end.end()
+    if whole and chars:
+        return None
+    end = at + min(2, len(text[at:at + 2]) - len(text[at:at + 2].lstrip("=")))
+    return "".join(parts).translate(_URL_SAFE), end
+
+
+def _openssh_size(data: bytes) -> int | None:
+    """Bytes of the container that ``data`` begins with."""
+    def after(at: int) -> int:
+        return at + 4 + int.from_bytes(data[at:at + 4], "big")
+    at = after(after(after(len(_OPENSSH))))
+    for _ in range(min(int.from_bytes(data[at:at + 4], "big"), 64) + 1):  # public keys, private part
+        at = after(at) if _ else after(at + 4)
+    return at if len(_OPENSSH) < at <= len(data) else None
+
+
+def wrapped_keys(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of private keys in base64 of either alphabet, on one line or
+    wrapped. The length that the encoding states tells where a key ends."""
+    for m in _KEY_START.finditer(text):
+        head = _decode64(m[0][:12].translate(_URL_SAFE))
+        if head.startswith(_OPENSSH[:9]):
+            read, _ = _gathered(text, m.start(), _OPENSSH_CHARS, whole=False)
+            data = _decode64(read[:len(read) // 4 * 4])
+            size = _openssh_size(data) if data.startswith(_OPENSSH) else None
+        else:
+            more = head[1] & 0x7F if head[1] & 0x80 else 0
+            start = 2 + more
+            size = start + (int.from_bytes(head[2:start], "big") if more else head[1])
+            if head[0] != 0x30 or more > 4 or head[start:start + 2] != b"\x02\x01":  # a key begins with its version
+                continue
+        if size is None or (chars := -(-size * 4 // 3)) > len(text) - m.start():
+            continue
+        found = _gathered(text, m.start(), chars)
+        if found and (data := _decode64(found[0])) and is_private_key(data):
+            yield m.start(), found[1]
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the base kinds; code points, end exclusive."""
     out = []
@@ -139,19 +227,33 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of what decoding confirms."""
-    if not _LONG_RUN.search(text):
-        return []
     out = []
-    if "." in text:
-        for m in _JWT.finditer(text):
-            if is_signed_token(m[1], m[2]):
-                out.append((m.start(), m.end(), "jwt"))
     if "-----BEGIN " in text:
-        for m in _PEM.finditer(text):
-            data = _decode64(re.sub(r"\s+", "", m[2]))
-            if data and ("PRIVATE KEY" in m[1] or is_private_key(data)) and (
-                    is_private_key(data) or "ENCRYPTED" in m[1] and _tlv(data, 0) is not None):
-                out.append((m.start(), m.end(), "pem"))
+        out += [(m.start(), m.end(), "pem") for m in _PEM.finditer(text) if is_pem_key(m[1], m[2])]
+    out += _token_spans(text)
+    if _LONG_RUN.search(text):
+        out += _unbroken_keys(text)
+    if _MAYBE_KEY.search(text):
+        for start, end in wrapped_keys(text):
+            # One span a key: not inside PEM marks, and not its first line alone.
+            if not any(s <= start and end <= e for s, e, _ in out):
+                out = [x for x in out if not (x[2] == "key64" and start <= x[0] and x[1] <= end)]
+                out.append((start, end, "key64"))
+    return out
+
+
+def _token_spans(text: str) -> list[tuple[int, int, str]]:
+    out, at = [], 0
+    while "." in text and (m := _JWT.search(text, at)):
+        at = m.start(2)  # a token may begin with the second part
+        if is_signed_token(m[1], m[2]):
+            out.append((m.start(), m.end(), "jwt"))
+            at = m.end()
+    return out
+
+
+def _unbroken_keys(text: str) -> list[tuple[int, int, str]]:
+    out = []
     for m in _BASE64.finditer(text):
         data = _decode64(m[0])
         if data and is_private_key(data):

@@ -131,8 +131,10 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("text").cast("binary").alias("text"))
 
 
-def members(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, cid, n) per row; cid is null for an empty set."""
+def members(docs: DataFrame, words: int, hashed: bool = False) -> DataFrame:
+    """(doc_id, cid, n) per row; cid is null for an empty set. If ``hashed``,
+    also ``text_hash``, the xxhash64 of the text."""
+    more = ["text_hash"] if hashed else []
     id_type = docs.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,10 +143,10 @@ def members(docs: DataFrame, words: int) -> DataFrame:
             sets = [shingler.tokens(t.as_py()) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([class_id(s) if len(s) else None for s in sets], pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64())], names=["doc_id", "cid", "n"])
+                 pa.array([len(s) for s in sets], pa.int64()), *[b.column(c) for c in more]], names=["doc_id", "cid", "n", *more])
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, f"doc_id {id_type.simpleString()}, cid long, n long")
+    read = docs.select("doc_id", F.col("text").cast("binary").alias("text"), *[F.xxhash64("text").alias(c) for c in more])
+    return read.mapInArrow(run, f"doc_id {id_type.simpleString()}, cid long, n long" + "".join(f", {c} long" for c in more))
 
 
 class _Recent:
@@ -375,7 +377,11 @@ def ngram_jaccard_join(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int
     text are documents of their own. Other columns are not read. Exact but for
     collisions of 64-bit hashes.
     """
-    rows = cut(members(docs, words), "ngram-members")
+    return _joined(docs, words, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _joined(docs: DataFrame, words: int, percent: int, hashed: bool = False) -> DataFrame:
+    rows = cut(members(docs, words, hashed), "ngram-members")
     classes = rows.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("rep"))
     named = classes.join(class_components(docs, words, percent), "cid", "left")
     linked = named.where(F.col("comp").isNotNull())
@@ -383,14 +389,17 @@ def ngram_jaccard_join(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int
     ids = (linked.join(least, "comp").select("cid", "found")
            .unionByName(named.where(F.col("comp").isNull()).select("cid", F.col("rep").alias("found"))))
     return rows.join(ids, "cid", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("found", "doc_id").alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("found", "doc_id").alias("component_id"),
+        *(["text_hash"] if hashed else []))
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each linked group, that of the smallest
-    id; of repeated rows one stays. Rows with a null id stay."""
-    others = cut(ngram_jaccard_join(docs).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(),
-                 "ngram-others")
+    id; of repeated rows one stays. Rows with a null id stay, and so do rows
+    that share only the id with one that goes."""
+    others = cut(_joined(docs, SHINGLE_WORDS, PERCENT, hashed=True).where(F.col("component_id") != F.col("doc_id")).select(
+        F.col("doc_id").alias("_other_id"), F.col("text_hash").alias("_other_hash")).distinct(), "ngram-others")
+    same = (F.col("doc_id") == F.col("_other_id")) & (F.xxhash64("text") == F.col("_other_hash"))
     again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    return (docs.join(others, "doc_id", "left_anti").withColumn("_again", F.row_number().over(again))
+    return (docs.join(others, same, "left_anti").withColumn("_again", F.row_number().over(again))
             .where((F.col("_again") == 1) | F.col("doc_id").isNull()).select(*docs.columns))

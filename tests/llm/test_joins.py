@@ -84,6 +84,12 @@ def test_join_cases(docs_of, edges):
     assert ids == [1, 2, 3, 4, 5, 6, 7, 10, 12, 13] and left.columns == docs_of([], clash=True).columns
 
 
+def test_rows_that_share_only_an_id_stay(docs_of):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "quite another text of its own"), (3, None), (4, "a b c d e f")]
+    left = ngram_join.keep_one_each(docs_of(rows))
+    assert sorted((r.doc_id, r.text or "") for r in left.collect()) == [(1, rows[0][1]), (2, rows[2][1]), (3, "")]
+
+
 def test_components(spark):
     rng = random.Random(1)
     for edges in ([], [(5, 5)], [(i, i + 1) for i in range(300)], [(rng.randrange(200), rng.randrange(200)) for _ in range(150)]):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import license_scan, oracles
+from . import license_scan, line_dedup, merkle, oracles
 from .chat_format import format_chats, read_back
 from .common import ship_package, table
 from .mixing import mix_sources
@@ -94,6 +94,16 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
@@ -106,6 +116,8 @@ ORACLE |= {
     "op6_url_filter": oracles.urls(),
     "op8_quality_rules": oracles.quality(),
     "op10_ngram_jaccard": oracles.jaccard(),
+    "op11_line_dedup": line_dedup.oracle_sql(),
+    "op12_merkle_manifest": merkle.oracle_sql(),
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import license_scan, line_dedup, merkle, oracles
+from . import lexical_search, license_scan, line_dedup, merkle, oracles
 from .chat_format import format_chats, read_back
 from .common import ship_package, table
 from .mixing import mix_sources
@@ -104,6 +104,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
@@ -118,6 +123,7 @@ ORACLE |= {
     "op10_ngram_jaccard": oracles.jaccard(),
     "op11_line_dedup": line_dedup.oracle_sql(),
     "op12_merkle_manifest": merkle.oracle_sql(),
+    "op13_lexical_search": lexical_search.oracle_sql(),
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -52,9 +52,11 @@ def hot_keys(lines: DataFrame, parts: int) -> list[int]:
     HOT_KEYS. The sketches of the tasks are merged in two steps."""
     some = lines.groupBy((F.spark_partition_id() % MERGES).alias("merge")).agg(
         F.expr(f"approx_top_k_accumulate(h1, {FOLLOWED})").alias("sketch"), F.count(F.lit(1)).alias("n"))
-    row = some.agg(F.expr(f"approx_top_k_combine(sketch, {FOLLOWED})").alias("sketch"), F.sum("n").alias("n")).select(
-        F.when(F.col("n") > 0, F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})")).alias("top"), "n").first()
-    return [x["item"] for x in row["top"] or [] if x["count"] * parts > row["n"]]
+    # Grouped by a column of one value: the sketch can't be merged with that of a task without rows.
+    row = some.groupBy((F.col("merge") < MERGES).alias("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {FOLLOWED})").alias("sketch"), F.sum("n").alias("n")).select(
+        F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})").alias("top"), "n").first()
+    return [x["item"] for x in row["top"] if x["count"] * parts > row["n"]] if row else []
 
 
 def _first_of(hot: DataFrame) -> DataFrame:

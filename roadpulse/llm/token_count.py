@@ -39,6 +39,8 @@ CACHE_WORDS = 400_000
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # The same for texts in ASCII.
 _ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+#: Characters of the longest contraction in the pattern.
+_CONTRACTION = 3
 # Unicode tables differ between libraries from here on; such texts are split
 # by the tokenizer's own pre-tokenizer.
 _UNSTABLE = re.compile("[՘-\U0010ffff]")
@@ -234,26 +236,46 @@ class PrefixTable:
         would give."""
         chars = max(0, min(chars, len(self.text)))
         j = bisect_right(self.ends, chars) - 1
-        if self.ends[j] == chars:
-            return self.counts[j]
-        # The cut may regroup white space before it, or part a contraction or
-        # special string; these words alone are split again.
-        first = j - 1 if j and self.words[j - 1].isspace() else j
-        tail = self.text[self.ends[first]:chars]
-        return self.counts[first] + self.counter.count(tail)
+        return self._cut(j, chars - self.ends[j])
+
+    def _cut(self, j: int, chars: int, counts: bytes | tuple[int, ...] | None = None) -> int:
+        """Tokens of the words before word ``j`` and its first ``chars`` code
+        points (``counts``: the word's own table)."""
+        end = self.ends[j] + chars
+        if chars == 0:
+            if j < 2 or not (self.words[j - 1].isspace() and self.words[j - 2].isspace()):
+                return self.counts[j]
+            return self.counts[j - 2] + self.counter.count(self.text[self.ends[j - 2]:end])
+        word = self.words[j]
+        if word in self.counter.special:
+            first = j - 1 if j and self.words[j - 1] not in self.counter.special else j
+        elif j and self.words[j - 1].isspace() and word[chars - 1].isspace() and word[:chars].isspace():
+            first = j - 1
+        elif len(word) <= _CONTRACTION:
+            first = j
+        else:
+            # A part of any other pre-token is one pre-token too.
+            return self.counts[j] + (counts or self.counter.char_counts(word))[chars]
+        # The cut parts a special string or a contraction, or regroups the
+        # blanks before it: the words at the cut alone are split again.
+        return self.counts[first] + self.counter.count(self.text[self.ends[first]:end])
 
     def fit(self, budget: int) -> int:
         """Code points of the longest prefix within ``budget`` tokens that ends
-        in or at the end of the first pre-token to exceed it."""
+        in or at the end of the first pre-token to exceed it. One backward pass
+        over the counts that this pre-token's table holds."""
         j = bisect_right(self.counts, budget) - 1
         if j < 0:
             return 0
         if j == len(self.words):
             return len(self.text)
-        for chars in range(self.ends[j + 1] - 1, self.ends[j], -1):
-            if self.at(chars) <= budget:
-                return chars
-        return self.ends[j]
+        word = self.words[j]
+        counts = None if word in self.counter.special else self.counter.char_counts(word)
+        for chars in range(len(word) - 1, 0, -1):
+            if self._cut(j, chars, counts) <= budget:
+                return self.ends[j] + chars
+        # Blanks of two words are one at the end of a text, maybe of more tokens.
+        return self.ends[j] if self._cut(j, 0) <= budget else self.ends[j - 1]
 
 
 @lru_cache(maxsize=2)

@@ -24,7 +24,31 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Delete the folders of frames that ``cut`` returned, once nothing reads
+    them any more. Other frames are left alone."""
+    for df in frames:
+        path = getattr(df, "_cut_path", None)
+        if path:
+            spark = df.sparkSession
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            df._cut_path = None
+
+
+def whole_rows(docs: DataFrame) -> Column:
+    """All columns as one struct, so that no name clashes with an operator's own."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns])
+
+
+def unpacked(docs: DataFrame, row: str = "row") -> list[Column]:
+    """The columns of ``docs`` from its struct."""
+    return [F.col(row).getField(c).alias(c) for c in docs.columns]
 
 
 def text_or_empty(col: str | Column = "text") -> Column:

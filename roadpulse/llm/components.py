@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, discard
 
 MAX_STEPS = 60
 
@@ -47,7 +47,8 @@ def min_labels(links: DataFrame) -> DataFrame:
     the stars are then the components, each with one label a node."""
     edges = links.where(F.col("x") != F.col("y")).select("x", "y")
     for _ in range(MAX_STEPS):
-        edges = cut(_star(_star(edges, large=True), large=False), "components")
+        before, edges = edges, cut(_star(_star(edges, large=True), large=False), "components")
+        discard(before)
         if _settled(edges):
             break
     else:

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, discard, unpacked, whole_rows
 from .components import min_labels
 
 SHINGLE_WORDS = 5
@@ -343,11 +343,14 @@ def class_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = class_sets(docs, bitmap, words, percent).repartition(parts, "cid").dropDuplicates(["cid"]).persist()
     try:
-        buckets = cut(rare_prefixes(sets, percent), "ngram-prefixes").withColumn("comp", F.col("cid"))
-        labels = buckets.select("cid", "comp").distinct()
+        held = cut(rare_prefixes(sets, percent), "ngram-prefixes")
+        buckets, joined = held.withColumn("comp", F.col("cid")), None
+        named = labels = cut(buckets.select("cid", "comp").distinct(), "ngram-labels")
         before = 0
         for turn in range(ROUNDS + 1):
-            buckets = cut(_cross(buckets), "ngram-buckets")
+            crossing = cut(_cross(buckets), "ngram-buckets")
+            discard(held)
+            buckets = held = crossing
             rows, left = _pairs_left(buckets)
             last = turn == ROUNDS or turn > 0 and (left <= FEW_PAIRS * rows or left > before * WORTH)
             before = left
@@ -355,9 +358,14 @@ def class_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
             # Links between components, and the components these join.
             links = cut(verified(pairs, sets, percent).select(
                 F.least("xc", "yc").alias("x"), F.greatest("xc", "yc").alias("y")).distinct(), "ngram-links")
-            joined = min_labels(links)
+            discard(joined)
+            joined = cut(min_labels(links), "ngram-joined")
             labels = cut(_renamed(labels, joined), "ngram-labels")
+            # What this round has replaced; its buckets go when the next one's are written.
+            discard(named, links)
+            named = labels
             if last:
+                discard(held, joined, sharing)
                 return labels
             buckets = _renamed(buckets, joined)
     finally:
@@ -396,10 +404,12 @@ def _joined(docs: DataFrame, words: int, percent: int, hashed: bool = False) ->
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each linked group, that of the smallest
     id; of repeated rows one stays. Rows with a null id stay, and so do rows
-    that share only the id with one that goes."""
+    that share only the id with one that goes. Null and empty texts link with
+    nothing and stay; an empty table gives an empty one. All columns stay,
+    whatever their names."""
     others = cut(_joined(docs, SHINGLE_WORDS, PERCENT, hashed=True).where(F.col("component_id") != F.col("doc_id")).select(
-        F.col("doc_id").alias("_other_id"), F.col("text_hash").alias("_other_hash")).distinct(), "ngram-others")
-    same = (F.col("doc_id") == F.col("_other_id")) & (F.xxhash64("text") == F.col("_other_hash"))
-    again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    return (docs.join(others, same, "left_anti").withColumn("_again", F.row_number().over(again))
-            .where((F.col("_again") == 1) | F.col("doc_id").isNull()).select(*docs.columns))
+        F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct(), "ngram-others")
+    rows = docs.select(whole_rows(docs).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    left = rows.join(others, ["id", "hash"], "left_anti")
+    again = F.row_number().over(Window.partitionBy("id", "hash").orderBy("id"))
+    return left.withColumn("again", again).where((F.col("again") == 1) | F.col("id").isNull()).select(*unpacked(docs))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, let, text_or_empty
+from .common import cut, let, text_or_empty, unpacked, whole_rows
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -83,11 +83,14 @@ def _peeled(text: Column) -> Column:
     return step(0, text, F.length(text), [])
 
 
-def features(docs: DataFrame) -> DataFrame:
+def features(docs: DataFrame, whole: bool = False) -> DataFrame:
     """Per row the base numbers and both histograms (``chars`` by class,
-    ``common`` by common word, the other words last)."""
+    ``common`` by common word, the other words last); ``whole``: and ``row``,
+    the row itself."""
     vocabulary = common_words()
-    read = docs.select("doc_id", "lang", text_or_empty().alias("text"), F.xxhash64("text").alias("text_hash"))
+    carried = ["row"] if whole else []
+    read = docs.select("doc_id", "lang", text_or_empty().alias("text"), F.xxhash64("text").alias("text_hash"),
+                       *[whole_rows(docs).alias(c) for c in carried])
     listed = read.withColumn("words", words_of(F.col("text")))
     w, text = F.col("words"), F.col("text")
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -95,13 +98,13 @@ def features(docs: DataFrame) -> DataFrame:
     place = F.transform(known, lambda x: F.array_position(F.lit(vocabulary), x).cast("int"))
     joined = F.array_join(w, "")
     made = listed.select(
-        "doc_id", "lang", "text_hash", F.size(w).cast("long").alias("n_words"), F.length(joined).cast("long").alias("word_chars"),
+        *carried, "doc_id", "lang", "text_hash", F.size(w).cast("long").alias("n_words"), F.length(joined).cast("long").alias("word_chars"),
         _peeled(joined).alias("chars"), let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
         .cast("long").alias("n_dup_lines"), repeated_words(w).cast("long").alias("n_repeat_words"), place.alias("place"))
     left = F.size("place")
     counts = [left - F.size(F.array_remove("place", F.lit(k + 1))) for k in range(len(vocabulary))]
     return made.select(
-        "doc_id", "lang", "text_hash", "n_words", "word_chars",
+        *carried, "doc_id", "lang", "text_hash", "n_words", "word_chars",
         F.col("chars")[[c for c, _ in CLASSES].index("symbol")].cast("long").alias("n_symbols"),
         "n_dup_lines", "n_repeat_words", F.transform("chars", lambda x: x.cast("long")).alias("chars"),
         F.transform(F.array(*counts, F.col("n_words").cast("int") - left), lambda x: x.cast("long")).alias("common"))
@@ -143,22 +146,27 @@ def judge_quality(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_percen
     rows each give a row and count in the references; other columns are not
     read. Texts are measured whole.
     """
-    made = cut(features(docs), "quality-features")
+    return _judged(docs, False, min_words, max_repeat_percent, max_word_distance, max_char_distance)
+
+
+def _judged(docs: DataFrame, whole: bool, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT,
+            max_word_distance: float = MAX_WORD_DISTANCE, max_char_distance: float = MAX_CHAR_DISTANCE) -> DataFrame:
+    made = cut(features(docs, whole), "quality-features")
     joined = made.join(references(made), F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     failed = ((F.col("n_words") < min_words)
               | (F.lit(100) * F.col("n_repeat_words") > F.lit(max_repeat_percent) * F.col("n_words")))
     far = (((F.col("n_words") >= MIN_COMPARED_WORDS) & (F.col("word_distance") > max_word_distance))
            | ((F.col("word_chars") >= MIN_COMPARED_CHARS) & (F.col("char_distance") > max_char_distance)))
     return joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+        *(["row"] if whole else []), "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         jensen_shannon(shares(F.col("chars")), F.col("ref_chars")).alias("char_distance"),
         jensen_shannon(shares(F.col("common")), F.col("ref_common")).alias("word_distance"), "text_hash",
     ).withColumn("kept", ~F.col("base_failed") & ~far)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``judge_quality`` keeps, all columns."""
-    bad = cut(judge_quality(docs).where(~F.col("kept")).select(
-        F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct(), "quality-rejected")
-    same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_hash"))
-    return docs.join(bad, same, "left_anti")
+    """The rows of ``docs`` that ``judge_quality`` keeps, all columns, whatever
+    their names. Cases as there: repeated rows are judged alike and all stay or
+    go, null and empty texts go, an empty table gives an empty one. The rows are
+    carried with their numbers, so that no text is shuffled."""
+    return _judged(docs, True).where("kept").select(*unpacked(docs))

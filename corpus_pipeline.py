@@ -44,7 +44,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to their sources' target weights and shuffled; a null
-    source is a source of its own, repeated rows are drawn each for itself."""
+    source is a source of its own; repeated rows draw one count and are each
+    repeated by it."""
     return mix_sources(docs).select(*docs.columns)
 
 

@@ -106,7 +106,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "live":
         from .sources.kafka import kafka_stream
         from .sources.readers import read_segments_csv
-        from .streaming.live import file_stream, start_all
+        from .streaming.live import LateRows, file_stream, start_all
         if args.kafka:
             raw = kafka_stream(spark, args.kafka, args.topic)
         elif args.files:
@@ -116,23 +116,28 @@ def main(argv: list[str] | None = None) -> int:
         start = start_all
         if args.shared:
             from .streaming.shared import start_shared as start
+        late = LateRows()
+        spark.streams.addListener(late)
         queries = start(spark, raw, read_segments_csv(spark, args.segments), args.out, args.checkpoints,
                         args.result_trigger, args.snapshot_trigger, args.available_now,
                         args.carry_forward)
         if args.available_now:  # each query stops when its input is done
             for q in queries:
                 q.awaitTermination()
+            spark.streams.removeListener(late)
+            print(json.dumps({"late_rows": {q.name or str(q.id): late.counted(q) for q in queries}}))
         else:  # if one query fails, stop the job (its checkpoint resumes it)
             spark.streams.awaitAnyTermination()
     elif args.job == "replay":
-        from .operators.replay import clip, write_message_slices
-        from .sources.kafka import write_kafka
+        from .operators.replay import write_message_slices
+        from .sources import kafka
         from .sources.readers import read_readings
         readings = read_readings(spark, args.raw, start=args.start, end=args.end)
         if args.out:
             write_message_slices(readings, args.out, args.start, args.end, args.minutes)
         elif args.kafka:
-            write_kafka(clip(readings, args.start, args.end), args.kafka, args.topic)
+            slices = kafka.replay_kafka(readings, args.kafka, args.topic, args.start, args.end, args.minutes)
+            print(json.dumps({"slices": slices}))
         else:
             p.error("replay needs --out or --kafka")
     return 0

@@ -975,7 +975,7 @@ CLOSED = "window_end <= (SELECT max(measurement_tstamp) FROM cleaned) - INTERVAL
     extra=WINDOW_CTES + ",\n" + SEG_WINDOWS_SQL))
 def stream_by_segment(spark, sf_dir):
     out = _live_run(spark, sf_dir)
-    return r6(_ntz_windows(spark.read.parquet(f"{out}/{LV.OUTPUTS['by_segment']}")))
+    return r6(_ntz_windows(SH.read_result(spark, out, "by_segment")))
 
 
 @register("stream_by_road_type", fx.with_views(f"""
@@ -987,7 +987,7 @@ SELECT * FROM (
 WHERE {CLOSED}""", extra=WINDOW_CTES))
 def stream_by_road_type(spark, sf_dir):
     out = _live_run(spark, sf_dir)
-    return r6(_ntz_windows(spark.read.parquet(f"{out}/{LV.OUTPUTS['by_road_type']}")))
+    return r6(_ntz_windows(SH.read_result(spark, out, "by_road_type")))
 
 
 @register("stream_network_approx", fx.with_views(f"{BOUND_SQL} WHERE {CLOSED}", extra=WINDOW_CTES))
@@ -995,7 +995,7 @@ def stream_network_approx(spark, sf_dir):
     """HyperLogLog++ KPI of the live pipeline against the exact counts of the
     shared pipeline."""
     out = _live_run(spark, sf_dir)
-    approx = _ntz_windows(spark.read.parquet(f"{out}/{LV.OUTPUTS['network']}"))
+    approx = _ntz_windows(SH.read_result(spark, out, "network"))
     return _within_bound(approx, _ntz_windows(SH.read_result(spark, _shared_run(spark, sf_dir), "network")))
 
 
@@ -1025,7 +1025,7 @@ WHERE {CLOSED}""", extra=WINDOW_CTES))
 def stream_replay_append(spark, sf_dir):
     """Written slices, streamed in order over several micro-batches: no reading
     is late, all closed windows are complete."""
-    return r6(_ntz_windows(spark.read.parquet(f"{_replay_run(spark, sf_dir)}/by_road_type")))
+    return r6(_ntz_windows(LV.read_appended(spark, f"{_replay_run(spark, sf_dir)}/by_road_type")))
 
 
 @register("stream_replay_snapshot", LATEST_SQL)
@@ -1043,6 +1043,29 @@ def stream_latest_snapshot(spark, sf_dir):
     return r6(_ntz_windows(RD.read_snapshot(spark, f"{out}/{LV.OUTPUTS['snapshot']}")))
 
 
+RESET = "TIMESTAMP '2024-01-15 00:00:00'"
+
+
+@register("stream_two_runs", fx.with_views(f"""
+SELECT {SEG_WIN_SELECT} FROM (
+  SELECT xd_id, measurement_tstamp >= {RESET} AS later, avg(speed) AS avg_speed, avg(congestion_score) AS avg_congestion,
+         count(*) AS reading_count, {WIN_COLS}
+  FROM win GROUP BY xd_id, later, window_start) w LEFT JOIN segments s ON w.xd_id = s.xd
+WHERE window_end <= (SELECT max(measurement_tstamp) FROM cleaned c WHERE (c.measurement_tstamp >= {RESET}) = w.later)
+  - INTERVAL '10 minutes'""", extra=WINDOW_CTES))
+def stream_two_runs(spark, sf_dir):
+    """Two live runs with a fresh checkpoint each over one output, the days
+    before the 15th and the rest: the windows of both are there."""
+    out = scratch_path(spark, "two-runs")
+    segments = LV.static_lookup(fx.segments(spark, sf_dir))
+    for part in (f"measurement_tstamp < {RESET}", f"measurement_tstamp >= {RESET}"):
+        src = scratch_path(spark, "two-runs-in")
+        to_messages(fx.readings(spark, sf_dir).where(part)).select("value").write.text(src)
+        frames = LV.live_frames(LV.file_stream(spark, src), segments)
+        LV.start_append(frames["by_segment"], out, scratch_path(spark, "two-runs-ckpt"), available_now=True).awaitTermination()
+    return r6(_ntz_windows(LV.read_appended(spark, out)))
+
+
 # The same three results from the shared-state pipeline (one append query
 # for all three, exact network KPI).
 

@@ -18,6 +18,7 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
@@ -29,6 +30,7 @@ from .snapshot_sink import SnapshotWriter
 DEFAULT_WATERMARK = "10 minutes"
 RESULT_TRIGGER = "2 minutes"
 SNAPSHOT_TRIGGER = "20 seconds"
+MAX_FILE_AGE = "36500d"
 OUTPUTS = {"by_segment": "congestion_by_segment", "network": "network_congestion_pct",
            "by_road_type": "congestion_by_road_type", "snapshot": "latest_congestion_by_segment"}
 
@@ -36,7 +38,8 @@ OUTPUTS = {"by_segment": "congestion_by_segment", "network": "network_congestion
 def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Files of JSON lines as a stream with one ``value`` text column (the
     same column a Kafka source gives). Files are taken oldest first."""
-    r = spark.readStream.format("text")
+    # Age never drops a file: a backfill may bring files older than the newest one seen.
+    r = spark.readStream.format("text").option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
     return r.load(path)
@@ -71,12 +74,37 @@ def _trigger(writer, interval: str | None, available_now: bool):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
 
 
+class AppendWriter:
+    """``foreachBatch`` writer of closed windows, partitioned by the window's
+    date, the run (a checkpoint's id) and the batch: a batch that is run again
+    replaces its own rows, and a run with a fresh checkpoint, whose batches
+    count from 0 again, adds its rows beside those of earlier runs. Read the
+    rows with ``read_appended``."""
+
+    def __init__(self, path: str, run: str):
+        self.path, self.run = path, run
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        (batch_df.withColumn("run", F.lit(self.run)).withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("year", "month", "day", "run", "batch_id").parquet(self.path))
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """Closed windows written by one or more runs, without run and batch: of a
+    window that several runs wrote, the newest run's rows."""
+    rows = spark.read.parquet(path).withColumn("run", F.col("run").cast("string"))
+    newest = rows.groupBy("window_start").agg(F.max("run").alias("run"))
+    return rows.join(newest, ["window_start", "run"], "left_semi").drop("run", "batch_id")
+
+
 def start_append(df: DataFrame, path: str, checkpoint: str, interval: str = RESULT_TRIGGER,
                  available_now: bool = False, name: str | None = None) -> StreamingQuery:
-    """Append closed windows to Parquet partitioned by the window's date."""
-    w = (df.writeStream.outputMode("append").format("parquet")
-         .option("path", path).option("checkpointLocation", checkpoint)
-         .partitionBy("year", "month", "day"))
+    """Append closed windows to Parquet partitioned by the window's date. The
+    checkpoint may be replaced by a fresh one over the same output (the file
+    sink's own commit log would then skip the new run's batches)."""
+    w = (df.writeStream.outputMode("append").foreachBatch(AppendWriter(path, run_id(df.sparkSession, checkpoint)))
+         .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
     return _trigger(w, interval, available_now).start()
@@ -171,6 +199,10 @@ class LateRows(StreamingQueryListener):
         key = str(event.progress.id)
         self.dropped[key] = self.dropped.get(key, 0) + late
 
+    def counted(self, query: StreamingQuery) -> int:
+        """Late rows of a query; for one that has ended, after its last report."""
+        return max(self.dropped.get(str(query.id), 0), dropped_by_watermark(query))
+
     def onQueryIdle(self, event) -> None:
         pass
 

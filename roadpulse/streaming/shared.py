@@ -135,11 +135,5 @@ def start_shared(spark: SparkSession, raw: DataFrame, segments: DataFrame, out_r
 
 
 def read_result(spark: SparkSession, out_root: str, kind: str) -> DataFrame:
-    """One result written by ``start_shared`` (without run and batch): of a
-    window that several runs wrote, the newest run's rows."""
-    rows = spark.read.parquet(f"{out_root.rstrip('/')}/{LV.OUTPUTS[kind]}")
-    if "run" not in rows.columns:  # written by ``start_all``
-        return rows
-    rows = rows.withColumn("run", F.col("run").cast("string"))
-    newest = rows.groupBy("window_start").agg(F.max("run").alias("run"))
-    return rows.join(newest, ["window_start", "run"], "left_semi").drop("run", "batch_id")
+    """One result of ``start_shared`` or ``live.start_all`` (see ``live.read_appended``)."""
+    return LV.read_appended(spark, f"{out_root.rstrip('/')}/{LV.OUTPUTS[kind]}")

@@ -3,7 +3,8 @@ or ``python -m roadpulse <job> ...`` (the session comes from the
 environment; ``--local`` starts a local one for trials).
 
 Jobs:
-  ingest           raw readings CSV -> split, partitioned Parquet (+ counters)
+  ingest           raw readings CSV -> split, partitioned Parquet (+ counters);
+                   --checkpoint: only the files that arrived since
   compact-raw      partitioned readings -> time-sorted files, separate root
   historical       five historical results for a year (or all data)
   compact-results  one file per result and year, separate root
@@ -42,6 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--out", required=True)
     s.add_argument("--historical", nargs=2, required=True, metavar=("FROM", "TO"))
     s.add_argument("--replay", nargs=2, required=True, metavar=("FROM", "TO"))
+    s.add_argument("--checkpoint", help="take only files that this ledger doesn't know; what earlier ones gave stays")
 
     s = sub.add_parser("compact-raw")
     s.add_argument("--src", required=True)
@@ -54,6 +56,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--year", type=int)
     s.add_argument("--months", type=int, nargs="*")
     s.add_argument("--yearly", action="store_true", help="per year instead of per month")
+    s.add_argument("--sums", help="table of partial sums: brought up to date for the year and months, results merged from it")
 
     s = sub.add_parser("compact-results")
     s.add_argument("--src", required=True)
@@ -87,18 +90,28 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session(args)
 
     if args.job == "ingest":
-        from .plans.prepare import ingest
-        print(json.dumps(ingest(spark, args.csv, args.out, tuple(args.historical), tuple(args.replay))))
+        ranges = tuple(args.historical), tuple(args.replay)
+        if args.checkpoint:
+            from .plans.incremental import ingest_new
+            print(json.dumps(ingest_new(spark, args.csv, args.out, args.checkpoint, *ranges)))
+        else:
+            from .plans.prepare import ingest
+            print(json.dumps(ingest(spark, args.csv, args.out, *ranges)))
     elif args.job == "compact-raw":
         from .plans.prepare import compact_raw
         compact_raw(spark, args.src, args.dst)
     elif args.job == "historical":
         from .operators.historical import MONTHLY, YEARLY
         from .plans.batch import run_historical
+        from .plans.rollup import run_from_sums, update_sums
         from .sources.readers import read_segments_csv
-        period = YEARLY if args.yearly else MONTHLY
-        paths = run_historical(spark, args.raw, read_segments_csv(spark, args.segments), args.out,
-                               args.year, args.months, period)
+        segments = read_segments_csv(spark, args.segments)
+        if args.sums:
+            update_sums(spark, args.raw, args.sums, args.year, args.months)
+            paths = run_from_sums(spark, args.sums, segments, args.out, args.year, args.months)
+        else:
+            paths = run_historical(spark, args.raw, segments, args.out, args.year, args.months,
+                                   YEARLY if args.yearly else MONTHLY)
         print(json.dumps(paths))
     elif args.job == "compact-results":
         from .plans.batch import compact_results

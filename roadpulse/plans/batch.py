@@ -59,7 +59,13 @@ def run_historical(spark: SparkSession, raw_root: str, segments: DataFrame, out_
                    year: int | None = None, months: list[int] | None = None,
                    period: Sequence[str] = H.MONTHLY, k: int = 20) -> dict[str, str]:
     """Compute the five results for the selected partitions and overwrite
-    only the (year, month) partitions they touch. Returns kind -> path."""
+    only the (year, month) partitions they touch. Returns kind -> path.
+
+    A yearly result of some months would replace the whole year's: with
+    ``months``, use a monthly period, or ``rollup.run_from_sums``, which merges
+    stored sums."""
+    if months is not None and "month" not in period:
+        raise ValueError("months with a yearly period would replace the year's results by those of the months")
     readings = read_readings(spark, raw_root, year=year, months=months)
     results = historical_results(score(readings), segments, period, k)
     paths = {}

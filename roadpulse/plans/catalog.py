@@ -1118,3 +1118,6 @@ def historical_four_scans(spark, sf_dir):
     """Plain form of ``historical_cube``: four separate aggregations (bench
     comparison)."""
     return r6(H.all_means_plain(_enriched_inner(spark, sf_dir), H.MONTHLY))
+
+
+from . import catalog_increments  # noqa: E402, F401  (registers its queries)

@@ -43,8 +43,9 @@ def ingest(spark: SparkSession, csv_path: str, out_root: str, historical: tuple,
 def compact_raw(spark: SparkSession, src_root: str, dst_root: str,
                 max_records_per_file: int = 5_000_000,
                 row_group_bytes: int = 128 * 1024 * 1024) -> None:
-    """Rewrite a ``year=/month=`` readings root as time-sorted files."""
+    """Rewrite a ``year=/month=`` readings root (of either ingest) as time-sorted files."""
     if src_root.rstrip("/") == dst_root.rstrip("/"):
         raise ValueError("compaction must write to a different root than it reads")
-    compact_sorted(spark.read.parquet(src_root), dst_root, max_records_per_file=max_records_per_file,
+    rows = spark.read.parquet(src_root)
+    compact_sorted(rows.drop("source"), dst_root, max_records_per_file=max_records_per_file,
                    row_group_bytes=row_group_bytes)

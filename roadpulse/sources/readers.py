@@ -12,21 +12,25 @@ from ..operators.transform import prepare_segments
 from ..schemas import HISTORICAL_KINDS, READING_COLUMNS, READING_CSV_COLUMNS, SEGMENT_CSV_COLUMNS
 
 
-def _csv_by_name(spark: SparkSession, path: str, wanted: list[tuple[str, str, str]]) -> DataFrame:
+def _csv_by_name(spark: SparkSession, path: str | list[str], wanted: list[tuple[str, str, str]],
+                 source: str | None = None) -> DataFrame:
     """Read a headed CSV with every column as STRING and pick columns by
     header *name* (a schema given to the reader maps by position and would
-    silently shift columns). Values that do not parse become NULL."""
+    silently shift columns). Values that do not parse become NULL. ``source``
+    names a further column with each row's file."""
     raw = (spark.read.option("header", "true").option("inferSchema", "false")
            .option("mode", "PERMISSIVE").csv(path))
     missing = [src for src, _, _ in wanted if src not in raw.columns]
     if missing:
         raise ValueError(f"{path}: missing CSV columns {missing}")
-    return raw.select(*[F.col(f"`{src}`").try_cast(typ).alias(dst) for src, dst, typ in wanted])
+    more = [F.col("_metadata.file_path").alias(source)] if source else []
+    return raw.select(*[F.col(f"`{src}`").try_cast(typ).alias(dst) for src, dst, typ in wanted], *more)
 
 
-def read_readings_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw readings CSV (any superset of columns, any order) -> typed readings."""
-    return _csv_by_name(spark, path, [(c, c, t) for c, t in READING_CSV_COLUMNS])
+def read_readings_csv(spark: SparkSession, path: str | list[str], source: str | None = None) -> DataFrame:
+    """Raw readings CSV (any superset of columns, any order; several files or a
+    folder must have one header) -> typed readings."""
+    return _csv_by_name(spark, path, [(c, c, t) for c, t in READING_CSV_COLUMNS], source)
 
 
 def read_segments_csv(spark: SparkSession, path: str) -> DataFrame:

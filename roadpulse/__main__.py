@@ -21,7 +21,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from .session import REQUIRED_CONF, local_session
+from .session import REQUIRED_CONF, local_session, scratch_path
 
 
 def _session(args) -> SparkSession:
@@ -74,6 +74,10 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--snapshot-trigger", default="20 seconds")
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--carry-forward", action="store_true")
+    s.add_argument("--late", help="folder of a side table of late readings")
+    s.add_argument("--malformed", help="folder of the messages that can't be read")
+    s.add_argument("--latest", help="folder of the keyed latest state (changed segments only)")
+    s.add_argument("--expire-minutes", type=int, help="drop a silent segment from the keyed latest state")
     s.add_argument("--shared", action="store_true",
                    help="the three windowed results from one query (one state, exact network KPI)")
 
@@ -83,6 +87,9 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--end")
     s.add_argument("--minutes", type=int, default=10)
     s.add_argument("--out", help="folder for per-slice JSON lines")
+    s.add_argument("--checkpoint", help="where a replay to a topic that was stopped goes on")
+    s.add_argument("--slices-per-batch", type=int, default=1)
+    s.add_argument("--interval", default="0 seconds", help="pace of a replay to a topic: time between its batches")
     s.add_argument("--kafka", help="bootstrap servers")
     s.add_argument("--topic", default="road-segments")
 
@@ -119,7 +126,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "live":
         from .sources.kafka import kafka_stream
         from .sources.readers import read_segments_csv
-        from .streaming.live import LateRows, file_stream, start_all
+        from .streaming.live import LateRows, cleaned_stream, file_stream, start_all
         if args.kafka:
             raw = kafka_stream(spark, args.kafka, args.topic)
         elif args.files:
@@ -134,6 +141,17 @@ def main(argv: list[str] | None = None) -> int:
         queries = start(spark, raw, read_segments_csv(spark, args.segments), args.out, args.checkpoints,
                         args.result_trigger, args.snapshot_trigger, args.available_now,
                         args.carry_forward)
+        more = dict(interval=args.result_trigger, available_now=args.available_now)
+        if args.late:
+            from .streaming.late import start_late
+            queries.append(start_late(cleaned_stream(raw), args.late, f"{args.checkpoints}/late", **more))
+        if args.malformed:
+            from .streaming.messages import start_malformed
+            queries.append(start_malformed(raw, args.malformed, f"{args.checkpoints}/malformed", **more))
+        if args.latest:
+            from .streaming.latest import start_latest
+            queries.append(start_latest(cleaned_stream(raw), args.latest, f"{args.checkpoints}/latest", args.snapshot_trigger,
+                                        args.available_now, args.expire_minutes))
         if args.available_now:  # each query stops when its input is done
             for q in queries:
                 q.awaitTermination()
@@ -149,7 +167,9 @@ def main(argv: list[str] | None = None) -> int:
         if args.out:
             write_message_slices(readings, args.out, args.start, args.end, args.minutes)
         elif args.kafka:
-            slices = kafka.replay_kafka(readings, args.kafka, args.topic, args.start, args.end, args.minutes)
+            checkpoint = args.checkpoint or scratch_path(spark, "replay-checkpoint")
+            slices = kafka.replay_kafka(readings, args.kafka, args.topic, checkpoint, args.start, args.end, args.minutes,
+                                        args.slices_per_batch, args.interval)
             print(json.dumps({"slices": slices}))
         else:
             p.error("replay needs --out or --kafka")

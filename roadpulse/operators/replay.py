@@ -131,18 +131,3 @@ def order_files(spark, path: str) -> int:
     for i, f in enumerate(files):
         fs.setTimes(f, first + 1000 * i, -1)
     return len(files)
-
-
-def publish_slices(df: DataFrame, publish, start, end=None, minutes: int = 10, ts: str = TS) -> int:
-    """Call ``publish(readings)`` slice after slice in time order (a sink that
-    keeps arrival order, such as a message topic). Each call reads its time
-    range only; the driver holds the slice bounds. Returns their number."""
-    bounds = [(r["slice_start"], r["slice_end"]) for r in
-              slice_counts(df, start, end, minutes, ts).select("slice_start", "slice_end").orderBy("slice_start").collect()]
-    last = None if end is None else _ts(end)
-    for lo, hi in bounds:
-        part = time_range(df, lo, hi, ts)
-        if last is not None and last < hi:
-            part = part.where(F.col(ts) <= _lit(last))
-        publish(part.sortWithinPartitions(ts))
-    return len(bounds)

@@ -3,6 +3,7 @@ results merged from stored sums and sketches, chained stream states, layouts."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
@@ -10,16 +11,19 @@ from ..operators import historical as H
 from ..operators import sketches as SK
 from ..operators.prepare import with_partitions
 from ..operators.replay import to_messages
-from ..operators.transform import score
+from ..operators.transform import parse, score
 from ..session import scratch_path
 from ..sources import layout as LY
 from ..sources import readers as RD
+from ..streaming import late as LTE
+from ..streaming import latest as LT
 from ..streaming import live as LV
 from ..streaming import messages as MS
+from ..streaming import replay_query as RQ
 from ..streaming import slots as SL
 from . import incremental as INC
 from . import rollup as RU
-from .catalog import (_CSV_WRITE, _KEY_SQL, CLOSED, F32, INGEST_HIST, INGEST_REPLAY, M, ORACLE, R6, SCORE_SQL, SEG_WIN_SELECT,
+from .catalog import (_CSV_WRITE, _KEY_SQL, CLEAN_WHERE, CLOSED, F32, INGEST_HIST, INGEST_REPLAY, M, ORACLE, R6, SCORE_SQL, SEG_WIN_SELECT,
                       SEG_WINDOWS_SQL, STORED_SQL, WIN_COLS, WINDOW_CTES, Y, _between, _cleaned, _ingested, _ntz_windows,
                       _once, r6, register)
 
@@ -173,7 +177,6 @@ def _messages(spark, sf_dir, name, twice=False):
     return LV.file_stream(spark, src)
 
 
-_SEG_WIN_KEYS = ("xd_id", "avg_speed", "avg_congestion", "reading_count", "window_start", "window_end", "year", "month", "day")
 _SEG_WIN_PLAIN = f"""xd_id, {R6('avg_speed')} AS avg_speed, {R6('avg_congestion')} AS avg_congestion, reading_count, window_start,
   window_end, year, month, day"""
 
@@ -231,3 +234,60 @@ def segment_means_bucketed(spark, sf_dir):
     name = f"readings_{path[-12:]}"
     LY.write_bucketed(with_partitions(fx.readings_long(spark, sf_dir)), name, path, buckets=8)
     return r6(H.segment_means(score(LY.read_bucketed(spark, name)), fx.segments(spark, sf_dir)))
+
+
+# Keyed latest state; T6: late readings; T10/O6: replay as a stream
+
+@_once("replayed")
+def _replayed(spark, sf_dir):
+    """The readings replayed by the slice clock, a day a batch, a file each."""
+    src = scratch_path(spark, "replayed")
+    RQ.replay(spark, fx.readings(spark, sf_dir), RQ.text_sink(src, files=1), scratch_path(spark, "replayed-ckpt"),
+              "2024-01-01", "2024-01-31", minutes=1440)
+    return src
+
+
+@register("stream_replay_clock", fx.with_views(f"""
+SELECT count(*) AS messages, count(DISTINCT xd_id) AS segments, min(measurement_tstamp) AS first, max(measurement_tstamp) AS last,
+  true AS in_order
+FROM readings WHERE measurement_tstamp BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-31'"""))
+def stream_replay_clock(spark, sf_dir):
+    """All messages of the replay, and whether every batch ends before the next begins."""
+    batch = F.regexp_extract("_metadata.file_path", r"batch=(\d+)/", 1).cast("long")
+    sent = spark.read.option("recursiveFileLookup", "true").text(_replayed(spark, sf_dir)).select("value", batch.alias("batch"))
+    rows = parse(sent, keep=("batch",)).select("xd_id", "batch", F.col("event_time").cast("timestamp_ntz").alias("t"))
+    per = rows.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi"))
+    after = per.withColumn("next", F.lead("lo").over(Window.orderBy("batch")))  # one row a batch
+    return after.agg(F.sum("n").alias("messages"), F.min("lo").alias("first"), F.max("hi").alias("last"),
+                     F.bool_and(F.coalesce(F.col("hi") < F.col("next"), F.lit(True))).alias("in_order")).crossJoin(
+        rows.agg(F.countDistinct("xd_id").alias("segments")))  # one row each
+
+
+_LATEST_PLAIN = fx.with_views(f"""
+SELECT xd_id, {R6('avg_speed')} AS avg_speed, {R6('avg_congestion')} AS avg_congestion, reading_count, window_start, window_end FROM (
+  SELECT *, row_number() OVER (PARTITION BY xd_id ORDER BY window_start DESC) AS rn FROM seg_win)
+WHERE rn = 1""", extra=WINDOW_CTES + ",\n" + SEG_WINDOWS_SQL)
+
+
+@register("stream_keyed_latest", _LATEST_PLAIN)
+def stream_keyed_latest(spark, sf_dir):
+    """The latest state of every segment after many micro-batches, from keyed state."""
+    root = scratch_path(spark, "latest")
+    raw = spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", "8").text(_replayed(spark, sf_dir))
+    LT.start_latest(LV.cleaned_stream(raw), root, scratch_path(spark, "latest-ckpt"), available_now=True,
+                    merge_every=3).awaitTermination()
+    return r6(_ntz_windows(LT.read_latest(spark, root).withColumn("written_at", F.lit(None))))
+
+
+@register("stream_late_readings", fx.with_views(f"""
+SELECT xd_id, measurement_tstamp AS event_time, {R6('speed')} AS speed FROM readings
+WHERE {CLEAN_WHERE} AND measurement_tstamp < TIMESTAMP '2024-01-10 00:00:00'"""))
+def stream_late_readings(spark, sf_dir):
+    """The days from the 12th on come first, the days before the 10th in a
+    second batch: all of these are late, and all are kept."""
+    src, out = scratch_path(spark, "late-in"), scratch_path(spark, "late-out")
+    ck, r = scratch_path(spark, "late-ckpt"), fx.readings(spark, sf_dir)
+    for part in ("measurement_tstamp >= TIMESTAMP '2024-01-12'", "measurement_tstamp < TIMESTAMP '2024-01-10'"):
+        to_messages(r.where(part)).select("value").write.mode("append").text(src)
+        LTE.start_late(LV.cleaned_stream(LV.file_stream(spark, src)), out, ck, available_now=True).awaitTermination()
+    return r6(LTE.read_late(spark, out).select("xd_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "speed"))

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.replay import publish_slices, to_messages
+from ..operators.replay import to_messages
+from ..streaming.replay_query import replay
 
 
 def source_options(bootstrap: str, topic: str, starting: str = "latest",
@@ -60,10 +61,13 @@ def write_kafka(readings: DataFrame, bootstrap: str, topic: str) -> None:
     to_messages(readings).write.format("kafka").options(**sink_options(bootstrap, topic)).save()
 
 
-def replay_kafka(readings: DataFrame, bootstrap: str, topic: str, start, end=None, minutes: int = 10) -> int:
-    """Publish a replay slice by slice in time order, so that no message is
-    late for the readers' watermark. Returns the number of slices."""
-    return publish_slices(readings, lambda part: write_kafka(part, bootstrap, topic), start, end, minutes)
+def replay_kafka(readings: DataFrame, bootstrap: str, topic: str, checkpoint: str, start, end=None, minutes: int = 10,
+                 slices_per_batch: int = 1, interval: str = "0 seconds") -> int:
+    """Publish a replay in time order, micro-batch after micro-batch of slices,
+    so that no message is late for the readers' watermark; a replay that was
+    stopped goes on from its checkpoint. Returns the number of slices."""
+    return replay(readings.sparkSession, readings, lambda part, _: write_kafka(part, bootstrap, topic), checkpoint, start, end,
+                  minutes, slices_per_batch, interval)
 
 
 def console(decoded: DataFrame, rows: int = 20):

@@ -70,13 +70,14 @@ def test_pivot_keeps_every_key(spark):
     assert listed[1]["N"] == 10.0 and listed[1]["other"] == 25.0 and listed[2]["N"] is None and listed[2]["other"] == 40.0
 
 
-def test_slices_are_published_in_order(spark):
+def test_slices_are_published_in_order(spark, tmp_path):
+    from roadpulse.streaming.replay_query import replay
     t = dt.datetime
     rows = [(k, t(2023, 1, 1, h, m), 1.0, 1.0, 1.0) for k, h, m in ((1, 2, 5), (2, 0, 1), (3, 1, 59), (4, 0, 9), (5, 2, 9))]
     seen = []
-    n = RY.publish_slices(spark.createDataFrame(rows, READING), lambda part: seen.append(
-        sorted(r.xd_id for r in part.collect())), "2023-01-01", "2023-01-01 02:08:00", 10)
-    assert n == 3 and seen == [[2, 4], [3], [1]]
+    n = replay(spark, spark.createDataFrame(rows, READING), lambda part, _: seen.append(
+        sorted(r.xd_id for r in part.collect())), str(tmp_path / "ck"), "2023-01-01", "2023-01-01 02:08:00", 10)
+    assert n == 13 and [x for x in seen if x] == [[2, 4], [3], [1]]
 
 
 def test_slice_files_are_few_and_in_time_order(spark, tmp_path):

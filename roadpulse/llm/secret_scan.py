@@ -15,6 +15,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -51,8 +52,8 @@ _KEY_PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
 _KEY_BREAK = re.compile(r"(?:\s|\\+[nrt]|\\+(?=\s))+")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}")
 _URL_SAFE = str.maketrans("-_", "+/")
-#: Characters within which an OpenSSH container tells its length.
-_OPENSSH_CHARS = 1 << 16
+#: More parts than any private key has.
+_MANY_PARTS = 16
 _HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 _OPENSSH = b"openssh-key-v1\0"
 
@@ -77,17 +78,17 @@ def _elements(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | No
     out = []
     while at < end:
         x = _tlv(data, at)
-        if x is None or x[2] > end:
+        if x is None or x[2] > end or len(out) == _MANY_PARTS:
             return None
         out.append(x)
         at = x[2]
     return out
 
 
-def is_private_key(data: bytes) -> bool:
+def is_private_key(data: bytes | _Decoded) -> bool:
     """A private key: PKCS#1, PKCS#8 or SEC 1 in DER, or an OpenSSH container,
     with every nested length consistent."""
-    if data.startswith(_OPENSSH):
+    if data[:len(_OPENSSH)] == _OPENSSH:
         at = len(_OPENSSH)
         for _ in range(3):  # cipher, kdf, kdf options
             n = int.from_bytes(data[at:at + 4], "big")
@@ -156,59 +157,102 @@ def is_pem_key(label: str, body: str) -> bool:
     return "ENCRYPTED" in label and _tlv(data, 0) is not None
 
 
-def _gathered(text: str, at: int, chars: int, whole: bool = True) -> tuple[str, int] | None:
-    """``chars`` base64 characters from ``at`` on, over line ends, and the place
-    after them and their padding. If ``whole``, none if there are fewer, or if
-    the run goes on."""
-    parts = []
-    while m := _KEY_PIECE.match(text, at):
-        parts.append(m[0][:chars])
-        chars -= len(parts[-1])
-        at = m.start() + len(parts[-1])
-        if not chars:
-            if whole and at < m.end():
-                return None
-            break
-        line_end = _KEY_BREAK.match(text, at)
-        if not line_end:
-            break
-        at = line_end.end()
-    if whole and chars:
-        return None
-    end = at + min(2, len(text[at:at + 2]) - len(text[at:at + 2].lstrip("=")))
-    return "".join(parts).translate(_URL_SAFE), end
-
-
-def _openssh_size(data: bytes) -> int | None:
-    """Bytes of the container that ``data`` begins with."""
-    def after(at: int) -> int:
-        return at + 4 + int.from_bytes(data[at:at + 4], "big")
-    at = after(after(after(len(_OPENSSH))))
-    for _ in range(min(int.from_bytes(data[at:at + 4], "big"), 64) + 1):  # public keys, private part
-        at = after(at) if _ else after(at + 4)
-    return at if len(_OPENSSH) < at <= len(data) else None
+class _Run:
+    """Pieces of base64 joined over line ends, from a key start on: each text
+    position is in one run, which is read once for all key starts in it."""
+
+    def __init__(self, text: str, at: int):
+        parts, self.places, self.offsets, size = [], [], [], 0
+        while m := _KEY_PIECE.match(text, at):
+            parts.append(m[0])
+            self.places.append(m.start())
+            self.offsets.append(size)
+            size += len(m[0])
+            self.end = at = m.end()
+            line_end = _KEY_BREAK.match(text, at)
+            if not line_end:
+                break
+            at = line_end.end()
+        self.chars = "".join(parts).translate(_URL_SAFE)
+        self.offsets.append(size)
+
+    def offset(self, place: int) -> int:
+        """Characters before a piece's first."""
+        return self.offsets[bisect_left(self.places, place)]
+
+    def place_after(self, offset: int) -> int | None:
+        """Text position after the first ``offset`` characters, if a piece ends there."""
+        k = bisect_left(self.offsets, offset)
+        if not 0 < k < len(self.offsets) or self.offsets[k] != offset:
+            return None
+        return self.places[k - 1] + offset - self.offsets[k - 1]
+
+
+class _Decoded:
+    """The first ``size`` bytes that base64 characters from ``start`` on stand
+    for; only what is asked for is decoded."""
+
+    def __init__(self, chars: str, start: int, size: int):
+        self.chars, self.start, self.size = chars, start, size
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, at):
+        if isinstance(at, slice):
+            first, end, _ = at.indices(self.size)
+            if first >= end:
+                return b""
+            begin = first // 3
+            part = self.chars[self.start + begin * 4:self.start + -(-end // 3) * 4]
+            return base64.b64decode(part + "=" * (-len(part) % 4))[first - begin * 3:end - begin * 3]
+        return self[at:at + 1][0]
+
+
+def _openssh_size(data: _Decoded) -> int | None:
+    """Bytes of the container that ``data`` begins with, from the lengths of its
+    fields, its public keys (none is empty) and its private part."""
+    at = len(_OPENSSH)
+    fields = 3  # cipher, kdf, kdf options
+    keys = None
+    while fields:
+        if at + 4 > len(data):
+            return None
+        n = int.from_bytes(data[at:at + 4], "big")
+        if keys and not n:
+            return None
+        at, fields = at + 4 + n, fields - 1
+        if not fields and keys is None:
+            keys = int.from_bytes(data[at:at + 4], "big")
+            at, fields = at + 4, keys + 1
+    return at if at <= len(data) else None
 
 
 def wrapped_keys(text: str) -> Iterator[tuple[int, int]]:
     """(start, end) of private keys in base64 of either alphabet, on one line or
-    wrapped. The length that the encoding states tells where a key ends."""
+    wrapped. The length that the encoding states tells where a key ends; of a
+    candidate only the bytes that state lengths are decoded, so a text of many
+    key starts takes linear time."""
+    run = None
     for m in _KEY_START.finditer(text):
-        head = _decode64(m[0][:12].translate(_URL_SAFE))
-        if head.startswith(_OPENSSH[:9]):
-            read, _ = _gathered(text, m.start(), _OPENSSH_CHARS, whole=False)
-            data = _decode64(read[:len(read) // 4 * 4])
-            size = _openssh_size(data) if data.startswith(_OPENSSH) else None
+        if run is None or m.start() >= run.end:
+            run = _Run(text, m.start())
+        start = run.offset(m.start())
+        data = _Decoded(run.chars, start, (len(run.chars) - start) * 3 // 4)
+        if data[:9] == _OPENSSH[:9]:
+            size = _openssh_size(data) if data[:len(_OPENSSH)] == _OPENSSH else None
         else:
+            head = data[:9]
             more = head[1] & 0x7F if head[1] & 0x80 else 0
-            start = 2 + more
-            size = start + (int.from_bytes(head[2:start], "big") if more else head[1])
-            if head[0] != 0x30 or more > 4 or head[start:start + 2] != b"\x02\x01":  # a key begins with its version
+            begin = 2 + more
+            size = begin + (int.from_bytes(head[2:begin], "big") if more else head[1])
+            if head[0] != 0x30 or more > 4 or head[begin:begin + 2] != b"\x02\x01":  # a key begins with its version
                 continue
-        if size is None or (chars := -(-size * 4 // 3)) > len(text) - m.start():
+        if size is None or size > len(data):
             continue
-        found = _gathered(text, m.start(), chars)
-        if found and (data := _decode64(found[0])) and is_private_key(data):
-            yield m.start(), found[1]
+        end = run.place_after(start - (-size * 4 // 3))
+        if end is not None and is_private_key(_Decoded(run.chars, start, size)):
+            yield m.start(), end + min(2, len(text[end:end + 2]) - len(text[end:end + 2].lstrip("=")))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:

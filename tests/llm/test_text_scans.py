@@ -5,8 +5,10 @@ import hashlib
 import json
 import random
 import re
+import time
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.llm import quality_rules, secret_scan, url_filter
@@ -187,3 +189,26 @@ def test_repeated_words(spark):
         n = Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
         return len({i + j for i in range(len(w) - 2) if n[tuple(w[i:i + 3])] > 1 for j in range(3)})
     assert got == [want(t) for t in texts]
+
+
+def test_many_key_starts_take_linear_time():
+    """Lines that each look like the start of a key, one long run of base64, and container names."""
+    for line in ("MIIEvgIBADANBgkqhkiG", "b3BlbnNzaC1rZXktdjEAAAAA", "MIGHAgEAMBMGByqGSM49"):
+        for join in ("\n", "\\n", "\r\n  "):
+            text = join.join([line] * (1_000_000 // len(line)))
+            began = time.monotonic()
+            assert list(secret_scan.wrapped_keys(text)) == []
+            assert time.monotonic() - began < 10
+
+
+@pytest.mark.parametrize("keys, size", [(1, 200_000), (100, 500), (1, 100)])
+def test_containers_of_any_length_are_found(keys, size):
+    def field(b):
+        return len(b).to_bytes(4, "big") + b
+    rng = random.Random(size)
+    blob = (b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + keys.to_bytes(4, "big")
+            + b"".join(field(b"ssh-ed25519" + rng.randbytes(40)) for _ in range(keys)) + field(rng.randbytes(size)))
+    encoded = base64.b64encode(blob).decode()
+    wrapped = "\n".join(encoded[i:i + 70] for i in range(0, len(encoded), 70))
+    text = "before\n" + wrapped + "\nafter that"
+    assert (7, 7 + len(wrapped), "key64") in secret_scan.spans(text)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from roadpulse.llm import chat_format, mixing, sentence_pieces
+from roadpulse.llm import chat_format, mixing, sentence_pieces, vector_search
 from roadpulse.llm.vector_search import hadamard, nearest
 
 from .conftest import SF
@@ -165,3 +165,30 @@ def test_pieces_cases(docs_of, edges):
         got = Counter((r.doc_id, r.text) for r in sentence_pieces.decode(encoded).collect())
         assert got == Counter((i, t or "") for i, t in edges)
     assert sentence_pieces.encode_report(docs_of([])).collect() == []
+
+
+def recall(spark, rows, queries, k=20):
+    """Of ``rows`` (n x d): the share of the true neighbours of the first ``queries`` that are found."""
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in vector_search.nearest(df, df.where(F.col("vec_id") < queries), k).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    score = rows[:queries] @ rows.T
+    score[np.arange(queries), np.arange(queries)] = -np.inf
+    true = np.argsort(-score, axis=1, kind="stable")[:, :k]
+    return np.mean([len(found[i] & set(t)) / k for i, t in enumerate(true.tolist())])
+
+
+@pytest.mark.parametrize("dim, n, queries", [(16, 3000, 60), (64, 3000, 60), (256, 2000, 20), (768, 1500, 8)])
+def test_recall_by_dimension(spark, dim, n, queries):
+    rows = np.random.default_rng(dim).normal(size=(n, dim))
+    assert recall(spark, rows / np.linalg.norm(rows, axis=1)[:, None], queries) >= 0.9
+
+
+@pytest.mark.parametrize("long", [vector_search.FEW_VECTORS, vector_search.FEW_VECTORS + 1])
+def test_recall_at_the_edge_of_whole_octaves(spark, long):
+    rng = np.random.default_rng(long)
+    rows = rng.normal(size=(4000, 64))
+    rows /= np.linalg.norm(rows, axis=1)[:, None]
+    rows[rng.permutation(4000)[:long]] *= 10
+    assert recall(spark, rows, 60) >= 0.9

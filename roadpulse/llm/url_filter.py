@@ -21,9 +21,22 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 # The host rules of the contract (action, rule) and the vocabulary.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-STRICT = ("adult", "casino", "escort", "hentai", "porn", "spam", "viagra", "xxx")
-SOFT = {"ads": 1.0, "bets": 1.0, "bonus": 1.0, "cheap": 1.0, "farm": 1.0, "free": 1.0, "loans": 1.0,
-        "pills": 1.0, "track": 1.0, "win": 1.0}
+STRICT = ("adult", "bestiality", "camgirls", "casino", "cialis", "escort", "escorts", "gangbang", "hardcore-sex", "hentai",
+          "jackpot", "keylogger", "live-sex", "malware", "milf", "nudes", "onlyfans-leaks", "payday-loans", "phishing", "porn",
+          "porno", "pornography", "replica-watches", "sex-cams", "sexcam", "sexchat", "slot-machine", "slots", "spam", "spyware",
+          "torrents", "tramadol", "viagra", "warez", "webcam-sex", "xanax", "xxx", "xxx-videos")
+SOFT = {"ads": 1.0, "affiliate": 1.0, "aff": 0.5, "babes": 1.0, "baccarat": 1.5, "backlinks": 1.0, "banner": 0.5, "bet": 1.0,
+        "bets": 1.0, "betting": 1.0, "bingo": 1.0, "blackjack": 1.5, "bonus": 1.0, "bookmaker": 1.5, "buy": 0.5, "buy-now": 1.0,
+        "cash": 0.5, "cheap": 1.0, "cheats": 1.0, "click": 0.5, "clickbait": 1.0, "clicks": 1.0, "coupon": 1.0, "coupons": 1.0,
+        "crack": 1.0, "cracked": 1.0, "credit": 0.5, "dating": 1.0, "deal": 0.5, "deals": 0.5, "diet": 0.5, "discount": 1.0,
+        "doorway": 1.0, "download-now": 1.0, "earn": 0.5, "earn-money": 1.5, "essay": 0.5, "farm": 1.0, "followers": 0.5,
+        "forex": 1.0, "free": 1.0, "gamble": 1.5, "gambling": 1.5, "gift-card": 1.0, "giveaway": 1.0, "hack": 0.5, "hacks": 1.0,
+        "hot": 0.5, "keygen": 1.5, "lingerie": 1.0, "loan": 1.0, "loans": 1.0, "lottery": 1.5, "lotto": 1.5, "make-money": 1.5,
+        "mortgage": 0.5, "naked": 1.0, "nude": 1.0, "nulled": 1.5, "offer": 0.5, "offers": 0.5, "payday": 1.0, "penis": 1.0,
+        "pharmacy": 1.0, "pills": 1.0, "poker": 1.5, "popup": 1.0, "prize": 1.0, "promo": 1.0, "redirect": 0.5, "refinance": 1.0,
+        "replica": 1.0, "ringtones": 1.0, "roulette": 1.5, "seo": 0.5, "serial-key": 1.5, "sex": 1.5, "sexy": 1.0, "singles": 0.5,
+        "slim": 0.5, "sponsored": 1.0, "sweepstakes": 1.5, "torrent": 1.0, "track": 1.0, "tracker": 0.5, "traffic": 0.5,
+        "utm": 0.5, "voucher": 1.0, "weight-loss": 1.0, "win": 1.0, "winner": 1.0}
 SOFT_LIMIT = 2.0
 #: Most rules or terms one filter takes; each task holds them.
 MAX_ENTRIES = 100_000

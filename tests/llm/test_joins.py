@@ -136,3 +136,21 @@ def test_band_settings(words):
     for place in range(3 * s):
         assert any(k * s <= place and place + words <= k * s + 2 * s for k in (place // s, place // s - 1))
     assert 1 - (1 - license_scan.least_similarity(words)) ** license_scan.bands(words) >= license_scan.GUARANTEE
+
+
+def test_each_license_and_its_near_misses(docs_of):
+    """Every template is found in filler under its own license alone, or with
+    others whose templates it holds whole; long texts are found by pieces."""
+    filler = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor " * 3
+    templates = license_scan.TEMPLATES
+    long = " ".join(f"clause{i} of the long agreement between party{i % 97}" for i in range(600))
+    rows = [(i, filler + text + ". " + filler) for i, (_, text) in enumerate(templates)] + [(900, filler + long)]
+    found = {}
+    for r in license_scan.scan_licenses(docs_of(rows), templates=(*templates, ("long", long))).collect():
+        found.setdefault(r.doc_id, {})[r.license] = r.containment
+    for i, (name, _) in enumerate(templates):
+        assert found[i][name] == 1.0, (name, found.get(i))
+        for kin in license_scan.FAMILIES.values():
+            own = set(found[i]) & set(kin)
+            assert not own or name not in kin or own == {name}, (name, own)
+    assert found[900] == {"long": 1.0} and len(license_scan.in_pieces([("long", long)])) > 5

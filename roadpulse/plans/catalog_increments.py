@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..operators import historical as H
+from ..operators import report as RP
 from ..operators import sketches as SK
 from ..operators.prepare import with_partitions
 from ..operators.replay import to_messages
-from ..operators.transform import parse, score
+from ..operators.transform import enrich, parse, score
 from ..session import scratch_path
 from ..sources import layout as LY
 from ..sources import readers as RD
+from ..sources.writers import write_small_single_file
 from ..streaming import late as LTE
 from ..streaming import latest as LT
 from ..streaming import live as LV
@@ -23,9 +25,9 @@ from ..streaming import replay_query as RQ
 from ..streaming import slots as SL
 from . import incremental as INC
 from . import rollup as RU
-from .catalog import (_CSV_WRITE, _KEY_SQL, CLEAN_WHERE, CLOSED, F32, INGEST_HIST, INGEST_REPLAY, M, ORACLE, R6, SCORE_SQL, SEG_WIN_SELECT,
+from .catalog import (_CSV_WRITE, _KEY_SQL, CLEAN_WHERE, CLOSED, F32, INGEST_HIST, INGEST_REPLAY, M, MONTH_LABEL_SQL, ORACLE, R6, SCORE_SQL, SEG_WIN_SELECT,
                       SEG_WINDOWS_SQL, STORED_SQL, WIN_COLS, WINDOW_CTES, Y, _between, _cleaned, _ingested, _ntz_windows,
-                      _once, r6, register)
+                      _once, _result_cte, r6, register)
 
 
 # Files as they arrive
@@ -291,3 +293,66 @@ def stream_late_readings(spark, sf_dir):
         to_messages(r.where(part)).select("value").write.mode("append").text(src)
         LTE.start_late(LV.cleaned_stream(LV.file_stream(spark, src)), out, ck, available_now=True).awaitTermination()
     return r6(LTE.read_late(spark, out).select("xd_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "speed"))
+
+
+# Paths of the readers and writers without a row of their own
+
+_READING_COLS = f"""xd_id, measurement_tstamp, {R6(F32.format(c='speed'))} AS speed,
+  {R6(F32.format(c='reference_speed'))} AS reference_speed"""
+
+
+@register("readings_of_a_year", fx.with_views(f"""
+SELECT {_READING_COLS}, {Y} AS year, {M} AS month FROM readings
+WHERE {_between(INGEST_HIST)} AND year(measurement_tstamp) = 1997""", long=True))
+def readings_of_a_year(spark, sf_dir):
+    """One year of a partitioned root (the other years are pruned)."""
+    _, raw = _ingested(spark, sf_dir)
+    return r6(RD.read_readings(spark, raw, year=1997).drop("confidence_score"))
+
+
+CLIP = ("1996-11-15 06:00:00", "1997-02-10 12:00:00")
+
+
+@register("readings_clipped", fx.with_views(f"""
+SELECT {_READING_COLS}, {Y} AS year, {M} AS month FROM readings WHERE {_between(INGEST_HIST)}
+  AND measurement_tstamp BETWEEN TIMESTAMP '{CLIP[0]}' AND TIMESTAMP '{CLIP[1]}'""", long=True))
+def readings_clipped(spark, sf_dir):
+    """Readings of a time range over several months of a partitioned root,
+    pruned to the months that it touches."""
+    _, raw = _ingested(spark, sf_dir)
+    return r6(RD.read_readings(spark, raw, start=CLIP[0], end=CLIP[1]).drop("confidence_score"))
+
+
+@register("result_unpartitioned", fx.with_views(f"""
+SELECT {Y} AS year, {_KEY_SQL['by_hour'][0]} AS hour, {R6('avg(speed)')} AS avg_speed, {R6(f'avg({SCORE_SQL})')} AS avg_congestion_score
+FROM readings r JOIN segments s ON r.xd_id = s.xd GROUP BY ALL""", long=True))
+def result_unpartitioned(spark, sf_dir):
+    """A result written whole over an earlier one, without partitions."""
+    path = scratch_path(spark, "unpartitioned")
+    enriched = enrich(score(fx.readings_long(spark, sf_dir)), fx.segments(spark, sf_dir), "inner")
+    write_small_single_file(H.mean_by(enriched.where("xd_id < 3"), "by_hour", H.YEARLY), path)
+    write_small_single_file(H.mean_by(enriched, "by_hour", H.YEARLY), path)
+    return r6(spark.read.parquet(path))
+
+
+@register("files_in_time_order", fx.with_views(f"""
+SELECT count(*) AS readings, 0 AS out_of_order FROM readings WHERE {_between(INGEST_HIST)}""", long=True))
+def files_in_time_order(spark, sf_dir):
+    """Readings of the compacted files that stand before an earlier one of their file."""
+    _, raw = _ingested(spark, sf_dir)
+    rows = spark.read.parquet(raw).select("measurement_tstamp", F.col("_metadata.file_path").alias("file"),
+                                          F.monotonically_increasing_id().alias("place"))
+    # A file has at most the writer's number of records.
+    before = F.lag("measurement_tstamp").over(Window.partitionBy("file").orderBy("place"))
+    return rows.withColumn("before", before).agg(
+        F.count(F.lit(1)).alias("readings"), F.count_if(F.col("before") > F.col("measurement_tstamp")).cast("int").alias("out_of_order"))
+
+
+@register("month_pivot_found_keys", fx.with_views(f"""
+SELECT year, month, {', '.join(f"{R6(f'avg(avg_speed) FILTER (WHERE hour = {h})')} AS '{h}'" for h in range(24))},
+       {MONTH_LABEL_SQL} AS month_label
+FROM res GROUP BY year, month""", long=True, extra=_result_cte("by_hour")))
+def month_pivot_found_keys(spark, sf_dir):
+    """Month x hour matrix with a column for every key found in the results."""
+    enriched = enrich(score(fx.readings_long(spark, sf_dir)), fx.segments(spark, sf_dir), "inner")
+    return r6(RP.month_pivot(H.mean_by(enriched, "by_hour", H.MONTHLY), "hour"))

@@ -50,6 +50,8 @@ PERCENT = 75
 ROUNDS, PICKS, FEW_PAIRS, WORTH = 6, (3, 8), 4, 0.9
 #: Bits of the bitmap of surviving classes (16 MB); a fixed size.
 BITMAP_BITS = 1 << 27
+#: 64-bit words of a set's token map.
+MAP_WORDS = 16
 #: Word hashes and classes a task remembers.
 CACHE_WORDS, CACHE_CLASSES = 500_000, 100_000
 BATCH_TOKENS = 1_000_000
@@ -121,6 +123,13 @@ def least_shared(n: int, percent: int) -> int:
     return spare(least_common(n, percent))
 
 
+def token_map(tokens: np.ndarray) -> np.ndarray:
+    """The tokens' low bits as a bitmap."""
+    spots = np.zeros(64 * MAP_WORDS, np.uint8)
+    spots[(tokens % np.uint64(64 * MAP_WORDS)).astype(np.int64)] = 1
+    return np.packbits(spots, bitorder="little").view(np.uint64)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
     flat = np.concatenate(arrays).view(np.int64) if arrays else np.zeros(0, np.int64)
@@ -217,6 +226,18 @@ def rare_prefixes(sets: DataFrame, percent: int) -> DataFrame:
             .select(F.col("x")["token"].alias("token"), "cid", "n", (F.col("n") - F.col("s") + F.col("at") + 1).alias("pos")))
 
 
+def told_apart(buckets: DataFrame) -> DataFrame:
+    """``buckets`` without tokens that say no more than another: of the tokens
+    held by exactly the same classes, the first in the global order, which every
+    class has before the others, stands for all (a passage that many documents
+    share would else pair them once for each of its shingles)."""
+    # 128 bits of the set of classes, as an aggregate without gathering them.
+    same = [F.bit_xor(F.xxhash64("cid")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("s2"), F.count(F.lit(1)).alias("n")]
+    sets = buckets.groupBy("token").agg(*same, F.sum("pos").alias("place"))
+    first = sets.groupBy("s1", "s2", "n").agg(F.min(F.struct("place", "token"))["token"].alias("token"))
+    return buckets.join(first.select("token"), "token", "left_semi")
+
+
 def class_bitmap(classes: DataFrame) -> bytes:
     """Bitmap of the low bits of the classes' ids: BITMAP_BITS / 8 bytes,
     however many classes there are."""
@@ -230,8 +251,9 @@ def class_bitmap(classes: DataFrame) -> bytes:
 
 
 def class_sets(docs: DataFrame, bitmap, words: int, percent: int) -> DataFrame:
-    """(cid, n, tokens, second): whole sets of the classes in the (broadcast)
-    bitmap, one row a class, and their plain prefix in the second hash order."""
+    """(cid, n, tokens, second, bits): whole sets of the classes in the
+    (broadcast) bitmap, one row a class, their plain prefix in the second hash
+    order, and a map of the tokens' low bits (MAP_WORDS words)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, recent, bits = Shingler(words), _Recent(), bitmap.value
         for b in batches:
@@ -252,13 +274,14 @@ def class_sets(docs: DataFrame, bitmap, words: int, percent: int) -> DataFrame:
             if held:
                 yield _set_batch(held)
 
-    return _texts(docs).mapInArrow(run, "cid long, n int, tokens array<long>, second array<long>")
+    return _texts(docs).mapInArrow(run, "cid long, n int, tokens array<long>, second array<long>, bits array<long>")
 
 
 def _set_batch(held: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([h[0] for h in held], pa.int64()), pa.array([len(h[1]) for h in held], pa.int32()),
-         _lists([h[1] for h in held]), _lists([h[2] for h in held])], names=["cid", "n", "tokens", "second"])
+         _lists([h[1] for h in held]), _lists([h[2] for h in held]), _lists([token_map(h[1]) for h in held])],
+        names=["cid", "n", "tokens", "second", "bits"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -317,13 +340,25 @@ def _some_pairs(buckets: DataFrame, turn: int, percent: int) -> DataFrame:
                        F.when(swap, F.col("comp")).otherwise(hub["hub_comp"]).alias("yc")).distinct()
 
 
-def _remaining(buckets: DataFrame, percent: int) -> DataFrame:
-    """All pairs between components that can link."""
+def _common_at_most(n: str, bits: str, others: str):
+    """Upper bound of the tokens in common: a bit that the other set's map
+    lacks stands for a token at least that it lacks."""
+    missing = [F.bit_count(F.col(bits)[i].bitwiseAND(F.bitwise_not(F.col(others)[i]))) for i in range(MAP_WORDS)]
+    return F.col(n) - sum(missing[1:], missing[0])
+
+
+def _remaining(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs between components that can link: by their places, and by the
+    token maps of their whole sets."""
+    mapped = buckets.join(sets.select("cid", "bits"), "cid")
+
     def side(c: str) -> DataFrame:
-        return buckets.select("token", F.col("cid").alias(c), F.col("comp").alias(f"{c}c"), F.col("n").alias(f"{c}n"),
-                              F.col("pos").alias(f"{c}pos"))
+        return mapped.select("token", F.col("cid").alias(c), F.col("comp").alias(f"{c}c"), F.col("n").alias(f"{c}n"),
+                             F.col("pos").alias(f"{c}pos"), F.col("bits").alias(f"{c}bits"))
     fits = _may_link(F.col("xn"), F.col("xpos"), F.col("yn"), F.col("ypos"), percent)
-    return (side("x").join(side("y"), "token").where((F.col("x") < F.col("y")) & (F.col("xc") != F.col("yc")) & fits)
+    needed = F.ceil((F.col("xn") + F.col("yn")) * percent / F.lit(100 + percent))
+    enough = (_common_at_most("xn", "xbits", "ybits") >= needed) & (_common_at_most("yn", "ybits", "xbits") >= needed)
+    return (side("x").join(side("y"), "token").where((F.col("x") < F.col("y")) & (F.col("xc") != F.col("yc")) & fits & enough)
             .select("x", "y", "xc", "yc").distinct())
 
 
@@ -343,7 +378,9 @@ def class_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = class_sets(docs, bitmap, words, percent).repartition(parts, "cid").dropDuplicates(["cid"]).persist()
     try:
-        held = cut(rare_prefixes(sets, percent), "ngram-prefixes")
+        prefixes = cut(rare_prefixes(sets, percent), "ngram-prefixes")
+        held = cut(told_apart(prefixes), "ngram-told-apart")
+        discard(prefixes)
         buckets, joined = held.withColumn("comp", F.col("cid")), None
         named = labels = cut(buckets.select("cid", "comp").distinct(), "ngram-labels")
         before = 0
@@ -354,7 +391,7 @@ def class_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
             rows, left = _pairs_left(buckets)
             last = turn == ROUNDS or turn > 0 and (left <= FEW_PAIRS * rows or left > before * WORTH)
             before = left
-            pairs = _remaining(buckets, percent) if last else _some_pairs(buckets, turn, percent)
+            pairs = _remaining(buckets, sets, percent) if last else _some_pairs(buckets, turn, percent)
             # Links between components, and the components these join.
             links = cut(verified(pairs, sets, percent).select(
                 F.least("xc", "yc").alias("x"), F.greatest("xc", "yc").alias("y")).distinct(), "ngram-links")

@@ -152,7 +152,8 @@ def judge_quality(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_percen
 def _judged(docs: DataFrame, whole: bool, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT,
             max_word_distance: float = MAX_WORD_DISTANCE, max_char_distance: float = MAX_CHAR_DISTANCE) -> DataFrame:
     made = cut(features(docs, whole), "quality-features")
-    joined = made.join(references(made), F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
+    # Written, so that the planner knows its size (a row a language) before it places the join.
+    joined = made.join(cut(references(made), "quality-references"), F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     failed = ((F.col("n_words") < min_words)
               | (F.lit(100) * F.col("n_repeat_words") > F.lit(max_repeat_percent) * F.col("n_words")))
     far = (((F.col("n_words") >= MIN_COMPARED_WORDS) & (F.col("word_distance") > max_word_distance))

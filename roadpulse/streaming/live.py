@@ -16,7 +16,6 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -129,11 +128,10 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
     """Id of the run that a checkpoint folder belongs to: kept in the folder,
     so a restart keeps it and a fresh checkpoint gets a new, later one."""
     path = f"{checkpoint.rstrip('/')}/run_id"
-    try:
+    # Looked up first: reading a path that isn't there logs a Java stack trace for every fresh checkpoint.
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return spark.read.text(path).first()["value"]
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
     made = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     spark.createDataFrame([(made,)], "value string").coalesce(1).write.text(path)
     return made

@@ -69,25 +69,26 @@ class SnapshotWriter:
         return (slot + 1) % self.keep, slot, int(newest["version"]) + 1
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        # Two actions follow (empty check, write): keep the micro-batch output
-        # instead of running the stateful plan twice.
-        batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+        # Two actions follow (empty check, write): keep the newest rows, one a
+        # segment, instead of running the stateful plan twice or keeping all
+        # windows of the micro-batch.
+        spark = batch_df.sparkSession
+        newest = latest(batch_df).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if batch_df.isEmpty():
+            if newest.isEmpty():
                 return
-            spark = batch_df.sparkSession
             slot, prev_slot, version = self._slots(spark, int(batch_id))
             if slot is None:
                 return
             previous = None
             if self.carry_forward and prev_slot is not None:
                 previous = spark.read.parquet(f"{self.root}/data/slot={prev_slot}")
-            snap = latest(batch_df, previous=previous)
+            snap = newest if previous is None else latest(newest, previous=previous)
             if self.segments is not None:
-                snap = enrich(snap, self.segments, "left", again=True)
+                snap = enrich(snap, self.segments, "left", again=True, repeated=True)
             snap.write.mode("overwrite").parquet(f"{self.root}/data/slot={slot}")
             (spark.createDataFrame([(version, self.run, int(batch_id))], "version LONG, run STRING, batch_id LONG")
              .write.mode("overwrite").parquet(f"{self.root}/commits/slot={slot}"))
             self._none_committed = False
         finally:
-            batch_df.unpersist()
+            newest.unpersist()

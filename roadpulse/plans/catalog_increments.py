@@ -34,8 +34,10 @@ from .catalog import (_CSV_WRITE, _KEY_SQL, CLEAN_WHERE, CLOSED, F32, INGEST_HIS
 
 @_once("ingest_new")
 def _arrived(spark, sf_dir):
-    """Two files of readings with columns in different order, then a third; then
-    the same folder again, with the old ledger and with a new one."""
+    """Two folders of readings with columns in different order, then a third; then
+    the same folders again, with the old ledger and with a new one. A folder has
+    as many files as the readings have input splits, so no task writes a third
+    of them."""
     csv, out, ck = (scratch_path(spark, f"arriving-{n}") for n in ("csv", "out", "ckpt"))
     r = fx.readings_long(spark, sf_dir)
     part = F.pmod(F.xxhash64("xd_id", "measurement_tstamp", "speed"), F.lit(3))
@@ -43,9 +45,9 @@ def _arrived(spark, sf_dir):
     for k, cols in enumerate((["speed", "xd_id", "reference_speed", "measurement_tstamp", "confidence_score"],
                               ["xd_id", "measurement_tstamp", "confidence_score", "speed", "reference_speed"],
                               ["measurement_tstamp", "speed", "reference_speed", "confidence_score", "xd_id"])):
-        r.where(part == k).select(F.lit(k).alias("county"), *cols).coalesce(1).write.options(**_CSV_WRITE).csv(f"{csv}/{k}")
+        r.where(part == k).select(F.lit(k).alias("county"), *cols).write.options(**_CSV_WRITE).csv(f"{csv}/{k}")
         if k:
-            counts.append(INC.ingest_new(spark, csv, out, ck, INGEST_HIST, INGEST_REPLAY, max_files=1))
+            counts.append(INC.ingest_new(spark, csv, out, ck, INGEST_HIST, INGEST_REPLAY))
     for again in (ck, f"{ck}-new"):
         counts.append(INC.ingest_new(spark, csv, out, again, INGEST_HIST, INGEST_REPLAY))
     return out, counts

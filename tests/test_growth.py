@@ -63,3 +63,28 @@ def test_the_snapshot_keeps_a_row_a_segment_of_a_batch(spark, tmp_path, monkeypa
     assert len(persisted) == 1 and persisted[0] is kept[0]
     rows = spark.read.parquet(str(tmp_path / "snap/data/slot=0")).collect()
     assert sorted((r.xd_id, r.avg_speed) for r in rows) == [(0, 597.0), (1, 598.0), (2, 599.0)]
+
+
+def _lineitem(spark, path, files=3, rows=300):
+    n = F.col("id")
+    spark.range(0, rows, 1, files).select(
+        (n % 7).alias("l_suppkey"), n.alias("l_orderkey"), (n % 50 + 1).cast("double").alias("l_quantity"),
+        (n + 100).cast("double").alias("l_extendedprice"), F.lit(0.1).alias("l_discount"),
+        F.timestamp_add("DAY", (n % 1200).cast("int"), F.lit("1996-01-01").cast("timestamp_ntz")).alias("l_shipdate"),
+    ).write.parquet(f"{path}/lineitem.parquet")
+
+
+def test_arriving_files_are_written_by_every_input_task(spark, tmp_path):
+    from roadpulse.plans import catalog_increments as CI
+    from roadpulse.plans import incremental as INC
+    _lineitem(spark, str(tmp_path))
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task for every file
+    try:
+        out, counts = CI._arrived(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    taken = INC.read_ledger(spark, out).select(F.regexp_extract("path", "/(\\d)/[^/]*$", 1).alias("folder"), "path").distinct()
+    assert {r.folder: r["count"] for r in taken.groupBy("folder").count().collect()} == {"0": 3, "1": 3, "2": 3}
+    assert [c["total_rows"] for c in counts][2:] == [0, 300] and sum(c["total_rows"] for c in counts[:2]) == 300
+    assert spark.read.parquet(out).count() == 300

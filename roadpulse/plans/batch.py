@@ -1,11 +1,12 @@
 """The historical batch job and the yearly compaction of its results.
 
-One scan of the readings feeds all five results: they are read and shuffled
-once, as partial sums per (period, hour, weekday, segment), which fold into the
-bounded (period, hour, weekday, class, direction) cube and the sums per
-segment. The aggregate is checkpointed to the shared checkpoint
-folder (lineage cut, survives executor loss) and the five results are
-derived from it.
+Two scans of the readings feed all five results: one for the (period, hour,
+weekday, class, direction) cube, which is bounded by the calendar and leaves
+each task as a few thousand rows, one for the sums per (period, segment). (Sums
+per hour, weekday and segment, which would feed both, are nearly as many as the
+readings: they were shuffled twice and checkpointed in between.) The cube is
+checkpointed to the shared checkpoint folder (lineage cut, survives executor
+loss) and the four means are derived from it.
 """
 
 from __future__ import annotations
@@ -26,15 +27,14 @@ def historical_aggregates(scored: DataFrame, segments: DataFrame,
                           period: Sequence[str] = H.MONTHLY,
                           checkpoint: bool = False) -> tuple[DataFrame, DataFrame]:
     """(cube, per-segment sums) of scored readings, readings of unknown
-    segments excluded. Both fold one aggregate of the readings per (period,
-    hour, weekday, segment), checkpointed once when asked; no reading is
-    shuffled for a join with the lookup."""
-    sums = H.segment_hour_sums(scored, period)
+    segments excluded. The cube, which several results read, is checkpointed
+    when asked; no reading is shuffled for its join with a lookup that can be
+    broadcast."""
+    cube = H.mean_cube(enrich(scored, segments, "inner", attrs=["frc", "bearing"]), period)
     if checkpoint:
         ensure_checkpoint_dir(scored.sparkSession)
-        sums = sums.checkpoint()
-    known = enrich(H.fold(sums, [*period, "xd_id"]), segments, "inner", attrs=[])
-    return H.cube_from_sums(sums, segments, period), known
+        cube = cube.checkpoint()
+    return cube, enrich(H.segment_sums(scored, period), segments, "inner", attrs=[])
 
 
 def segment_means_from_sums(seg: DataFrame, segments: DataFrame,

@@ -88,3 +88,34 @@ def test_arriving_files_are_written_by_every_input_task(spark, tmp_path):
     assert {r.folder: r["count"] for r in taken.groupBy("folder").count().collect()} == {"0": 3, "1": 3, "2": 3}
     assert [c["total_rows"] for c in counts][2:] == [0, 300] and sum(c["total_rows"] for c in counts[:2]) == 300
     assert spark.read.parquet(out).count() == 300
+
+
+def test_historical_results_shuffle_no_row_per_reading(spark):
+    from roadpulse.operators import historical as H
+    from roadpulse.plans import batch as B
+    t = dt.datetime(2023, 1, 1)
+    readings = spark.createDataFrame([(k % 3, t + dt.timedelta(hours=k), 10.0 + k % 5, 20.0, 30.0) for k in range(200)]
+                                     + [(9, t, 1.0, 1.0, 1.0), (None, t, 1.0, 1.0, 1.0)], READING)
+    segments = spark.createDataFrame([(k, f"r{k}", k + 1, "N", 1.0, 1.0, 1.0, 1.0) for k in range(3)], SEGMENT)
+    scored = TR.score(readings)
+    cube, seg = B.historical_aggregates(scored, segments)
+    for part in (cube, seg):  # no aggregate over hour, weekday and segment
+        assert not any("xd_id" in line and "hour" in line for line in _plan(part).splitlines() if line.lstrip("+-: !").startswith("Aggregate"))
+    sums = H.segment_hour_sums(scored)
+    for got, want in ((cube, H.cube_from_sums(sums, segments)),
+                      (seg, H.fold(sums.where("xd_id < 3"), ["year", "month", "xd_id"]))):
+        def rows(df):
+            return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(*sorted(want.columns)).collect())
+        assert rows(got) == rows(want)
+
+
+def test_compaction_and_ingest_size_their_sorts_by_rows(spark, tmp_path, monkeypatch):
+    from roadpulse.plans import prepare as PR
+    monkeypatch.setattr(PR, "SORTED_ROWS", 50, raising=False)
+    t = dt.datetime(2023, 1, 5)
+    rows = [(k % 9, t + dt.timedelta(minutes=k), 1.0, 2.0, 3.0, 2023, 1) for k in range(400)]
+    spark.createDataFrame(rows, "xd_id long, measurement_tstamp timestamp_ntz, speed double, reference_speed double, "
+                          "confidence_score double, year int, month int").write.partitionBy("year", "month").parquet(str(tmp_path / "raw"))
+    PR.compact_raw(spark, str(tmp_path / "raw"), str(tmp_path / "sorted"))
+    files = glob.glob(str(tmp_path / "sorted/year=2023/month=1/*.parquet"))
+    assert len(files) >= 6 and spark.read.parquet(str(tmp_path / "sorted")).count() == 400

@@ -9,10 +9,10 @@ and a batch writes the segments it changed, nothing else.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -23,10 +23,12 @@ _STATE = "slot long, s_speed double, n_speed long, s_score double, n_score long,
 _CHANGE = ("xd_id long, avg_speed double, avg_congestion double, reading_count long, window_start timestamp, "
            "window_end timestamp, expired boolean")
 _MINUTE = 60_000_000  # microseconds
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
 
 class LatestState(StatefulProcessor):
-    """Sums of a segment's newest slot."""
+    """Sums of a segment's newest slot. Rows, not pandas frames: a batch brings
+    a segment a few readings, less than the cost of a frame in and one out."""
 
     def __init__(self, duration: int, slide: int, expire: int | None):
         self.duration, self.slide, self.expire = duration * _MINUTE, slide * _MINUTE, expire and expire * _MINUTE
@@ -35,18 +37,21 @@ class LatestState(StatefulProcessor):
         self.handle = handle
         self.latest = handle.getValueState("latest", _STATE)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held = self.latest.get() if self.latest.exists() else None
         changed = False
-        for batch in rows:
-            newest = int(batch["slot"].max())
-            if held is not None and newest < held[0]:
+        for row in rows:
+            if held is not None and row["slot"] < held[0]:
                 continue
-            own = batch[batch["slot"] == newest]
-            before = held if held is not None and held[0] == newest else (newest, 0.0, 0, 0.0, 0, 0, held[6] if held else 0)
-            held = (newest, before[1] + float(own["speed"].sum()), before[2] + int(own["speed"].count()),
-                    before[3] + float(own["congestion_score"].sum()), before[4] + int(own["congestion_score"].count()),
-                    before[5] + len(own), before[6])
+            same = held is not None and row["slot"] == held[0]
+            slot, s_speed, n_speed, s_score, n_score, n, timer = held if same else (
+                row["slot"], 0.0, 0, 0.0, 0, 0, held[6] if held else 0)
+            speed, score = row["speed"], row["congestion_score"]
+            if speed is not None:
+                s_speed, n_speed = s_speed + speed, n_speed + 1
+            if score is not None:
+                s_score, n_score = s_score + score, n_score + 1
+            held = (slot, s_speed, n_speed, s_score, n_score, n + 1, timer)
             changed = True
         if not changed:
             return
@@ -60,7 +65,7 @@ class LatestState(StatefulProcessor):
         self.latest.update(held)
         yield self._row(key, held, False)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         held = self.latest.get()
         self.latest.clear()
         yield self._row(key, held, True)
@@ -68,13 +73,12 @@ class LatestState(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _row(self, key, held, expired: bool) -> pd.DataFrame:
+    def _row(self, key, held, expired: bool) -> Row:
         slot, s_speed, n_speed, s_score, n_score, n, _ = held
-        return pd.DataFrame({
-            "xd_id": pd.array([int(key[0]) if key[0] else None], dtype="Int64"),
-            "avg_speed": [s_speed / n_speed if n_speed else None], "avg_congestion": [s_score / n_score if n_score else None],
-            "reading_count": [n], "window_start": pd.to_datetime([slot], unit="us"),
-            "window_end": pd.to_datetime([slot + self.duration], unit="us"), "expired": [expired]})
+        start = _EPOCH + dt.timedelta(microseconds=slot)
+        return Row(xd_id=int(key[0]) if key[0] else None, avg_speed=s_speed / n_speed if n_speed else None,
+                   avg_congestion=s_score / n_score if n_score else None, reading_count=n, window_start=start,
+                   window_end=start + dt.timedelta(microseconds=self.duration), expired=expired)
 
 
 def latest_changes(cleaned: DataFrame, duration=W.DEFAULT_DURATION, slide=W.DEFAULT_SLIDE, expire_minutes: int | None = None,
@@ -90,7 +94,7 @@ def latest_changes(cleaned: DataFrame, duration=W.DEFAULT_DURATION, slide=W.DEFA
     key = F.coalesce(F.col("xd_id").cast("string"), F.lit(""))
     slotted = cleaned.where(F.col(ts).isNotNull()).select(
         key.alias("segment"), ts, (micros - F.pmod(micros, F.lit(step))).alias("slot"), "speed", "congestion_score")
-    return slotted.groupBy("segment").transformWithStateInPandas(
+    return slotted.groupBy("segment").transformWithState(
         LatestState(W.minutes(duration), W.minutes(slide), expire_minutes), _CHANGE, "Update", "EventTime")
 
 

@@ -130,7 +130,7 @@ def start_shared(spark: SparkSession, raw: DataFrame, segments: DataFrame, out_r
     results = LV._trigger(w, result_trigger, available_now).start()
     snap_in = W.by_segment(cleaned, duration, slide, ts="event_time")
     snapshot = LV.start_snapshot(snap_in, f"{out}/{LV.OUTPUTS['snapshot']}", f"{ck}/snapshot",
-                                 snapshot_trigger, available_now, carry_forward, segments=segments)
+                                 snapshot_trigger, available_now, carry_forward, segments=segments, rocksdb=rocksdb)
     return [results, snapshot]
 
 

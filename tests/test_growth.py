@@ -119,3 +119,49 @@ def test_compaction_and_ingest_size_their_sorts_by_rows(spark, tmp_path, monkeyp
     PR.compact_raw(spark, str(tmp_path / "raw"), str(tmp_path / "sorted"))
     files = glob.glob(str(tmp_path / "sorted/year=2023/month=1/*.parquet"))
     assert len(files) >= 6 and spark.read.parquet(str(tmp_path / "sorted")).count() == 400
+
+
+def test_append_queries_keep_their_state_in_bounded_rocksdb(spark, tmp_path):
+    from roadpulse.operators import windows as W
+    from roadpulse.streaming import live as LV
+    keys = [LV.STATE_PROVIDER_KEY, *(f"spark.sql.streaming.stateStore.rocksdb.{k}" for k in
+                                     ("trackTotalNumberOfRows", "boundedMemoryUsage", "maxMemoryUsageMB"))]
+    for k in keys:
+        spark.conf.unset(k)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("".join(
+        '{"xd_id": 1, "measurement_tstamp": "2023-01-01T%02d:00:00", "speed": 30.0, "reference_speed": 50.0, "confidence_score": 30.0}\n' % h
+        for h in range(6)))
+    frame = W.by_segment(LV.cleaned_stream(LV.file_stream(spark, str(tmp_path / "in"))), ts="event_time")
+    LV.start_append(frame, str(tmp_path / "out"), str(tmp_path / "ck"), available_now=True).awaitTermination()
+    assert [spark.conf.get(k) for k in keys] == [LV.ROCKSDB_PROVIDER, "false", "true", "1000"]
+    assert LV.read_appended(spark, str(tmp_path / "out")).count() == 24
+
+
+def test_latest_state_takes_rows(spark):
+    from pyspark.sql import Row
+    from roadpulse.streaming.latest import LatestState
+
+    class Value:
+        held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held
+
+        def update(self, v):
+            self.held = v
+
+        def clear(self):
+            self.held = None
+    state = LatestState(60, 10, None)
+    state.latest = Value()
+    slot = 1_704_067_200_000_000  # 2024-01-01
+    rows = [Row(slot=slot, speed=10.0, congestion_score=0.5), Row(slot=slot - 600_000_000, speed=99.0, congestion_score=0.1),
+            Row(slot=slot, speed=20.0, congestion_score=None)]
+    out, = state.handleInputRows(("",), iter(rows), None)
+    assert (out.xd_id, out.avg_speed, out.avg_congestion, out.reading_count, out.expired) == (None, 15.0, 0.5, 2, False)
+    assert out.window_start == dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) and out.window_end - out.window_start == dt.timedelta(hours=1)
+    assert list(state.handleInputRows(("",), iter(rows[1:2]), None)) == []

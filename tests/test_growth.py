@@ -135,7 +135,7 @@ def test_append_queries_keep_their_state_in_bounded_rocksdb(spark, tmp_path):
     frame = W.by_segment(LV.cleaned_stream(LV.file_stream(spark, str(tmp_path / "in"))), ts="event_time")
     LV.start_append(frame, str(tmp_path / "out"), str(tmp_path / "ck"), available_now=True).awaitTermination()
     assert [spark.conf.get(k) for k in keys] == [LV.ROCKSDB_PROVIDER, "false", "true", "1000"]
-    assert LV.read_appended(spark, str(tmp_path / "out")).count() == 24
+    assert LV.read_appended(spark, str(tmp_path / "out")).count() == 29
 
 
 def test_latest_state_takes_rows(spark):

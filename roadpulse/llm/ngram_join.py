@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, discard, unpacked, whole_rows
@@ -52,8 +52,10 @@ ROUNDS, PICKS, FEW_PAIRS, WORTH = 6, (3, 8), 4, 0.9
 BITMAP_BITS = 1 << 27
 #: 64-bit words of a set's token map.
 MAP_WORDS = 16
-#: Word hashes and classes a task remembers.
-CACHE_WORDS, CACHE_CLASSES = 500_000, 100_000
+#: Text a task hashes at a time, and bytes of a word hashed without xxhash.
+SLICE_BYTES, WORD_BYTES = 1 << 19, 64
+#: Classes a task remembers.
+CACHE_CLASSES = 100_000
 BATCH_TOKENS = 1_000_000
 
 # Odd multipliers of the shingle hash and the two finalizers.
@@ -61,6 +63,9 @@ _PLACE = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x16566
                                  0xA0761D6478BD642F)]
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _SECOND = np.uint64(0xC4CEB9FE1A85EC53)
+# Bytes within words, masks of the first 0 to 8 bytes of a word, and a value for each length.
+_IN_WORD = np.array([c not in b" \t\n\x0b\x0c\r" for c in range(256)])
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def _mix(h: np.ndarray, by: np.uint64 = _MIX) -> np.ndarray:
@@ -69,6 +74,9 @@ def _mix(h: np.ndarray, by: np.uint64 = _MIX) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+_LENGTHS = _mix(np.arange(WORD_BYTES + 1, dtype=np.uint64) * _PLACE[0])
+
+
 class Shingler:
     """Sets of shingle hashes. Words are runs without space or \\t to \\r, A-Z in
     lower case; a text of fewer words than a shingle has its whole sequence as
@@ -78,24 +86,74 @@ class Shingler:
         if not 1 <= words <= len(_PLACE):
             raise ValueError(f"shingles have 1 to {len(_PLACE)} words")
         self.k = words
-        self._hash: dict[bytes, int] = {}
-
-    def tokens(self, text: bytes | None) -> np.ndarray:
-        """Distinct tokens of a UTF-8 text, ascending (that is hash order)."""
-        words = (text or b"").lower().split()
-        if not words:
-            return np.zeros(0, np.uint64)
-        known = self._hash
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        if len(h) < self.k:
-            short = sum(int(x) * int(m) for x, m in zip(h, _PLACE)) + len(h)
-            return _mix(np.array([short & 0xFFFFFFFFFFFFFFFF], np.uint64))
-        n = len(h) - self.k + 1
-        return np.unique(_mix(sum((h[i:i + n] * _PLACE[i] for i in range(self.k)), np.zeros(n, np.uint64))))
+
+    def sets(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Of each UTF-8 text its distinct tokens, ascending (that is hash
+        order); a null text has none. Texts are hashed SLICE_BYTES at a time, a
+        longer one by itself."""
+        texts = texts.fill_null(b"").cast(pa.large_binary())
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        at = 0
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_BYTES, "right")) - 1)
+            yield from self._slice(texts.buffers()[2], ends[at:to + 1])
+            at = to
+
+    def _slice(self, data: pa.Buffer | None, ends: np.ndarray) -> Iterator[np.ndarray]:
+        size = int(ends[-1] - ends[0])
+        text = data.slice(int(ends[0]), size).to_pybytes().lower() if size else b""
+        ends = ends - ends[0]
+        starts, lengths = _word_spans(np.frombuffer(text, np.uint8), ends)
+        h = _word_hashes(text, starts, lengths)
+        shingles = np.zeros(max(0, len(h) - self.k + 1), np.uint64)
+        for i in range(self.k):
+            shingles += h[i:i + len(shingles)] * _PLACE[i]
+        shingles = _mix(shingles)
+        # The shingles that begin at a text's words, but for those that reach into the next text.
+        first = np.searchsorted(starts, ends).tolist()
+        for w, to in zip(first, first[1:]):
+            if to - w >= self.k:
+                own = np.sort(shingles[w:to - self.k + 1])
+                new = np.ones(len(own), bool)
+                np.not_equal(own[1:], own[:-1], out=new[1:])
+                yield own[new]
+            elif to > w:
+                short = sum(int(x) * int(m) for x, m in zip(h[w:to], _PLACE)) + to - w
+                yield _mix(np.array([short & 0xFFFFFFFFFFFFFFFF], np.uint64))
+            else:
+                yield np.zeros(0, np.uint64)
+
+
+def _word_spans(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the words of the texts that end at ``ends``; no
+    word reaches from one text into the next."""
+    inside = _IN_WORD[text]
+    opens, closes = inside.copy(), inside.copy()
+    opens[1:] &= ~inside[:-1]
+    closes[:-1] &= ~inside[1:]
+    edge = ends[(ends > 0) & (ends < len(text))]
+    opens[edge] = inside[edge]
+    closes[edge - 1] = inside[edge - 1]
+    starts = np.flatnonzero(opens)
+    return starts, np.flatnonzero(closes) + 1 - starts
+
+
+def _word_hashes(text: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words, eight bytes at a time; the few words longer than
+    WORD_BYTES by xxhash."""
+    def eight(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        return whole[at] & _FIRST_BYTES[np.minimum(left, 8)]
+
+    # The eight bytes from each place on.
+    whole = np.ndarray(len(text) + 1, "<u8", text + bytes(8), strides=(1,))
+    h = _mix(eight(starts, lengths) ^ _LENGTHS[np.minimum(lengths, WORD_BYTES)])
+    more = np.flatnonzero(lengths > 8)
+    for done in range(8, WORD_BYTES, 8):
+        h[more] = _mix(h[more] ^ (eight(starts[more] + done, lengths[more] - done) * _SECOND))
+        more = more[lengths[more] > done + 8]
+    for w in more:
+        h[w] = xxhash.xxh3_64_intdigest(text[starts[w]:starts[w] + lengths[w]])
+    return h
 
 
 def class_id(tokens: np.ndarray) -> int:
@@ -149,7 +207,7 @@ def members(docs: DataFrame, words: int, hashed: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for b in batches:
-            sets = [shingler.tokens(t.as_py()) for t in b.column("text")]
+            sets = list(shingler.sets(b.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([class_id(s) if len(s) else None for s in sets], pa.int64()),
                  pa.array([len(s) for s in sets], pa.int64()), *[b.column(c) for c in more]], names=["doc_id", "cid", "n", *more])
@@ -181,8 +239,7 @@ def prefix_tokens(docs: DataFrame, words: int, percent: int) -> DataFrame:
         for b in batches:
             held: list[tuple[int, int, np.ndarray]] = []
             size = 0
-            for t in b.column("text"):
-                s = shingler.tokens(t.as_py())
+            for s in shingler.sets(b.column("text")):
                 if len(s) and recent.add(cid := class_id(s)):
                     held.append((cid, least_shared(len(s), percent), s[:hash_prefix(len(s), percent)]))
                     size += len(held[-1][2])
@@ -259,8 +316,7 @@ def class_sets(docs: DataFrame, bitmap, words: int, percent: int) -> DataFrame:
         for b in batches:
             held: list[tuple[int, np.ndarray, np.ndarray]] = []
             size = 0
-            for t in b.column("text"):
-                s = shingler.tokens(t.as_py())
+            for s in shingler.sets(b.column("text")):
                 if not len(s):
                     continue
                 spot = (cid := class_id(s)) & (BITMAP_BITS - 1)
@@ -340,24 +396,28 @@ def _some_pairs(buckets: DataFrame, turn: int, percent: int) -> DataFrame:
                        F.when(swap, F.col("comp")).otherwise(hub["hub_comp"]).alias("yc")).distinct()
 
 
-def _common_at_most(n: str, bits: str, others: str):
-    """Upper bound of the tokens in common: a bit that the other set's map
-    lacks stands for a token at least that it lacks."""
-    missing = [F.bit_count(F.col(bits)[i].bitwiseAND(F.bitwise_not(F.col(others)[i]))) for i in range(MAP_WORDS)]
-    return F.col(n) - sum(missing[1:], missing[0])
+def _bits_set(word) -> Column:
+    """Bits set in all words of a map; ``word`` gives the i-th."""
+    counts = [F.bit_count(word(i)) for i in range(MAP_WORDS)]
+    return sum(counts[1:], counts[0])
 
 
 def _remaining(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs between components that can link: by their places, and by the
-    token maps of their whole sets."""
-    mapped = buckets.join(sets.select("cid", "bits"), "cid")
+    token maps of their whole sets. A bit that the other set's map lacks stands
+    for a token at least that it lacks, so two sets have no more in common than
+    the bits in common and the tokens that add no bit of their own (``extra``).
+    The condition is kept short: Java never compiles a method of over 8000
+    bytes, and would interpret it for every pair."""
+    mapped = (buckets.join(sets.select("cid", "bits"), "cid")
+              .withColumn("extra", F.col("n") - _bits_set(lambda i: F.col("bits")[i])))
 
     def side(c: str) -> DataFrame:
         return mapped.select("token", F.col("cid").alias(c), F.col("comp").alias(f"{c}c"), F.col("n").alias(f"{c}n"),
-                             F.col("pos").alias(f"{c}pos"), F.col("bits").alias(f"{c}bits"))
+                             F.col("pos").alias(f"{c}pos"), F.col("bits").alias(f"{c}bits"), F.col("extra").alias(f"{c}extra"))
     fits = _may_link(F.col("xn"), F.col("xpos"), F.col("yn"), F.col("ypos"), percent)
     needed = F.ceil((F.col("xn") + F.col("yn")) * percent / F.lit(100 + percent))
-    enough = (_common_at_most("xn", "xbits", "ybits") >= needed) & (_common_at_most("yn", "ybits", "xbits") >= needed)
+    enough = _bits_set(lambda i: F.col("xbits")[i].bitwiseAND(F.col("ybits")[i])) + F.least("xextra", "yextra") >= needed
     return (side("x").join(side("y"), "token").where((F.col("x") < F.col("y")) & (F.col("xc") != F.col("yc")) & fits & enough)
             .select("x", "y", "xc", "yc").distinct())
 

@@ -1,8 +1,12 @@
 """N-gram join, components and license scan."""
 
 import random
+import re
+import time
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from roadpulse.llm import license_scan, ngram_join
@@ -90,6 +94,64 @@ def test_rows_that_share_only_an_id_stay(docs_of):
     assert sorted((r.doc_id, r.text or "") for r in left.collect()) == [(1, rows[0][1]), (2, rows[2][1]), (3, "")]
 
 
+def odd_texts(seed=2):
+    """Words around the edges of the eight-byte steps, all white space, and bytes that only look like some."""
+    rng = random.Random(seed)
+    letters = ["a", "B", "\u00e9", "\x00", "\u65e5", "\x1c", "\x85", "\xa0", " ", " ", "\t", "\n", "\x0b", "\x0c", "\r"]
+    loose = ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(400)]
+    sizes = [1, 2, 7, 8, 9, 16, 17, 63, 64, 65, 130]
+    words = [" " * (i % 2) + " ".join("".join(rng.choices("abA\x00", k=rng.choice(sizes))) for _ in range(rng.randrange(12)))
+             for i in range(400)]
+    return [None, "", " ", *loose, *words, *loose[:50]]
+
+
+@pytest.mark.parametrize("slice_bytes", [1, 50, 1 << 19])
+def test_token_sets_equal_shingle_sets(monkeypatch, slice_bytes):
+    monkeypatch.setattr(ngram_join, "SLICE_BYTES", slice_bytes)
+    texts = odd_texts()
+    for k in (1, 3, 5):
+        column = pa.array([b"left out"] + [None if t is None else t.encode() for t in texts], pa.binary())[1:]
+        sets = list(ngram_join.Shingler(k).sets(column))
+        expected = [frozenset(shingles(t, k)) for t in texts]
+        assert [len(s) for s in sets] == [len(e) for e in expected]
+        assert all((s[1:] > s[:-1]).all() for s in sets)
+        named = {}
+        assert all(named.setdefault(e, s.tobytes()) == s.tobytes() for e, s in zip(expected, sets))
+        assert len(np.unique(np.concatenate(sets))) == len(set().union(*expected))
+    assert list(ngram_join.Shingler().sets(pa.array([], pa.binary()))) == []
+
+
+def test_token_sets_cost_a_few_splits():
+    """Shingling takes the time of a few splits into words (nine with a Python step for every word)."""
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(5_000)]
+    column = pa.array([" ".join(rng.choices(vocabulary, k=500)).encode() for _ in range(2_000)], pa.binary())
+
+    def seconds(run):
+        took = []
+        for _ in range(3):
+            before = time.process_time()
+            run()
+            took.append(time.process_time() - before)
+        return min(took)
+    split = seconds(lambda: [t.as_py().lower().split() for t in column])
+    assert seconds(lambda: list(ngram_join.Shingler().sets(column))) < 5 * split
+
+
+def test_condition_of_the_remaining_pairs_is_compiled(spark, tmp_dir):
+    """Java interprets methods of over 8000 bytes for ever."""
+    spark.createDataFrame([(1, 2, 3, 4, 5)], "token long, cid long, n int, pos int, comp long").write.parquet(tmp_dir + "/buckets")
+    spark.createDataFrame([(2, [1] * ngram_join.MAP_WORDS)], "cid long, bits array<long>").write.parquet(tmp_dir + "/sets")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pairs = ngram_join._remaining(spark.read.parquet(tmp_dir + "/buckets"), spark.read.parquet(tmp_dir + "/sets"), 75)
+        code = spark._jvm.PythonSQLUtils.explainString(pairs._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert 0 < max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
+
+
 def test_components(spark):
     rng = random.Random(1)
     for edges in ([], [(5, 5)], [(i, i + 1) for i in range(300)], [(rng.randrange(200), rng.randrange(200)) for _ in range(150)]):

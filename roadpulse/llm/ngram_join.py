@@ -18,7 +18,8 @@ have at least k in common. The filters are intersected:
    its plain prefix.
 
 Linked classes are found in rounds: in each token's bucket every class meets
-one other class that it is not yet connected with; verified links connect them,
+one other class that it is not yet connected with (after the first round the
+most alike of a few, by maps of their tokens); verified links connect them,
 and buckets within one component fall away. The pairs that then remain between
 different components are checked in full, so no link is lost, and a large group
 of near copies is connected without emitting all its pairs.
@@ -46,8 +47,11 @@ SHINGLE_WORDS = 5
 PERCENT = 75
 #: Rounds of a few pairs per class before the remaining pairs are checked, and
 #: the pairs of a class in each. After the first, they end when no more than FEW_PAIRS times
-#: as many pairs as bucket rows are left, or more than WORTH of the pairs before.
+#: as many pairs as bucket rows are left, and after the second, which picks otherwise, also when
+#: more than WORTH of the pairs before are.
 ROUNDS, PICKS, FEW_PAIRS, WORTH = 6, (3, 8), 4, 0.9
+#: Classes of a bucket that one is compared with by their token maps, after the first round.
+NEAREST = 16
 #: Bits of the bitmap of surviving classes (16 MB); a fixed size.
 BITMAP_BITS = 1 << 27
 #: 64-bit words of a set's token map.
@@ -354,10 +358,15 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(common * 100 >= union * percent).select("x", "y", "xc", "yc"))
 
 
+def _needed(xn, yn, percent: int) -> Column:
+    """Tokens that two sets of these sizes have in common if they link."""
+    return F.ceil((xn + yn) * percent / F.lit(100 + percent))
+
+
 def _may_link(xn, xpos, yn, ypos, percent: int):
     """Two sets can link with this as their first common token: they have
     similar sizes, and enough tokens from there on."""
-    common = F.ceil((xn + yn) * percent / F.lit(100 + percent))
+    common = _needed(xn, yn, percent)
     return ((F.least(xn, yn) * 100 >= F.greatest(xn, yn) * percent)
             & (xpos <= xn - common + 1) & (ypos <= yn - common + 1))
 
@@ -375,18 +384,32 @@ def _renamed(df: DataFrame, joined: DataFrame) -> DataFrame:
     return df.join(new, "comp", "left").withColumn("comp", F.coalesce("_new", "comp")).drop("_new")
 
 
-def _some_pairs(buckets: DataFrame, turn: int, percent: int) -> DataFrame:
+def _some_pairs(buckets: DataFrame, sets: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs: each class with at most PICKS others of different components. In
-    each bucket it meets the one that a hash of the turn, token and class puts
-    first."""
-    w = Window.partitionBy("token").orderBy(F.xxhash64(F.lit(turn), "token", "cid")).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    hub = F.first(F.struct("cid", "comp", "n", "pos")).over(w)
-    met = (buckets.withColumn("h", hub).where(F.col("comp") != F.col("h")["comp"])
-           .where(_may_link(F.col("n"), F.col("pos"), F.col("h")["n"], F.col("h")["pos"], percent))
-           .select("cid", "comp", F.col("h")["cid"].alias("hub"), F.col("h")["comp"].alias("hub_comp")))
-    hubs = met.groupBy("cid", "comp").agg(F.sort_array(F.collect_set(
-        F.struct(F.xxhash64(F.lit(turn), "hub").alias("h"), F.col("hub"), F.col("hub_comp")))).alias("hubs"))
+    each bucket of the first turn it meets the one that a hash of the turn,
+    token and class puts first; later the one, of the NEAREST that this hash
+    puts next, whose token map leaves room for the most tokens in common (most
+    others of a group just miss the threshold then)."""
+    order = Window.partitionBy("token").orderBy(F.xxhash64(F.lit(turn), "token", "cid"))
+    if turn == 0:
+        hub = F.first(F.struct("cid", "comp", "n", "pos")).over(
+            order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        met = (buckets.withColumn("h", hub).where(F.col("comp") != F.col("h")["comp"])
+               .where(_may_link(F.col("n"), F.col("pos"), F.col("h")["n"], F.col("h")["pos"], percent))
+               .select("cid", "comp", F.xxhash64(F.lit(turn), F.col("h")["cid"]).alias("h"), F.col("h")["cid"].alias("hub"),
+                       F.col("h")["comp"].alias("hub_comp")))
+    else:
+        def room(h: Column) -> Column:
+            common = _bits_set(lambda i: F.col("bits")[i].bitwiseAND(h["bits"][i])) + F.least(F.col("extra"), h["extra"])
+            return common - _needed(F.col("n"), h["n"], percent)
+        following = F.collect_list(F.struct("cid", "comp", "n", "pos", "bits", "extra")).over(order.rowsBetween(1, NEAREST))
+        apart = F.filter("following", lambda h: (h["comp"] != F.col("comp"))
+                         & _may_link(F.col("n"), F.col("pos"), h["n"], h["pos"], percent))
+        best = F.array_min(F.transform(apart, lambda h: F.struct(
+            (-room(h)).alias("h"), h["cid"].alias("hub"), h["comp"].alias("hub_comp"))))
+        met = (_mapped(buckets, sets).withColumn("following", following).withColumn("best", best)
+               .where(F.col("best")["h"] <= 0).select("cid", "comp", "best.*"))
+    hubs = met.groupBy("cid", "comp").agg(F.sort_array(F.collect_set(F.struct("h", "hub", "hub_comp"))).alias("hubs"))
     each = hubs.select("cid", "comp", F.explode(F.slice("hubs", 1, PICKS[min(turn, len(PICKS) - 1)])).alias("p"))
     hub = F.col("p")
     swap = F.col("cid") > hub["hub"]
@@ -402,24 +425,45 @@ def _bits_set(word) -> Column:
     return sum(counts[1:], counts[0])
 
 
+def _mapped(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``rows`` with the token maps of their classes, and the tokens of the set
+    that add no bit of their own."""
+    return (rows.join(sets.select("cid", "bits"), "cid")
+            .withColumn("extra", F.col("n") - _bits_set(lambda i: F.col("bits")[i])))
+
+
 def _remaining(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs between components that can link: by their places, and by the
     token maps of their whole sets. A bit that the other set's map lacks stands
     for a token at least that it lacks, so two sets have no more in common than
     the bits in common and the tokens that add no bit of their own (``extra``).
+
+    A pair is made once, at the first token its classes share: the places are
+    bounds for that token, and each row has its class's ``earlier`` ones. The
+    smaller set of a pair (by size, then id) shares that token within a shorter
+    prefix (the larger has its size at least), so only those rows are one side.
     The condition is kept short: Java never compiles a method of over 8000
     bytes, and would interpret it for every pair."""
-    mapped = (buckets.join(sets.select("cid", "bits"), "cid")
-              .withColumn("extra", F.col("n") - _bits_set(lambda i: F.col("bits")[i])))
+    places = F.sort_array(F.collect_list(F.struct("pos", "token")))
+    mapped = _mapped(buckets.groupBy("cid", "comp", "n").agg(places.alias("places")), sets)
+    rows = mapped.select("*", F.posexplode("places").alias("at", "place")).select(
+        F.col("place")["token"].alias("token"), F.col("place")["pos"].alias("pos"), "cid", "comp", "n", "bits", "extra",
+        F.slice(F.col("places")["token"], F.lit(1), F.col("at")).alias("earlier"))
 
     def side(c: str) -> DataFrame:
-        return mapped.select("token", F.col("cid").alias(c), F.col("comp").alias(f"{c}c"), F.col("n").alias(f"{c}n"),
-                             F.col("pos").alias(f"{c}pos"), F.col("bits").alias(f"{c}bits"), F.col("extra").alias(f"{c}extra"))
+        return rows.select("token", F.col("cid").alias(c), F.col("comp").alias(f"{c}c"), F.col("n").alias(f"{c}n"),
+                           F.col("pos").alias(f"{c}pos"), F.col("bits").alias(f"{c}bits"), F.col("extra").alias(f"{c}extra"),
+                           F.col("earlier").alias(f"{c}earlier"))
+    smaller = (F.col("xn") < F.col("yn")) | ((F.col("xn") == F.col("yn")) & (F.col("x") < F.col("y")))
     fits = _may_link(F.col("xn"), F.col("xpos"), F.col("yn"), F.col("ypos"), percent)
-    needed = F.ceil((F.col("xn") + F.col("yn")) * percent / F.lit(100 + percent))
+    needed = _needed(F.col("xn"), F.col("yn"), percent)
     enough = _bits_set(lambda i: F.col("xbits")[i].bitwiseAND(F.col("ybits")[i])) + F.least("xextra", "yextra") >= needed
-    return (side("x").join(side("y"), "token").where((F.col("x") < F.col("y")) & (F.col("xc") != F.col("yc")) & fits & enough)
-            .select("x", "y", "xc", "yc").distinct())
+    least = side("x").where(F.col("xpos") <= F.col("xn") - _needed(F.col("xn"), F.col("xn"), percent) + 1)
+    return (least.join(side("y"), "token")
+            .where(smaller & (F.col("xc") != F.col("yc")) & fits & enough & ~F.arrays_overlap("xearlier", "yearlier"))
+            .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"),
+                    F.when(F.col("x") < F.col("y"), F.col("xc")).otherwise(F.col("yc")).alias("xc"),
+                    F.when(F.col("x") < F.col("y"), F.col("yc")).otherwise(F.col("xc")).alias("yc")))
 
 
 def _pairs_left(buckets: DataFrame) -> tuple[int, int]:
@@ -449,9 +493,9 @@ def class_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
             discard(held)
             buckets = held = crossing
             rows, left = _pairs_left(buckets)
-            last = turn == ROUNDS or turn > 0 and (left <= FEW_PAIRS * rows or left > before * WORTH)
+            last = turn == ROUNDS or turn > 0 and left <= FEW_PAIRS * rows or turn > 1 and left > before * WORTH
             before = left
-            pairs = _remaining(buckets, sets, percent) if last else _some_pairs(buckets, turn, percent)
+            pairs = _remaining(buckets, sets, percent) if last else _some_pairs(buckets, sets, turn, percent)
             # Links between components, and the components these join.
             links = cut(verified(pairs, sets, percent).select(
                 F.least("xc", "yc").alias("x"), F.greatest("xc", "yc").alias("y")).distinct(), "ngram-links")

@@ -152,6 +152,58 @@ def test_condition_of_the_remaining_pairs_is_compiled(spark, tmp_dir):
     assert 0 < max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
 
 
+def join_rows(df):
+    """Rows that each join by token of a collected query has made, from the metrics of its plan."""
+    def walk(node):
+        found = [node.metrics().get("numOutputRows").get().value()] if "Join [token" in node.simpleString(100) else []
+        children = node.children()
+        return found + [x for i in range(children.size()) for x in walk(children.apply(i))]
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_remaining_pair_is_made_once(spark, tmp_dir):
+    """Not once for every token its classes share."""
+    rng = random.Random(6)
+    classes = [(rng.randrange(18, 24), rng.randrange(20)) for _ in range(40)]  # size, component
+    # Each class has three of four tokens as its first; the map rules nothing out.
+    rows = [(token, cid, n, pos, comp) for cid, (n, comp) in enumerate(classes)
+            for pos, token in enumerate(sorted(rng.sample(range(4), 3)), 1)]
+    spark.createDataFrame(rows, "token long, cid long, n int, pos int, comp long").write.parquet(tmp_dir + "/buckets")
+    spark.createDataFrame([(cid, [-1] * ngram_join.MAP_WORDS) for cid in range(40)], "cid long, bits array<long>").write.parquet(tmp_dir + "/sets")
+    expected = set()
+    for token, x, xn, xpos, xc in rows:
+        for other, y, yn, ypos, yc in rows:
+            needed = -(-(xn + yn) * 75 // 175)
+            if (token == other and x < y and xc != yc and 100 * min(xn, yn) >= 75 * max(xn, yn)
+                    and xpos <= xn - needed + 1 and ypos <= yn - needed + 1):
+                expected.add((x, y, xc, yc))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pairs = ngram_join._remaining(spark.read.parquet(tmp_dir + "/buckets"), spark.read.parquet(tmp_dir + "/sets"), 75)
+        found = Counter(map(tuple, pairs.collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert found == Counter(expected) and join_rows(pairs) == [len(expected)]
+
+
+def test_remaining_pairs_alone_equal_brute_force(docs_of, monkeypatch):
+    rows = near_copies(seed=7)
+    monkeypatch.setattr(ngram_join, "ROUNDS", 0)
+    assert result(docs_of(rows)) == brute_force(rows)
+
+
+def test_later_rounds_pick_the_most_alike(spark, tmp_dir):
+    """Most classes of a bucket just miss the threshold: after the first round each meets those its map has most in common with."""
+    rows = [(1, cid, 20, 1, cid) for cid in range(12)]
+    maps = [(cid, [((1 << 20) - 1) << 20 * (cid // 2 % 3) if i == cid // 6 else 0 for i in range(ngram_join.MAP_WORDS)])
+            for cid in range(12)]
+    spark.createDataFrame(rows, "token long, cid long, n int, pos int, comp long").write.parquet(tmp_dir + "/buckets")
+    spark.createDataFrame(maps, "cid long, bits array<long>").write.parquet(tmp_dir + "/sets")
+    pairs = ngram_join._some_pairs(spark.read.parquet(tmp_dir + "/buckets"), spark.read.parquet(tmp_dir + "/sets"), 1, 75)
+    assert sorted(map(tuple, pairs.collect())) == [(x, x + 1, x, x + 1) for x in range(0, 12, 2)]
+
+
 def test_components(spark):
     rng = random.Random(1)
     for edges in ([], [(5, 5)], [(i, i + 1) for i in range(300)], [(rng.randrange(200), rng.randrange(200)) for _ in range(150)]):
